@@ -7,21 +7,22 @@ pieces, so a template holding most of the seeds is still many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SEEDS_PER_PIECE = 100_000
 BLOCK = 10
 
 
-def schedule_blocks(spark: SparkSession, templates: DataFrame, rows: int) -> DataFrame:
-    """Row i takes template (i div 10) mod n and seed i. templates(ord, template_id), ord from 0."""
+def schedule_blocks(seeds: DataFrame, templates: DataFrame) -> DataFrame:
+    """Seed i takes template (i div 10) mod n. seeds(seed), templates(ord, template_id) with ord from 0.
+
+    ``spark.range(rows)`` renamed to ``seed`` gives a whole schedule.
+    """
     n = templates.count()
-    seeds = spark.range(rows).withColumnRenamed("id", "seed")
     at = F.floor(F.col("seed") / BLOCK) % n
-    return seeds.withColumn("ord", at.cast("int")).join(
-        F.broadcast(templates.select(F.col("ord").cast("int").alias("ord"), "template_id")), "ord"
-    ).select("template_id", "seed")
+    registry = templates.select(F.col("ord").cast("int").alias("ord"), "template_id")
+    return seeds.withColumn("ord", at.cast("int")).join(F.broadcast(registry), "ord").select("template_id", "seed")
 
 
 def capacity(spaces: DataFrame) -> DataFrame:

@@ -16,16 +16,32 @@ from labelmill.functions import programs as pg
 from labelmill.functions import text as tx
 
 
-def census_rows(programs: DataFrame, family: Column, split: Column) -> DataFrame:
-    """Root rows with rank1 text -> census rows; the texts stop here."""
-    return programs.select(
+def reference_kinds(candidates: DataFrame) -> DataFrame:
+    """Block kinds of each rank1 program: (row_key, blocks).
+
+    The filter and the three columns reach the parquet scan, and the texts are
+    parsed where they are read.
+    """
+    rank1 = candidates.filter(F.col("candidate") == "rank1")
+    return rank1.select("row_key", pg.block_kinds(pg.kind_source(F.col("fbd_text"), F.col("fbd_xml"))).alias("blocks"))
+
+
+def census_rows(root: DataFrame, candidates: DataFrame, family: Column, split: Column) -> DataFrame:
+    """Root and candidates of a split -> census rows.
+
+    Only keys and kinds are shuffled, never texts. A root row without a rank1
+    candidate is kept and flagged ``missing``.
+    """
+    kinds = reference_kinds(candidates)
+    return root.join(kinds, F.col("key") == F.col("row_key"), "left").select(
         split.alias("split"),
         family.alias("family"),
         "template_id",
+        "seed",
         F.coalesce(F.col("frame_id").cast("bigint"), F.lit(0)).alias("frame_id"),
-        pg.block_kinds(pg.kind_source(F.col("text"), F.col("xml"))).alias("blocks"),
-        F.col("missing"),
-        F.col("key"),
+        F.coalesce(kinds["blocks"], F.array().cast("array<string>")).alias("blocks"),
+        F.col("row_key").isNull().alias("missing"),
+        "key",
     )
 
 

@@ -150,18 +150,3 @@ def unnest_scores(joined: DataFrame) -> DataFrame:
 def drop_candidate_fields(joined: DataFrame, *names: str) -> DataFrame:
     """Remove fields from every nested candidate, such as a stale ``traces`` or the foreign key."""
     return joined.withColumn("candidates", F.transform("candidates", lambda c: c.dropFields(*names)))
-
-
-def program_rows(root: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Root rows with the rank1 program: (…, text, xml, missing).
-
-    The filter on ``candidate`` reaches the parquet scan. A row without a rank1
-    candidate is kept and flagged.
-    """
-    rank1 = candidates.filter(F.col("candidate") == "rank1").select("row_key", "fbd_text", "fbd_xml")
-    return root.join(rank1, root["key"] == rank1["row_key"], "left").select(
-        root["*"],
-        F.coalesce("fbd_text", F.lit("")).alias("text"),
-        F.coalesce("fbd_xml", F.lit("")).alias("xml"),
-        F.col("row_key").isNull().alias("missing"),
-    )
