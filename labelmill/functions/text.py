@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once per row and use it in ``body``, inside lambdas too."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def lines_of(text: Column) -> Column:
     """Lines split on ``\\n``; a trailing newline does not open another line."""
     return F.split(F.regexp_replace(text, r"\n\z", ""), "\n")

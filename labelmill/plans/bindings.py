@@ -18,6 +18,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when a small table arrives as fewer partitions than there are cores.
+
+    A table of many files has partitions enough and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # --- documents as programs -----------------------------------------------------------
 
 
@@ -48,7 +57,8 @@ def _line(s: Column, i: Column) -> Column:
 
 def programs(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id, family, template_id, seed, frame_id, text, xml): one program per document."""
-    docs = table(spark, sf, "documents").withColumn("ps", _parts(F.col("text")))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "lang", "source", "text"))
+    docs = docs.withColumn("ps", _parts(F.col("text")))
     head = F.concat(F.lit("program p"), F.col("doc_id").cast("string"), F.lit("\nin a : BOOL\nin x : REAL\nout ret : REAL\nvar hold : BOOL\n"))
     body = F.array_join(F.transform("ps", _line), "\n")
     tail = F.concat(F.lit("\nret = b"), F.size("ps").cast("string"), F.lit(".OUT\n"))

@@ -56,7 +56,8 @@ def _mutations(spark, sf):
 
 
 def _first_mutation(spark, sf):
-    return b.programs(spark, sf).select("doc_id", F.sha2(mutations.first_mutation(F.col("text")), 256).alias("sha"))
+    p = b.programs(spark, sf).select("doc_id", "text")
+    return mutations.first_mutation(p).select("doc_id", F.sha2("mutated", 256).alias("sha"))
 
 
 def _first_visible(spark, sf):
@@ -226,7 +227,7 @@ def _numbers(spark, sf):
 
 
 def _sources(spark: SparkSession, sf: str) -> DataFrame:
-    d = b.table(spark, sf, "documents")
+    d = b.spread(b.table(spark, sf, "documents").select("doc_id", "source", "text"))
 
     def one(s: Column, i: Column) -> Column:
         h, n = F.length(s), i.cast("string")
@@ -317,9 +318,9 @@ made AS (
   SELECT doc_id, 0 AS stage, 0 AS pin, line, old, regexp_replace(old, 'S1=(\w+(\.\w+)?), R=(\w+(\.\w+)?)', 'S1=\3, R=\1') AS new FROM at_lines WHERE line = block_at AND kind = 'SR'
   UNION ALL SELECT doc_id, 1, 0, line, old, regexp_replace(old, '^(\w+ = )[A-Z_]+\(', '\1' || m.other || '(') FROM at_lines
     JOIN (VALUES ('AND','OR'),('OR','AND'),('XOR','OR'),('NOT','MOVE'),('TON','TOF'),('TOF','TON'),('MIN','MAX'),('MAX','MIN'),('ADD','SUB'),('SUB','ADD'),('MUL','ADD'),('LT','GE'),('GE','LT')) m(kind, other) USING (kind)
-  UNION ALL SELECT doc_id, 2, 0, line, old, regexp_replace(old, 'T#\d+ms', 'T#' || (2 * CAST(regexp_extract(old, 'T#(\d+)ms', 1) AS BIGINT)) || 'ms') FROM at_lines WHERE line = time_at
-  UNION ALL SELECT doc_id, 3, 0, line, old, regexp_replace(old, '=-?\d+\.\d+', '=' || (CAST(regexp_extract(old, '=(-?\d+\.\d+)', 1) AS DOUBLE) + 1)) FROM at_lines WHERE line = real_at
-  UNION ALL SELECT doc_id, 4, 0, line, old, regexp_replace(old, '=-?\d+([^.\d]|$)', '=' || (CAST(regexp_extract(old, '=(-?\d+)([^.\d]|$)', 1) AS BIGINT) + 1) || '\1') FROM at_lines WHERE line = int_at
+  UNION ALL SELECT doc_id, 2, 0, line, old, regexp_replace(old, 'T#\d+ms', 'T#' || (2 * TRY_CAST(regexp_extract(old, 'T#(\d+)ms', 1) AS BIGINT)) || 'ms') FROM at_lines WHERE line = time_at
+  UNION ALL SELECT doc_id, 3, 0, line, old, regexp_replace(old, '=-?\d+\.\d+', '=' || (TRY_CAST(regexp_extract(old, '=(-?\d+\.\d+)', 1) AS DOUBLE) + 1)) FROM at_lines WHERE line = real_at
+  UNION ALL SELECT doc_id, 4, 0, line, old, regexp_replace(old, '=-?\d+([^.\d]|$)', '=' || (TRY_CAST(regexp_extract(old, '=(-?\d+)([^.\d]|$)', 1) AS BIGINT) + 1) || '\1') FROM at_lines WHERE line = int_at
   UNION ALL SELECT doc_id, 5, 0, line, old, regexp_replace(old, 'IN1=(\w+(\.\w+)?), IN2=(\w+(\.\w+)?)', 'IN1=\3, IN2=\1') FROM at_lines
     WHERE line = pair_at AND kind NOT IN ('AND','OR','XOR','ADD','MUL','MIN','MAX','EQ','NE')
   UNION ALL SELECT doc_id, 6, p.ord, line, old, regexp_replace(old, p.pin || '=([abxy])([^A-Za-z0-9_.]|$)', p.pin || '=' || CASE regexp_extract(old, p.pin || '=([abxy])([^A-Za-z0-9_.]|$)', 1)
@@ -426,8 +427,8 @@ ORACLES = {
     "change_hold": _programs(
         r""", held AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN regexp_replace(text, 'PT=T#(\d+)ms', 'PT=\1.5', 'g') WHEN 1 THEN regexp_replace(text, 'IN2=(\d+)\)', 'IN1=\1)', 'g')
           ELSE replace(text, 'R=x', 'IN1=TRUE') END AS text FROM programs)
-        SELECT doc_id, sha256(CASE WHEN regexp_matches(text, 'PT=\d+\.\d+') THEN regexp_replace(text, 'PT=\d+\.\d+', 'PT=' || (CAST(regexp_extract(text, 'PT=(\d+\.\d+)', 1) AS DOUBLE) * 2))
-          WHEN regexp_matches(text, 'IN1=\d+\)') THEN regexp_replace(text, 'IN1=\d+\)', 'IN1=' || (CAST(regexp_extract(text, 'IN1=(\d+)\)', 1) AS BIGINT) + 1) || ')')
+        SELECT doc_id, sha256(CASE WHEN regexp_matches(text, 'PT=\d+\.\d+') THEN regexp_replace(text, 'PT=\d+\.\d+', 'PT=' || (TRY_CAST(regexp_extract(text, 'PT=(\d+\.\d+)', 1) AS DOUBLE) * 2))
+          WHEN regexp_matches(text, 'IN1=\d+\)') THEN regexp_replace(text, 'IN1=\d+\)', 'IN1=' || (TRY_CAST(regexp_extract(text, 'IN1=(\d+)\)', 1) AS BIGINT) + 1) || ')')
           ELSE regexp_replace(text, 'IN1=TRUE', 'IN1=FALSE') END) AS sha FROM held"""
     ),
     "refused_forms": _programs(

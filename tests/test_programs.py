@@ -167,7 +167,8 @@ def test_nary_kinds_and_nothing_to_mutate(spark):
 
 def test_apply_edit(spark):
     text = "program p\nt = TON(IN=a, PT=T#250ms)\n"
-    assert one(spark, text, mutations.first_mutation) == "program p\nt = TOF(IN=a, PT=T#250ms)\n"
+    got = mutations.first_mutation(spark.createDataFrame([(text,)], "text string")).first()["mutated"]
+    assert got == "program p\nt = TOF(IN=a, PT=T#250ms)\n"
 
 
 def test_first_visible(spark):
