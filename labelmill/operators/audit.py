@@ -44,14 +44,22 @@ def _element_leaves(element: T.DataType, column: Column, path: str, wanted: type
     if isinstance(element, T.StructType):
         found = []
         for field in element.fields:
-            inner = F.transform(column, lambda e, name=field.name: e[name])
-            found += _element_leaves(field.dataType, inner, f"{path}.{field.name}", wanted)
+            found += _element_leaves(field.dataType, _field_of_each(column, field.name), f"{path}.{field.name}", wanted)
         return found
     if isinstance(element, T.ArrayType):
         return _element_leaves(element.elementType, F.flatten(column), path, wanted)
     return []
 
 
+def _field_of_each(column: Column, name: str) -> Column:
+    return F.transform(column, lambda element: element[name])
+
+
+def _named(path: str, values: Column, value_type: str) -> Column:
+    held = F.coalesce(values, F.array().cast(f"array<{value_type}>"))
+    return F.transform(held, lambda value: F.struct(F.lit(path).alias("col"), value.alias("value")))
+
+
 def string_leaves(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Melt every string leaf: (keep…, col, value). Nested strings are not skipped."""
     return _melt(df, T.StringType, keep)
@@ -74,10 +82,7 @@ def _melt(df: DataFrame, wanted: type, keep: Iterable[str], nested: bool = True)
     if not leaves:
         empty = F.array().cast(f"array<struct<col: string, value: {value_type}>>")
         return df.select(*keep, F.inline(empty))
-    packed = [
-        F.transform(F.coalesce(values, F.array().cast(f"array<{value_type}>")), lambda v, p=path: F.struct(F.lit(p).alias("col"), v.alias("value")))
-        for path, values in leaves
-    ]
+    packed = [_named(path, values, value_type) for path, values in leaves]
     return df.select(*keep, F.inline(F.concat(*packed))).filter(F.col("value").isNotNull())
 
 

@@ -115,7 +115,7 @@ def config_readback(tables: DataFrame, expectations: DataFrame) -> DataFrame:
     of numbers all close). Paths are JSON paths such as ``$.rewards.pose.weight``.
     """
     joined = tables.join(expectations, "row_key")
-    value = F.get_json_object("table_json", F.col("path"))
+    value = F.call_function("get_json_object", F.col("table_json"), F.col("path"))
     items = F.from_json(value, "array<string>")
     members = F.coalesce(F.json_object_keys(value), items)
     expected = F.col("expected")

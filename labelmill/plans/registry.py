@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from labelmill.plans import corpus, texts
+from labelmill.plans import audits, corpus, signals, texts
 
-MODULES = [corpus, texts]
+MODULES = [corpus, texts, audits, signals]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
