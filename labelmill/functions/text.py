@@ -68,16 +68,15 @@ def fill_placeholders(template: Column, params: Column) -> Column:
     marked = F.regexp_replace(template, r"\{(\w+)\}", "\u0001\u0002$1\u0001")
     pieces = F.split(marked, "\u0001")
 
-    def fill(piece: Column) -> Column:
-        name = F.substring(piece, 2, 1_000_000)
-        value = F.try_element_at(params, name)
-        return (
-            F.when(~F.startswith(piece, F.lit("\u0002")), piece)
-            .when(value.isNotNull(), value)
-            .otherwise(F.concat(F.lit("{"), name, F.lit("}")))
-        )
-
-    return F.array_join(F.transform(pieces, fill), "")
+    def filled(values: Column) -> Column:
+        def fill(piece: Column) -> Column:
+            name = F.substring(piece, 2, 1_000_000)
+            value = F.coalesce(F.try_element_at(values, name), F.concat(F.lit("{"), name, F.lit("}")))
+            return F.when(F.startswith(piece, F.lit("\u0002")), value).otherwise(piece)
+
+        return F.array_join(F.transform(pieces, fill), "")
+
+    return let(params, filled)
 
 
 def unfilled(template: Column, params: Column) -> Column:

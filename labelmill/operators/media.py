@@ -29,55 +29,81 @@ def _int(text: Column) -> Column:
     return F.when(text.rlike(INTEGER), text.try_cast("bigint"))
 
 
-def parse_entry(name: Column) -> Column:
-    """struct(kind, sub_id, trial, position, command, frame, stream, mic, reason); reason is null when accepted.
-
-    ``root/trial_T/streamdir/a_b_c….ext``. Reasons are looked for in this order:
-    unrecognised_path, not_an_integer, unrecognised_fields, stream_dir_disagrees,
-    trial_dir_disagrees.
-    """
-    parts = F.split(name, "/")
-    trial_part, directory, file = F.get(parts, 1), F.get(parts, 2), F.get(parts, 3)
-    path_ok = (F.size(parts) == 4) & F.startswith(trial_part, F.lit("trial_"))
-    dir_trial_text = F.substring(trial_part, 7, 1 << 30)
+def _file_parts(parts: Column) -> Column:
+    """struct(ok, trial, directory, stem, extension) of a split name."""
+    trial, file = F.get(parts, 1), F.get(parts, 3)
     stem = F.when(file.rlike(r"[^.]\.[^.]*$"), F.regexp_replace(file, r"\.[^.]*$", "")).otherwise(file)
-    extension = F.substring(file, F.length(stem) + 1, F.length(file))
-    texts = F.split(stem, "_")
-    fields = F.transform(texts, _int)
-    integers = dir_trial_text.rlike(INTEGER) & F.forall(texts, lambda t: t.rlike(INTEGER))
-
-    def field(i: int) -> Column:
-        return F.get(fields, i)
-
-    n, third = F.size(fields), field(2)
-    still = (extension == ".png") & (n == 6) & (third == 1)
-    command = (extension == ".png") & (n == 7) & (third == 2)
-    utterance = (extension == ".wav") & F.startswith(directory, F.lit("mic")) & (n == 6) & (third == 2)
-    kind = F.when(still, "still").when(command, "cmd").when(utterance, "utterance")
-    stream = F.when(still, field(5)).when(command, field(6))
-    declared = _lookup(STREAM_DIRS, directory)
-    reason = (
-        F.when(~path_ok, "unrecognised_path")
+    return F.struct(
+        ((F.size(parts) == 4) & F.startswith(trial, F.lit("trial_"))).alias("ok"),
+        F.substring(trial, 7, 1 << 30).alias("trial"),
+        F.get(parts, 2).alias("directory"),
+        F.split(stem, "_").alias("texts"),
+        F.when(file.rlike(r"[^.]\.[^.]*$"), F.concat(F.lit("."), F.substring_index(file, ".", -1))).otherwise("").alias("extension"),
+    )
+
+
+def _sorted_out(f: Column, n: Column) -> Column:
+    """struct(kind, stream): what the integers ``n`` of the file name say the entry is."""
+    extension, third = f["extension"], F.get(n, 2)
+    still = (extension == ".png") & (F.size(n) == 6) & (third == 1)
+    command = (extension == ".png") & (F.size(n) == 7) & (third == 2)
+    utterance = (extension == ".wav") & F.startswith(f["directory"], F.lit("mic")) & (F.size(n) == 6) & (third == 2)
+    return F.struct(
+        F.when(still, "still").when(command, "cmd").when(utterance, "utterance").alias("kind"),
+        F.when(still, F.get(n, 5)).when(command, F.get(n, 6)).otherwise(F.lit(0).cast("bigint")).alias("stream"),
+    )
+
+
+def _reason(f: Column, n: Column, k: Column) -> Column:
+    integers = f["trial"].rlike(INTEGER) & F.forall(f["texts"], lambda t: t.rlike(INTEGER))
+    declared = _lookup(STREAM_DIRS, f["directory"]).cast("bigint")
+    return (
+        F.when(~f["ok"], "unrecognised_path")
         .when(~integers, "not_an_integer")
-        .when(kind.isNull(), "unrecognised_fields")
-        .when((kind != "utterance") & ~declared.cast("bigint").eqNullSafe(stream), "stream_dir_disagrees")
-        .when(_int(dir_trial_text) != field(1), "trial_dir_disagrees")
+        .when(k["kind"].isNull(), "unrecognised_fields")
+        .when((k["kind"] != "utterance") & ~declared.eqNullSafe(k["stream"]), "stream_dir_disagrees")
+        .when(_int(f["trial"]) != F.get(n, 1), "trial_dir_disagrees")
     )
-    keep = reason.isNull()
+
+
+def _key(n: Column, k: Column, reason: Column) -> Column:
+    kind = k["kind"]
 
     def accepted(value: Column) -> Column:
-        return F.when(keep, value)
+        return F.when(reason["why"].isNull(), value)
 
     return F.struct(
         accepted(kind).alias("kind"),
-        accepted(field(0)).alias("sub_id"),
-        accepted(field(1)).alias("trial"),
-        accepted(field(3)).alias("position"),
-        accepted(F.when(kind != "still", field(4))).alias("command"),
-        accepted(F.when(kind == "still", field(4)).when(kind == "cmd", field(5))).alias("frame"),
-        accepted(F.when(kind == "utterance", F.lit(0).cast("bigint")).otherwise(stream)).alias("stream"),
-        accepted(F.when(kind == "utterance", field(5))).alias("mic"),
-        reason.alias("reason"),
+        accepted(F.get(n, 0)).alias("sub_id"),
+        accepted(F.get(n, 1)).alias("trial"),
+        accepted(F.get(n, 3)).alias("position"),
+        accepted(F.when(kind != "still", F.get(n, 4))).alias("command"),
+        accepted(F.when(kind == "still", F.get(n, 4)).when(kind == "cmd", F.get(n, 5))).alias("frame"),
+        accepted(k["stream"]).alias("stream"),
+        accepted(F.when(kind == "utterance", F.get(n, 5))).alias("mic"),
+        reason["why"].alias("reason"),
+    )
+
+
+def parse_entry(name: Column) -> Column:
+    """struct(kind, sub_id, trial, position, command, frame, stream, mic, reason); reason is null when accepted.
+
+    ``root/trial_T/streamdir/a_b_c….ext``. Reasons are looked for in this order:
+    unrecognised_path, not_an_integer, unrecognised_fields, stream_dir_disagrees,
+    trial_dir_disagrees. Each step is evaluated once per name.
+    """
+    return tx.let(
+        F.split(name, "/"),
+        lambda parts: tx.let(
+            _file_parts(parts),
+            lambda f: tx.let(
+                F.transform(f["texts"], _int),
+                lambda n: tx.let(
+                    _sorted_out(f, n),
+                    lambda k: tx.let(F.struct(_reason(f, n, k).alias("why")), lambda reason: _key(n, k, reason)),
+                ),
+            ),
+        ),
     )
 
 
@@ -145,7 +171,7 @@ def manifest(groups: DataFrame, archives: DataFrame) -> DataFrame:
         .agg(
             F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
             F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct("archive", entry)))).alias("archives"),
+            F.map_from_entries(F.collect_list(F.struct("archive", entry))).alias("archives"),
         )
     )
 

@@ -315,7 +315,7 @@ ticks AS (
 
 def entries(spark: SparkSession, sf: str) -> DataFrame:
     """(archive, subject, name, bytes) with every sort of refused name and bytes planted."""
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     n = F.col("l_partkey")
     text = lambda c: c.cast("string")
     subject = F.col("l_suppkey")
