@@ -73,18 +73,24 @@ def merge(a: Column, b: Column, name: Column, inputs: str = SHARED_INPUTS) -> Co
 def pair_rows(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """Rows of two templates that share a seed, per template pair.
 
-    rows(template_id, seed, …), pairs(pair, a_id, b_id): the pair table is small
-    and broadcast by size, the two row sides meet on (pair, seed).
+    rows(template_id, seed, …), pairs(pair, a_id, b_id): the pair table is a
+    registry and broadcast; a row goes to the pairs its template is in and the
+    two sides meet in one aggregation on (pair, seed), so the rows are read and
+    built once. With ``pair`` among the rows' columns a row goes to that pair only.
     """
-    others = [c for c in rows.columns if c not in ("template_id", "seed")]
-    small = F.broadcast(pairs)
-    left = rows.join(small, F.col("template_id") == F.col("a_id")).select(
-        "pair", "a_id", "b_id", "seed", *[F.col(c).alias(f"a_{c}") for c in others]
+    others = [c for c in rows.columns if c not in ("template_id", "seed", "pair")]
+    sides = pairs.select("*", F.explode(F.array("a_id", "b_id")).alias("template_id")).distinct()
+    keys = ["template_id", "pair"] if "pair" in rows.columns else ["template_id"]
+    placed = rows.join(F.broadcast(sides), keys)
+
+    def side(name: str) -> Column:
+        return F.any_value(F.when(F.col("template_id") == F.col(name), F.struct(*others)), ignoreNulls=True)
+
+    met = placed.groupBy("pair", "a_id", "b_id", "seed").agg(side("a_id").alias("a"), side("b_id").alias("b"))
+    return met.filter("a is not null and b is not null").select(
+        "pair", "a_id", "b_id", "seed",
+        *[F.col(f"a.{c}").alias(f"a_{c}") for c in others], *[F.col(f"b.{c}").alias(f"b_{c}") for c in others],
     )
-    right = rows.join(small, F.col("template_id") == F.col("b_id")).select(
-        "pair", "seed", *[F.col(c).alias(f"b_{c}") for c in others]
-    )
-    return left.join(right, ["pair", "seed"])
 
 
 def compose(rows: DataFrame, pairs: DataFrame) -> DataFrame:

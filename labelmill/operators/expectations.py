@@ -87,23 +87,33 @@ def api_readback(results: DataFrame, expectations: DataFrame) -> DataFrame:
     (row_key, candidate, effect_matches); a step that did not run fails.
     """
     parsed = results.select("row_key", "candidate", F.from_json("result_json", schemas.RESULTS).alias("r"))
-    returned = parsed.join(expectations, "row_key")
     step = F.get("r", F.col("step"))
-    ret = F.when(step["ok"], step["ret"])
-    got = tx.numbers_in(ret)
-    want = F.col("numbers")
-    twelve = F.size(got) == 12
-    ok = (
-        F.when(F.col("kind") == "numbers", nm.same_vector(got, want))
-        .when(F.col("kind") == "exact", nm.same_vector(got, want, 0.0))
-        .when(F.col("kind") == "count", F.size(got) == F.size(want))
-        .when(F.col("kind") == "text", tx.bare_string(ret) == F.col("text"))
-        .when(F.col("kind") == "literal", F.coalesce(ret == F.col("text"), F.lit(False)))
-        .when(F.col("kind") == "unit", (F.size(got) == 3) & nm.within(nm.norm(got), F.lit(1.0), nm.READBACK_TOLERANCE))
-        .when(F.col("kind") == "from9", twelve & nm.same_vector(F.slice(got, 10, 3), want))
-        .when(F.col("kind") == "upto9", twelve & nm.same_vector(F.slice(got, 1, 9), want))
+    returned = parsed.join(expectations, "row_key").select(
+        "row_key", "candidate", tx.let(F.when(step["ok"], step["ret"]), _returned).alias("ok")
+    )
+    return all_ticks(returned, ["row_key", "candidate"], F.col("ok"))
+
+
+def _returned(ret: Column) -> Column:
+    """Whether one printed return is what its expectation row asks for."""
+    kind, want = F.col("kind"), F.col("numbers")
+
+    def of_numbers(got: Column) -> Column:
+        twelve = F.size(got) == 12
+        return (
+            F.when(kind == "numbers", nm.same_vector(got, want))
+            .when(kind == "exact", nm.same_vector(got, want, 0.0))
+            .when(kind == "count", F.size(got) == F.size(want))
+            .when(kind == "unit", (F.size(got) == 3) & nm.within(nm.norm(got), F.lit(1.0), nm.READBACK_TOLERANCE))
+            .when(kind == "from9", twelve & nm.same_vector(F.slice(got, 10, 3), want))
+            .when(kind == "upto9", twelve & nm.same_vector(F.slice(got, 1, 9), want))
+        )
+
+    return (
+        F.when(kind == "text", tx.bare_string(ret) == F.col("text"))
+        .when(kind == "literal", F.coalesce(ret == F.col("text"), F.lit(False)))
+        .otherwise(tx.let(tx.numbers_in(ret), of_numbers))
     )
-    return all_ticks(returned, ["row_key", "candidate"], ok)
 
 
 def config_readback(tables: DataFrame, expectations: DataFrame) -> DataFrame:
@@ -114,19 +124,22 @@ def config_readback(tables: DataFrame, expectations: DataFrame) -> DataFrame:
     member (a list or map under the path holds the name), each (a non-empty list
     of numbers all close). Paths are JSON paths such as ``$.rewards.pose.weight``.
     """
-    joined = tables.join(expectations, "row_key")
     value = F.call_function("get_json_object", F.col("table_json"), F.col("path"))
+    checked = tables.join(expectations, "row_key").select("row_key", "candidate", tx.let(value, _configured).alias("ok"))
+    return all_ticks(checked, ["row_key", "candidate"], F.col("ok"))
+
+
+def _configured(value: Column) -> Column:
+    """Whether one value of a term table is what its expectation row asks for."""
+    kind, expected = F.col("kind"), F.col("expected")
     items = F.from_json(value, "array<string>")
-    members = F.coalesce(F.json_object_keys(value), items)
-    expected = F.col("expected")
-    each = F.forall(items, lambda v: nm.close_config(v, expected)) & (F.size(items) > 0)
-    ok = (
-        F.when(F.col("kind") == "close", nm.close_config(value, expected))
-        .when(F.col("kind") == "equal", value == expected)
-        .when(F.col("kind") == "member", F.array_contains(members, expected))
-        .when(F.col("kind") == "each", each)
+    each = tx.let(items, lambda vs: F.forall(vs, lambda v: nm.close_config(v, expected)) & (F.size(vs) > 0))
+    return (
+        F.when(kind == "close", nm.close_config(value, expected))
+        .when(kind == "equal", value == expected)
+        .when(kind == "member", F.array_contains(F.coalesce(F.json_object_keys(value), items), expected))
+        .when(kind == "each", each)
     )
-    return all_ticks(joined, ["row_key", "candidate"], ok)
 
 
 # --- translated methods ----------------------------------------------------------

@@ -100,7 +100,8 @@ def _texts() -> Column:
 
 
 def rows(jobs: DataFrame) -> DataFrame:
-    """jobs(template_id, seed) -> controller rows, with ``values`` holding the drawn constants."""
+    """jobs(template_id, seed, …) -> controller rows, with ``values`` holding the drawn constants."""
+    carried = [c for c in jobs.columns if c not in ("template_id", "seed")]
     made = jobs.withColumn("values", draw(F.col("template_id"), F.col("seed"), DRAWS))
     v = F.col("values")
     real = lambda name: lt.fixed_real(drawn(v, name), 9)
@@ -153,6 +154,7 @@ def rows(jobs: DataFrame) -> DataFrame:
         tx.fill_placeholders(_texts(), refused).alias("rank5"),
         traces.alias("traces"),
         "values",
+        *carried,
     )
 
 
@@ -161,10 +163,7 @@ def composed_rows(jobs: DataFrame) -> DataFrame:
     numbered = jobs.withColumn("pair", F.substring_index("template_id", "_", -1).cast("int"))
     pairs = jobs.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(PAIRS)], "pair int, a_id string, b_id string")
     asked = numbered.join(F.broadcast(pairs), "pair").select("seed", "pair", F.explode(F.array("a_id", "b_id")).alias("template_id"))
-    parts = rows(asked.select("template_id", "seed").distinct()).drop("values")
-    return compose(parts, pairs).join(
-        numbered.join(F.broadcast(pairs), "pair").select("seed", F.concat_ws("_", F.lit("compose"), "a_id", "b_id").alias("template_id")), ["template_id", "seed"], "left_semi"
-    )
+    return compose(rows(asked).drop("values"), pairs)
 
 
 def expected_signals(ticks: DataFrame) -> DataFrame:

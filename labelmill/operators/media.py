@@ -108,8 +108,12 @@ def parse_entry(name: Column) -> Column:
 
 
 def keyed_entries(entries: DataFrame, name: str = "name") -> DataFrame:
-    """Add the key columns and ``reason``."""
-    return entries.withColumn("_k", parse_entry(F.col(name))).select("*", "_k.*").drop("_k")
+    """Add the key columns and ``reason``.
+
+    The key comes out of a generator, so a later filter on ``reason`` stays
+    above it instead of parsing the name again where the entries are read.
+    """
+    return entries.select("*", F.inline(F.array(parse_entry(F.col(name)))))
 
 
 def entry_problems(keyed: DataFrame) -> DataFrame:

@@ -86,7 +86,7 @@ def _short_ids(spark, sf):
 
 def _vectors(spark, sf):
     """Vector and transform readbacks of the order lines, to six places."""
-    li = b.table(spark, sf, "lineitem")
+    li = b.spread(b.table(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber"))
     p, s, n = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     d = lambda c: c.cast("double")
     a = F.array(d(p % 9 - 4), d(s % 9 - 4), d(n - 4))
@@ -121,7 +121,7 @@ def _corpus(spark, sf):
 
 def _controller_traces(spark, sf):
     made = controllers.rows(_jobs_of(spark, sf, list(controllers.TEXTS)))
-    return made.select("template_id", "seed", F.posexplode("traces").alias("trace", "trace_json"))
+    return made.select("template_id", "seed", F.posexplode_outer("traces").alias("trace", "trace_json"))
 
 
 def _chores(spark, sf):

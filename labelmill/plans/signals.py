@@ -111,7 +111,7 @@ def _pick_traces(spark, sf):
 
 def _api(spark, sf):
     """Position readbacks per order: class name, vector, basis and flag, some of them wrong."""
-    o = b.table(spark, sf, "orders")
+    o = b.spread(b.table(spark, sf, "orders").select("o_orderkey"))
     k = F.col("o_orderkey")
     x, y, z = ((k * m % 11 - 5).cast("string") for m in (1, 3, 7))
     vector = F.concat(F.lit("Vector3("), x, F.lit(".5, "), y, F.lit(", "), F.when(k % 17 == 2, "99").otherwise(z), F.lit(")"))
@@ -134,7 +134,7 @@ def _api(spark, sf):
 
 def _config(spark, sf):
     """Term tables read back per order: a weight, a flag, a metric list and a gain list, some of them wrong."""
-    o = b.table(spark, sf, "orders")
+    o = b.spread(b.table(spark, sf, "orders").select("o_orderkey"))
     k = F.col("o_orderkey")
     key = F.concat(F.lit("trainer/"), k.cast("string"))
     weight = k % 40 / F.lit(8.0)
@@ -154,7 +154,7 @@ def _config(spark, sf):
 
 def _method_returns(spark, sf):
     """Every method formula on the order lines' numbers; the return is printed, numbers rounded to 6 places."""
-    li = b.table(spark, sf, "lineitem")
+    li = b.spread(b.table(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"))
     p, s, n = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     ints = {"a": p % 19 - 9, "b": s % 19 - 9}
     reals = {"a": F.col("l_quantity"), "b": F.col("l_discount") * 8, "t": n / F.lit(8.0), "c": p % 2 == 0, "x": p % 11 - F.lit(5.5), "y": s % 11 - F.lit(5.5), "v": F.col("l_quantity"), "cap": F.lit(30.0), "flip": s % 2 == 0}
