@@ -39,15 +39,24 @@ def _prefixed(lines: pd.Series, names: pd.Series, prefix: pd.Series) -> pd.Serie
     return pd.Series([one(*row) for row in zip(lines, names, prefix)])
 
 
-def _of_class(lines: Column, name: str) -> Column:
-    return F.filter(lines, lambda line: pg.line_class(line) == name)
+def _classed(lines: Column) -> Column:
+    """Lines with their class, so each is classified once."""
+    return F.transform(lines, lambda line: F.struct(pg.line_class(line).alias("c"), line.alias("l")))
+
+
+def _section(classed: Column, name: str) -> Column:
+    return F.transform(F.filter(classed, lambda e: e["c"] == name), lambda e: e["l"])
 
 
 def own_names(lines: Column) -> Column:
     """Block and local names of a program."""
-    blocks = F.transform(_of_class(lines, "block"), lambda line: F.substring_index(line, " = ", 1))
-    local = F.transform(_of_class(lines, "var"), lambda line: F.get(F.split(line, " "), 1))
-    return F.concat(blocks, local)
+
+    def names(classed: Column) -> Column:
+        blocks = F.transform(_section(classed, "block"), lambda line: F.substring_index(line, " = ", 1))
+        local = F.transform(_section(classed, "var"), lambda line: F.get(F.split(line, " "), 1))
+        return F.concat(blocks, local)
+
+    return tx.let(_classed(lines), names)
 
 
 def prefixed_lines(text: Column, prefix: str) -> Column:
@@ -55,19 +64,23 @@ def prefixed_lines(text: Column, prefix: str) -> Column:
     return _prefixed(lines, own_names(lines), F.lit(prefix))
 
 
+def _outputs(text: Column) -> Column:
+    return F.filter(tx.lines_of(text), lambda line: F.startswith(line, F.lit("out ")))
+
+
 def merge(a: Column, b: Column, name: Column, inputs: str = SHARED_INPUTS) -> Column:
     """One program from two: outputs, locals, blocks and writes, a's before b's in each section.
 
     Names of blocks and locals are prefixed ``a_`` and ``b_``; declared outputs
     are not, since the pairs do not share any.
     """
-    la, lb = prefixed_lines(a, "a_"), prefixed_lines(b, "b_")
-    raw_a, raw_b = tx.lines_of(a), tx.lines_of(b)
-    sections = [_of_class(raw_a, "out"), _of_class(raw_b, "out")]
-    for section in ("var", "block", "write"):
-        sections += [_of_class(la, section), _of_class(lb, section)]
-    body = F.array_join(F.concat(*sections), "\n")
-    return F.concat(F.lit("program "), name, F.lit("\n" + inputs), body, F.lit("\n"))
+
+    def sections(both: Column) -> Column:
+        inner = [_section(both[side], section) for section in ("var", "block", "write") for side in ("a", "b")]
+        return F.array_join(F.concat(_outputs(a), _outputs(b), *inner), "\n")
+
+    both = F.struct(_classed(prefixed_lines(a, "a_")).alias("a"), _classed(prefixed_lines(b, "b_")).alias("b"))
+    return F.concat(F.lit("program "), name, F.lit("\n" + inputs), tx.let(both, sections), F.lit("\n"))
 
 
 def pair_rows(rows: DataFrame, pairs: DataFrame) -> DataFrame:
