@@ -216,7 +216,7 @@ def _relation(keyed: DataFrame, kind: str, columns: list[tuple[str, str]], media
     """One media relation with its narrow integers; an out-of-range value is an error under ANSI."""
     narrow = [F.col(c).cast(t).alias(c) for c, t in columns]
     content = F.struct(F.col("bytes"), media_path(extension).alias("path")).alias(media)
-    extra = [F.col(c) for c in ("split", "stream") if c in keyed.columns]
+    extra = [F.col(c) for c in ("split", "stream_name") if c in keyed.columns]
     return keyed.filter(F.col("kind") == kind).select(*extra, *narrow, content)
 
 

@@ -56,7 +56,7 @@ def _manifest(spark, sf):
 def _stills(spark, sf):
     """Stills with the numbers brought into their narrow ranges, as a stage of real subjects has them."""
     small = _clean(spark, sf).withColumn("sub_id", F.col("sub_id") % 1000)
-    return media.still_relation(small).drop("stream").select("sub_id", "trial", "position", "frame", F.col("image.path").alias("path"), F.hex(F.substring("image.bytes", 1, 4)).alias("head"))
+    return media.still_relation(small).select("sub_id", "trial", "position", "frame", F.col("image.path").alias("path"), F.hex(F.substring("image.bytes", 1, 4)).alias("head"))
 
 
 def _media_paths(spark, sf):
