@@ -84,7 +84,7 @@ def _subject_split(spark, sf):
 
 def _resume(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     targets = b.table(spark, sf, "customer").select(F.col("c_custkey").alias("subject"))
-    manifests = b.table(spark, sf, "orders").select(F.col("o_custkey").alias("subject"))
+    manifests = b.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("subject"))
     return targets, manifests
 
 
@@ -155,6 +155,6 @@ ORACLES = {
     "accessories_1nf": _RAW + "SELECT sub_id, 1 AS trial, unnest(a1) AS accessory FROM raw UNION ALL SELECT sub_id, 2, unnest(a2) FROM raw",
     "subject_split": _RAW + "SELECT s_suppkey AS subject, 'sub_' || s_suppkey || k.sort || '.zip' AS archive, split FROM supplier CROSS JOIN (VALUES ('_io'), ('_ia')) k(sort) LEFT JOIN raw ON sub_id = s_suppkey",
     "subjects_per_split": _RAW + "SELECT split, count(*) AS n FROM raw GROUP BY split",
-    "resume_antijoin": "SELECT c_custkey AS subject FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
-    "resume_counts": """SELECT count(*) FILTER (c_custkey IN (SELECT o_custkey FROM orders)) AS skipped, count(*) FILTER (c_custkey NOT IN (SELECT o_custkey FROM orders)) AS remaining FROM customer""",
+    "resume_antijoin": "SELECT c_custkey AS subject FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)",
+    "resume_counts": """SELECT count(*) FILTER (c_custkey IN (SELECT s_suppkey FROM supplier)) AS skipped, count(*) FILTER (c_custkey NOT IN (SELECT s_suppkey FROM supplier)) AS remaining FROM customer""",
 }

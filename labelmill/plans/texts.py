@@ -182,11 +182,12 @@ def _program_kinds(spark, sf):
 
 
 def _value_problems(spark, sf):
-    """Conversation turns as string values: the ones carrying a forbidden character are refused."""
-    turns = b.table(spark, sf, "conversations")
+    """Page addresses and pages as string values: the ones carrying a forbidden character are refused."""
+    pages = b.table(spark, sf, "pages")
     null = F.lit(None)
-    value = F.struct(F.lit("string").alias("tag"), F.col("text"), null.cast("string").alias("pin"), null.cast("double").alias("num"))
-    pin = turns.select(F.col("conv_id").cast("string").alias("program"), F.col("turn").cast("string").alias("name"), value.alias("value"))
+    value = F.struct(F.lit("string").alias("tag"), F.col("shown").alias("text"), null.cast("string").alias("pin"), null.cast("double").alias("num"))
+    shown = F.array(F.struct(F.lit("url").alias("name"), F.col("url").alias("shown")), F.struct(F.lit("html").alias("name"), F.col("html").alias("shown")))
+    pin = pages.select(F.col("page_id").cast("string").alias("program"), F.inline(shown)).select("program", "name", value.alias("value"))
     return op.value_problems(pin, pin.limit(0)).select("program", "name", F.sha2("problem", 256).alias("sha"))
 
 
@@ -445,7 +446,7 @@ ORACLES = {
         + f"SELECT 'compose_' || a_id || '_' || b_id AS template_id, seed, intent, frame_id, {_merged('a1', 'b1')} AS rank1, {_merged('a3', 'b1')} AS rank3, {_merged('a1', 'b5')} AS rank5 FROM met"
     ),
     "render_program": _tables(_LINES_OF_TABLES + "SELECT program, section, pos, line FROM out_lines"),
-    "render_text": _tables(_LINES_OF_TABLES + "SELECT program, 0 AS part, sha256(string_agg(line, chr(10) ORDER BY section, pos) || chr(10)) AS sha FROM out_lines GROUP BY program"),
+    "render_text": _tables(_LINES_OF_TABLES + "SELECT program, CAST(0 AS BIGINT) AS part, sha256(string_agg(line, chr(10) ORDER BY section, pos) || chr(10)) AS sha FROM out_lines GROUP BY program"),
     "edit_set_pin": _tables(
         _EDITS
         + """SELECT p.program, p.block_id, pos, name, CASE WHEN e.k IS NOT NULL THEN '"v' || e.k || '"' ELSE val END AS val
@@ -469,8 +470,9 @@ ORACLES = {
     "program_kinds": _tables(
         "SELECT program, what, name, count(*) AS n FROM (SELECT program, 'kind' AS what, kind AS name FROM block UNION ALL SELECT program, 'signature', sig FROM block WHERE kind = 'CALL') GROUP BY ALL"
     ),
-    "forbidden_strings": """SELECT CAST(conv_id AS VARCHAR) AS program, CAST(turn AS VARCHAR) AS name, sha256('literal carries a forbidden character: ' || text) AS sha
-        FROM conversations WHERE regexp_matches(text, '["''<>&]')""",
+    "forbidden_strings": """SELECT program, name, sha256('literal carries a forbidden character: ' || shown) AS sha
+        FROM (SELECT CAST(page_id AS VARCHAR) AS program, 'url' AS name, url AS shown FROM pages UNION ALL SELECT CAST(page_id AS VARCHAR), 'html', html FROM pages)
+        WHERE regexp_matches(shown, '["''<>&]')""",
     "call_program": """
         WITH s AS (SELECT 'c' || o_custkey AS program, row_number() OVER w - 1 AS step, 's' || o_orderkey AS name, lag('s' || o_orderkey) OVER w AS prev,
           'Order.set_' || o_orderstatus AS sig, o_orderkey AS k FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey))
