@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from labelmill.functions import numeric as nm
 from labelmill.functions import text as tx
 from labelmill.operators import allocation, mutations
-from labelmill.operators.families import blocks, chores, controllers, frames, methods, plans
+from labelmill.operators.families import blocks, chores, controllers, frames, methods, plans, settings
 from labelmill.plans import bindings as b
 
 
@@ -164,6 +164,16 @@ def _method_returns(spark, sf):
     return methods.returns(methods.rows(_jobs_of(spark, sf, list(methods.DRAWS))))
 
 
+def _settings(spark, sf):
+    return settings.rows(_jobs_of(spark, sf, list(settings.CALLS))).drop("values", "traces")
+
+
+def _settings_expected(spark, sf):
+    """Expected readbacks of every configuration row, counted by template and kind."""
+    wanted = settings.expectations(settings.rows(_jobs_of(spark, sf, list(settings.CALLS))))
+    return wanted.groupBy("template_id", "kind").agg(F.count("expected").alias("n"))
+
+
 def _harness(spark, sf):
     """Block behaviours: every document is a base program under a behaviour's name, one row per document."""
     kinds = F.array(*[F.lit(k) for k in blocks.INTENTS])
@@ -182,6 +192,7 @@ QUERIES = {
     "frame_pick_fill": _frame_pick,
     "frame_problems": _frame_problems,
     "seed_mix_crc32": _seed_mix,
+    "settings_expectations": f"SELECT template_id, kind, count(*) AS n FROM orders JOIN (VALUES {_EXPECTED}) e(ord, template_id, kind) ON o_orderkey // 10 % {len(settings.CALLS)} = ord GROUP BY ALL",
     "short_ids": _short_ids,
     "vector_readback": _vectors,
     "csv_lists": _csv_lists,
@@ -194,6 +205,8 @@ QUERIES = {
     "perturb_keeps_shape": _perturbed_shape,
     "generate_methods": _methods,
     "method_returns": _method_returns,
+    "generate_settings": _settings,
+    "settings_expectations": _settings_expected,
     "generate_behaviours": _harness,
 }
 
@@ -218,6 +231,9 @@ _FRAMES = "frames(ord, template_id, frame_id, frame, k) AS (VALUES " + ", ".join
 ) + ")"
 
 
+_EXPECTED = ", ".join(f"({i}, '{t}', '{kind}')" for i, t in enumerate(settings.CALLS) for _, kind, _ in settings.EXPECTED[t])
+
+
 def _fill(column: str) -> str:
     for name in ("text", "path", "n", "k", "names", "gain", "cap", "ms", "style"):
         column = f"replace({column}, '{{{name}}}', '{name}<x>' || o_orderkey)"
@@ -234,6 +250,7 @@ ORACLES = {
     "capacity_problem": f"WITH {_SPACES} SELECT 'allocation' AS subject, 'space ' || CAST(sum(space) AS BIGINT) || ' is below the 1000000000000 rows asked for' AS problem FROM spaces",
     "frame_pick_fill": f"WITH {_FRAMES} SELECT template_id, o_orderkey AS seed, CAST(frame_id AS BIGINT) AS frame_id, {_fill('frame')} AS intent FROM orders JOIN frames ON o_orderkey % 9 = ord AND o_orderkey % k = frame_id",
     "frame_problems": f"WITH {_FRAMES} SELECT template_id, o_orderkey AS seed, 'path' AS missing FROM orders JOIN frames ON o_orderkey % 9 = ord AND o_orderkey % k = frame_id WHERE o_orderkey % 10 = 3 AND contains(frame, '{{path}}')",
+    "settings_expectations": f"SELECT template_id, kind, count(*) AS n FROM orders JOIN (VALUES {_EXPECTED}) e(ord, template_id, kind) ON o_orderkey // 10 % {len(settings.CALLS)} = ord GROUP BY ALL",
     "short_ids": "SELECT doc_id, 'U' || substr(sha1(source || '/' || doc_id), 1, 10) AS class_name FROM documents",
     "vector_readback": """
         WITH v AS (SELECT (l_partkey % 9 - 4)::DOUBLE AS a0, (l_suppkey % 9 - 4)::DOUBLE AS a1, (l_linenumber - 4)::DOUBLE AS a2, (l_suppkey % 7 - 3)::DOUBLE AS b0, (l_partkey % 5 - 2)::DOUBLE AS b1,
