@@ -192,7 +192,6 @@ QUERIES = {
     "frame_pick_fill": _frame_pick,
     "frame_problems": _frame_problems,
     "seed_mix_crc32": _seed_mix,
-    "settings_expectations": f"SELECT template_id, kind, count(*) AS n FROM orders JOIN (VALUES {_EXPECTED}) e(ord, template_id, kind) ON o_orderkey // 10 % {len(settings.CALLS)} = ord GROUP BY ALL",
     "short_ids": _short_ids,
     "vector_readback": _vectors,
     "csv_lists": _csv_lists,
