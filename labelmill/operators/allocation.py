@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from labelmill.operators import ranking
+
 SEEDS_PER_PIECE = 100_000
 BLOCK = 10
 
@@ -21,8 +23,8 @@ def schedule_blocks(seeds: DataFrame, templates: DataFrame) -> DataFrame:
     """
     n = templates.count()
     at = F.floor(F.col("seed") / BLOCK) % n
-    registry = templates.select(F.col("ord").cast("int").alias("ord"), "template_id")
-    return seeds.withColumn("ord", at.cast("int")).join(F.broadcast(registry), "ord").select("template_id", "seed")
+    registry = ranking.registry(templates.select(F.col("ord").cast("int").alias("ord"), "template_id"), n)
+    return seeds.withColumn("ord", at.cast("int")).join(registry, "ord").select("template_id", "seed")
 
 
 def capacity(spaces: DataFrame) -> DataFrame:

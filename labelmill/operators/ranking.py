@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TICKS_PER_CHUNK = 4096
+REGISTRY_ROWS = 100_000
 
 
 def _before(keys: Sequence[str], chunk: str):
@@ -70,5 +71,15 @@ def previous(df: DataFrame, keys: Sequence[str], tick: str, chunk: str, value: C
     )
 
 
+def earlier_min(keys: Sequence[str], chunk: str, value: str) -> Column:
+    """Over a table with one row per chunk: the least value of the chunks before this one."""
+    return F.min(value).over(_before(list(keys), chunk))
+
+
+def registry(df: DataFrame, rows: int) -> DataFrame:
+    """A registry whose size was taken, broadcast while it is one; beyond that the join stays a shuffle."""
+    return F.broadcast(df) if rows <= REGISTRY_ROWS else df
+
+
 def tick_chunk(tick: str, width: int = TICKS_PER_CHUNK) -> Column:
     return F.floor(F.col(tick) / width).cast("bigint")

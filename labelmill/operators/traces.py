@@ -8,7 +8,7 @@ ticks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelmill import schemas
@@ -139,40 +139,43 @@ def press_hold(
     return seen.withColumn("style", F.when(held, style).otherwise(F.lit(0))).drop("_was", "_edge")
 
 
-def steps_until_failure(steps: DataFrame, keys: list[str], step: str, code: str) -> DataFrame:
+def _with_stop(steps: DataFrame, keys: list[str], step: str, code: str, chunk: str) -> DataFrame:
+    """Add ``_stop``: a failing step at or before this chunk, the first one where there are several.
+
+    Minima per chunk and a carry over the chunks find it, and rows meet it on
+    (group, chunk), so a group of any length is many tasks.
+    """
+    local = steps.groupBy(*keys, chunk).agg(F.min(F.when(F.col(code) != 0, F.col(step))).alias("_local"))
+    stops = local.select(*keys, chunk, F.coalesce(ranking.earlier_min(keys, chunk, "_local"), F.col("_local")).alias("_stop"))
+    return steps.join(stops, [*keys, chunk])
+
+
+def steps_until_failure(steps: DataFrame, keys: list[str], step: str, code: str, chunk: str) -> DataFrame:
     """Per group: steps completed before the first failing one, and whether all ran.
 
-    The first failure is a minimum, and completed steps are counted against it
-    in a second aggregation, so no group is sorted or held together.
+    ``chunk`` never decreases with ``step`` (see ``ranking``).
     """
-    failures = steps.groupBy(*keys).agg(F.min(F.when(F.col(code) != 0, F.col(step))).alias("first_failure"))
-    counted = steps.join(failures, keys).groupBy(*keys).agg(
-        F.count_if(F.col("first_failure").isNull() | (F.col(step) < F.col("first_failure"))).alias("steps"),
-        F.bool_and(F.col("first_failure").isNull()).alias("runs"),
+    marked = _with_stop(steps, keys, step, code, chunk)
+    return marked.groupBy(*keys).agg(
+        F.count_if(F.col("_stop").isNull() | (F.col(step) < F.col("_stop"))).alias("steps"),
+        F.bool_and(F.col("_stop").isNull()).alias("runs"),
     )
-    return counted
 
 
-def performed_steps(steps: DataFrame, keys: list[str], step: str, code: str) -> DataFrame:
+def performed_steps(steps: DataFrame, keys: list[str], step: str, code: str, chunk: str) -> DataFrame:
     """The steps actually performed: up to and including the first failing one."""
-    failures = steps.groupBy(*keys).agg(F.min(F.when(F.col(code) != 0, F.col(step))).alias("_stop"))
-    return (
-        steps.join(failures, keys)
-        .filter(F.col("_stop").isNull() | (F.col(step) <= F.col("_stop")))
-        .drop("_stop")
-    )
+    marked = _with_stop(steps, keys, step, code, chunk)
+    return marked.filter(F.col("_stop").isNull() | (F.col(step) <= F.col("_stop"))).drop("_stop")
 
 
 def pick_traces(rows: DataFrame, names: DataFrame, picks: int = 3, stride: int = 5) -> DataFrame:
     """Trace names for each row: (seed + stride * i) mod n over the name-sorted list.
 
-    ``names(name)`` is the small library of traces; its size is taken first.
+    ``names(name)`` is the library of traces, a registry whose size is taken first.
     """
-    from pyspark.sql import Window
-
     n = names.count()
     numbered = names.select("name", (F.row_number().over(Window.orderBy("name")) - 1).cast("bigint").alias("_at"))
     wanted = rows.withColumn("pick", F.explode(F.sequence(F.lit(0), F.lit(picks - 1)))).withColumn(
         "_at", F.pmod(F.col("seed") + F.col("pick") * stride, F.lit(max(n, 1))).cast("bigint")
     )
-    return wanted.join(numbered, "_at").drop("_at")
+    return wanted.join(ranking.registry(numbered, n), "_at").drop("_at")

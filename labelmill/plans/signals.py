@@ -56,7 +56,7 @@ def _clamp_speed(spark, sf):
 
 def _steps(spark: SparkSession, sf: str) -> DataFrame:
     ticks = b.trace_ticks(spark, sf)
-    return ticks.select("user_id", "tick", F.when(F.col("event_id") % 173 == 9, 1).otherwise(0).alias("code"))
+    return ticks.select("user_id", "hour", "tick", F.when(F.col("event_id") % 173 == 9, 1).otherwise(0).alias("code"))
 
 
 def _outputs(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,8 +200,8 @@ QUERIES = {
     "walk_expect": _walk,
     "face_expect": _face,
     "clamp_speed": _clamp_speed,
-    "steps_until_failure": lambda spark, sf: tr.steps_until_failure(_steps(spark, sf), USER, "tick", "code"),
-    "performed_steps": lambda spark, sf: tr.performed_steps(_steps(spark, sf), USER, "tick", "code").select("user_id", "tick"),
+    "steps_until_failure": lambda spark, sf: tr.steps_until_failure(_steps(spark, sf), USER, "tick", "code", "hour"),
+    "performed_steps": lambda spark, sf: tr.performed_steps(_steps(spark, sf), USER, "tick", "code", "hour").select("user_id", "tick"),
     "trace_diff": _trace_diff,
     "reference_matches": _reference_matches,
     "trace_json_ticks": _trace_json,
