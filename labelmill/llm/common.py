@@ -54,3 +54,40 @@ def arrow_map(df: DataFrame, build: Callable[[pa.RecordBatch], pa.RecordBatch |
                     yield out
 
     return df.mapInArrow(run, schema)
+
+
+PIECE_BYTES = 2 << 20
+
+
+def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``limit`` bytes of text, so that Python objects stay few at a time. A text is never cut."""
+    texts = batch.column(batch.schema.get_field_index(column))
+    first, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text.as_buffer()) if text.is_valid else 0
+        if held >= limit:
+            yield batch.slice(first, i + 1 - first)
+            first, held = i + 1, 0
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
+def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
+    """The UTF-8 bytes of each text, null as empty."""
+    return [x.as_buffer().to_pybytes() if x.is_valid else b"" for x in batch.column(batch.schema.get_field_index(column))]
+
+
+class Memo(dict):
+    """Values of a function, kept for words that return; forgotten when too many are held."""
+
+    def __init__(self, build: Callable, most: int = 300_000):
+        super().__init__()
+        self.build, self.most = build, most
+
+    def __missing__(self, key):
+        self[key] = value = self.build(key)
+        return value
+
+    def trim(self) -> None:
+        if len(self) > self.most:
+            self.clear()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import exact_dedup, line_dedup
+from labelmill.llm import decontaminate, exact_dedup, line_dedup
 from labelmill.llm.common import table
 
 
@@ -22,9 +22,17 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_one(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
@@ -60,4 +68,29 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op10_decontaminate": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), b AS (
+            SELECT item_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+            FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item_id, least(10, len(w)) AS n, list_slice(w, i, i + least(10, len(w)) - 1) AS win
+            FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+        ), places AS (
+            SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS win
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+        ), hits AS (
+            SELECT p.doc_id, p.i, p.n, v.item_id FROM places p JOIN windows v ON p.n = v.n AND p.win = v.win
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY doc_id
+        ), named AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+            FROM hits GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
 }
