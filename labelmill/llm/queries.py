@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import decontaminate, exact_dedup, line_dedup
+from labelmill.llm import bpe, decontaminate, exact_dedup, line_dedup
 from labelmill.llm.common import table
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_removed and the digest of the text that is left."""
     cleaned = line_dedup.clean_lines(table(spark, sf_dir, "documents"))
@@ -30,6 +41,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_bpe": op4_bpe,
     "op7_line_dedup": op7_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
