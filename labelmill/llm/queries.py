@@ -8,10 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import bpe, decontaminate, exact_dedup, line_dedup
+from labelmill.llm import bpe, decontaminate, exact_dedup, line_dedup, simhash
 from labelmill.llm.common import table
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex(F.col("fingerprint")[0])), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -41,6 +48,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op4_bpe": op4_bpe,
     "op7_line_dedup": op7_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
