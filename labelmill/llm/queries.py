@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import bpe, decontaminate, exact_dedup, line_dedup, simhash
+from labelmill.llm import bpe, decontaminate, exact_dedup, line_dedup, simhash, substring_dedup
 from labelmill.llm.common import table
 
 
@@ -29,6 +29,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_removed and the digest of the text that is left."""
     cleaned = line_dedup.clean_lines(table(spark, sf_dir, "documents"))
@@ -50,12 +55,33 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_bpe": op4_bpe,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_substring_dedup": r"""
+        WITH w AS (
+            SELECT doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+        ), windows AS (
+            SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS win
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w WHERE len(w) >= 13)
+        ), marked AS (
+            SELECT doc_id, i, doc_id > min(doc_id) OVER (PARTITION BY win) AS again FROM windows
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM marked WHERE again
+        ), places AS (
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM w
+        ), kept AS (
+            SELECT p.doc_id, count(*) AS n_words, count(g.k) AS n_removed,
+                   coalesce(string_agg(word, ' ' ORDER BY p.k) FILTER (WHERE g.k IS NULL), '') AS kept
+            FROM places p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.k = p.k GROUP BY p.doc_id
+        )
+        SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents d LEFT JOIN kept USING (doc_id)
+    """,
     "op7_line_dedup": """
         WITH parts AS (
             SELECT doc_id, text, source, string_split(text, chr(10)) AS raw, list_transform(string_split(text, chr(10)), lambda x: trim(x)) AS lines
