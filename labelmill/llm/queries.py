@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import bpe, decontaminate, exact_dedup, language, line_dedup, simhash, substring_dedup
+from labelmill.llm import bpe, decontaminate, exact_dedup, language, line_dedup, lm, simhash, substring_dedup
 from labelmill.llm.common import table
 
 
@@ -27,6 +27,15 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out, "lang_pred", "score")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the documents whose remainder is not 1, scores all."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
+    model, counts = lm.fit(docs.filter(~held_out).select(F.coalesce("text", F.lit("")).alias("text")))
+    scored = lm.score(docs, model, counts)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -63,6 +72,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_language_id": op2_language_id,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_bpe": op4_bpe,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
