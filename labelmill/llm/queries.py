@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import bpe, decontaminate, exact_dedup, language, line_dedup, lm, simhash, substring_dedup
+from labelmill.llm import bpe, decontaminate, exact_dedup, language, line_dedup, lm, simhash, substring_dedup, suffix_dedup
 from labelmill.llm.common import table
 
 
@@ -51,6 +51,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_removed and the digest of the text that is left."""
     cleaned = line_dedup.clean_lines(table(spark, sf_dir, "documents"))
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_bpe": op4_bpe,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
