@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from labelmill.llm.common import pieces, text_of
 
@@ -265,7 +266,5 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text") -> DataFra
                     names=[*rest, *new],
                 )
 
-    schema = docs.select(*[F.col(f"`{c}`") for c in rest]).schema
-    for part in PREDICTED.split(", "):
-        schema = schema.add(*part.split())
+    schema = StructType(docs.select(*[F.col(f"`{c}`") for c in rest]).schema.fields + StructType.fromDDL(PREDICTED).fields)
     return docs.select(*[F.col(f"`{c}`") for c in rest], text_of(text_column).alias(body)).mapInArrow(run, schema)
