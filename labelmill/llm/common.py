@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -91,3 +92,8 @@ class Memo(dict):
     def trim(self) -> None:
         if len(self) > self.most:
             self.clear()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder in the one that driver and executors share, ``spark.checkpoint.dir``."""
+    return f"{(spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/{uuid.uuid4().hex}"

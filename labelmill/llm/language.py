@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from labelmill.llm.common import pieces, text_of
+from labelmill.llm.common import pieces, texts_of
 
 TABLE_BITS = 18
 MOST_ROWS = 3000
@@ -227,27 +227,25 @@ def fit(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", m
 PREDICTED = "lang_pred string, score double, n_words long, shares array<double>"
 
 
-def predict(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, text_column: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with its own columns and lang_pred, score, n_words, shares (a share per language of the model).
 
     score is the share of the language that has most of the text, 0 to 1; ties go
     to the language that sorts first. A text that is null or has no letter is
     ``und`` with score 0, and so is every text if the model knows no language.
-    Rows stay one for one. Columns of those names in ``docs`` are replaced.
+    Rows stay one for one. The new columns' names begin with ``prefix``; columns
+    of ``docs`` that have these names are replaced.
     """
-    new = [part.split()[0] for part in PREDICTED.split(", ")]
-    rest = [c for c in docs.columns if c not in new]
-    body = "_body"
-    while body in rest:
-        body = "_" + body
+    added = StructType.fromDDL(", ".join(prefix + part for part in PREDICTED.split(", ")))
+    rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added.names])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         size = len(known.languages)
         for whole in batches:
-            for batch in pieces(whole, body):
-                words = [words_of(t) for t in batch.column(body).to_pylist()]
+            for batch in pieces(whole, text_column):
+                words = [words_of(t.decode()) for t in texts_of(batch, text_column)]
                 counts = np.array([len(w) for w in words], np.int64)
                 full = np.flatnonzero(counts) if size else np.empty(0, np.int64)
                 shares = np.zeros((len(words), size))
@@ -262,9 +260,8 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text") -> DataFra
                 names = [known.languages[b] if t else UNKNOWN for b, t in zip(best.tolist(), told.tolist())]
                 score = np.clip(shares[np.arange(len(words)), best], 0, 1) if size else np.zeros(len(words))
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c) for c in rest], pa.array(names, pa.string()), pa.array(score), pa.array(counts), pa.array(list(shares), pa.list_(pa.float64()))],
-                    names=[*rest, *new],
+                    [*batch.columns, pa.array(names, pa.string()), pa.array(score), pa.array(counts), pa.array(list(shares), pa.list_(pa.float64()))],
+                    names=[*batch.schema.names, *added.names],
                 )
 
-    schema = StructType(docs.select(*[F.col(f"`{c}`") for c in rest]).schema.fields + StructType.fromDDL(PREDICTED).fields)
-    return docs.select(*[F.col(f"`{c}`") for c in rest], text_of(text_column).alias(body)).mapInArrow(run, schema)
+    return rest.mapInArrow(run, StructType(rest.schema.fields + added.fields))

@@ -81,32 +81,27 @@ def clean_lines(
     are never judged. A boilerplate line stays once, at its first place in the
     document with the smallest id. A null text stays null with no lines; an empty
     text is one empty line. Rows without a site count for no site; without an id
-    they come before all ids. Repeated rows are treated alike. Columns named
-    ``_removed`` and ``_row`` are the operator's own and may not come in.
+    they come before all ids. Repeated rows are treated alike. Columns of ``docs``
+    named n_lines or n_removed are replaced; an empty table stays empty.
     """
-    named = docs.withColumn("_row", row_key(id_column, text_column))
+    named = docs.select(F.struct("*").alias("doc"), row_key(id_column, text_column).alias("row"))
+    text = F.col(f"doc.`{text_column}`").cast("string")
     marks = boilerplate(docs, id_column, text_column, site_column, min_sites, min_variety)
     lines = _lines(docs, id_column, text_column, site_column)
-    gone = (
-        lines.join(marks, "line").groupBy("row")
-        .agg(F.map_from_entries(F.collect_set(F.struct(F.hex("line"), F.col("row") == F.col("first")))).alias("_removed"))
-        .withColumnRenamed("row", "_row")
+    gone = lines.join(marks, "line").groupBy("row").agg(
+        F.map_from_entries(F.collect_set(F.struct(F.hex("line"), F.col("row") == F.col("first")))).alias("removed")
     )
     # a text's own lines bound its map; a document without boilerplate has none
-    parts = F.split(F.col(text_column), "\n", -1)
+    parts = F.split(text, "\n", -1)
     kept = F.filter(
         F.transform(parts, lambda x, i: F.struct(x.alias("x"), i.alias("i"), F.hex(_key(F.trim(x))).alias("k"))),
-        lambda s: ~F.map_contains_key("_removed", s["k"])
-        | (F.element_at("_removed", s["k"]) & (F.array_position(F.transform(parts, lambda y: F.trim(y)), F.trim(s["x"])) == s["i"] + 1)),
+        lambda s: ~F.map_contains_key("removed", s["k"])
+        | (F.element_at("removed", s["k"]) & (F.array_position(F.transform(parts, lambda y: F.trim(y)), F.trim(s["x"])) == s["i"] + 1)),
     )
-    joined = named.join(gone, "_row", "left")
-    n = F.coalesce(F.size(parts), F.lit(0))
-    with_lines = joined.withColumn("_kept", F.when(F.col("_removed").isNull(), F.lit(None)).otherwise(F.transform(kept, lambda s: s["x"])))
-    return with_lines.select(
-        *[
-            (F.when(F.col("_kept").isNull(), F.col(text_column)).otherwise(F.array_join("_kept", "\n")).alias(c) if c == text_column else F.col(f"`{c}`"))
-            for c in docs.columns
-        ],
-        F.when(F.col(text_column).isNull(), F.lit(0)).otherwise(n).cast("long").alias("n_lines"),
-        F.when(F.col("_kept").isNull(), F.lit(0)).otherwise(n - F.size("_kept")).cast("long").alias("n_removed"),
+    left = named.join(gone, "row", "left").withColumn("kept", F.when(F.col("removed").isNotNull(), F.transform(kept, lambda s: s["x"])))
+    n = F.when(text.isNull(), 0).otherwise(F.size(parts)).cast("long")
+    cleaned = F.when(F.col("kept").isNull(), text).otherwise(F.array_join("kept", "\n"))
+    return left.select(
+        *[cleaned.alias(c) if c == text_column else F.col(f"doc.`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")],
+        n.alias("n_lines"), F.when(F.col("kept").isNull(), F.lit(0).cast("long")).otherwise(n - F.size("kept")).alias("n_removed"),
     )

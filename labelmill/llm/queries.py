@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import bpe, decontaminate, exact_dedup, language, line_dedup, lm, simhash, substring_dedup, suffix_dedup
+from labelmill.llm import bpe, decontaminate, exact_dedup, language, licenses, line_dedup, lm, simhash, substring_dedup, suffix_dedup
 from labelmill.llm.common import table
 
 
@@ -63,6 +63,15 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", digest.alias("kept_sha256"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, the licences found, the stretches they stand in and the words those hold."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    held = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["words"])
+    names = F.array_join(F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["template"]))), ",")
+    places = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["template"], s["first"], s["words"])), ",")
+    return found.select("doc_id", "n_words", F.size("spans").cast("long").alias("n_spans"), names.alias("licenses"), places.alias("places"), held.alias("license_words"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_one(table(spark, sf_dir, "documents"), keep="max")
 
@@ -82,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op8_license_scan": op8_license_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
