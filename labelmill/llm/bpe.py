@@ -30,8 +30,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from labelmill.llm.common import Memo, pieces, text_of
+from labelmill.llm.common import Memo, pieces, texts_of
 
 NEVER = 1 << 60
 START = 0
@@ -211,24 +212,20 @@ def encode(docs: DataFrame, tokenizer: str, text_column: str = "text") -> DataFr
     said = read_tokenizer(tokenizer)
     compiled = Automaton(said["vocabulary"], said["merges"], said["word_end"])
     shared = docs.sparkSession.sparkContext.broadcast((compiled, said["pattern"], said["special"]))
-    rest = [c for c in docs.columns if c not in ("token_ids", "decoded")]
-    body = "_body"
-    while body in rest:
-        body = "_" + body
+    added = StructType.fromDDL("token_ids array<int>, decoded string")
+    rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added.names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(*shared.value)
         for whole in batches:
-            for batch in pieces(whole, body):
+            for batch in pieces(whole, text_column):
                 encoder.memo.trim()
-                ids = [encoder.encode(t) for t in batch.column(body).to_pylist()]
+                ids = [encoder.encode(t.decode()) for t in texts_of(batch, text_column)]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
-                columns = [batch.column(c) for c in rest]
+                decoded = pa.array(map(encoder.decode, ids), pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(map(encoder.decode, ids), pa.string())],
-                    names=[*rest, "token_ids", "decoded"],
+                    [*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), decoded], names=[*batch.schema.names, *added.names]
                 )
 
-    schema = docs.select(*[F.col(f"`{c}`") for c in rest]).schema.add("token_ids", "array<int>").add("decoded", "string")
-    return docs.select(*[F.col(f"`{c}`") for c in rest], text_of(text_column).alias(body)).mapInArrow(run, schema)
+    return rest.mapInArrow(run, StructType(rest.schema.fields + added.fields))
