@@ -15,6 +15,22 @@ def fixed_real(value: Column, places: int) -> Column:
     return F.when(F.endswith(text, F.lit(".")), F.concat(text, F.lit("0"))).otherwise(text)
 
 
+def plain_real(value: Column) -> Column:
+    """The shortest decimals that read back as the same double: 12345678.5, 0.0005, 2.0.
+
+    Without an exponent from 0.0001 to below 10^16, with one beyond, as ``1e+16`` and ``5e-05``.
+    """
+    value = value.cast("double")
+    printed = value.cast("string")
+    size = F.abs(value)
+    digits = F.rtrim(printed.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    plain = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
+    mantissa = F.regexp_replace(F.substring_index(printed, "E", 1), r"\.0$", "")
+    power = F.substring_index(printed, "E", -1).try_cast("int")
+    scaled = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    return F.when(value == 0, F.when(F.startswith(printed, F.lit("-")), "-0.0").otherwise("0.0")).when((size >= 1e-4) & (size < 1e16), plain).otherwise(scaled)
+
+
 def short_real(value: Column) -> Column:
     """The shortest text that reads back as the same double, always with a decimal point."""
     text = F.replace(value.cast("double").cast("string"), F.lit("E"), F.lit("e"))

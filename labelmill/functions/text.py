@@ -70,7 +70,7 @@ def fill_placeholders(template: Column, params: Column) -> Column:
 
     def filled(values: Column) -> Column:
         def fill(piece: Column) -> Column:
-            name = F.substring(piece, 2, 1_000_000)
+            name = F.substr(piece, F.lit(2))
             value = F.coalesce(F.try_element_at(values, name), F.concat(F.lit("{"), name, F.lit("}")))
             return F.when(F.startswith(piece, F.lit("\u0002")), value).otherwise(piece)
 

@@ -12,10 +12,11 @@ from labelmill.operators.families.frames import FRAMES, pick
 
 # The words names and texts are drawn from, and the draws of each
 # template.
-WORDS = (
-    "alder birch cedar dune ember fjord glade heath islet juniper kelp larch moss nettle orchid pine quartz reed "
-    "sedge thistle umber vale willow yarrow zephyr"
-).split()
+WORDS = [
+    "alder", "birch", "cedar", "dune", "ember", "fjord", "glade", "heath", "islet", "juniper", "kelp", "larch",
+    "moss", "nettle", "orchid", "pine", "quartz", "reed", "sedge", "thistle", "umber", "vale", "willow", "yarrow",
+    "zephyr",
+]
 
 
 def _name_draw(prefix: str) -> list[tuple]:

@@ -77,6 +77,13 @@ def pick(rows: DataFrame, frames: dict[str, list[str]], params: Column) -> DataF
     return filled.withColumn("intent", tx.fill_placeholders(F.col("frame"), params)).drop("frame")
 
 
+def unframed(rows: DataFrame, frames: dict[str, list[str]]) -> DataFrame:
+    """Rows of a template that has no sentences, which ``pick`` cannot tell: (subject, problem)."""
+    return rows.filter(F.col("template_id").isNull() | ~F.col("template_id").isin(*frames)).select(
+        F.concat_ws("/", "template_id", F.col("seed").cast("string")).alias("subject"), F.lit("no sentence for the template").alias("problem")
+    )
+
+
 def unfilled_problems(rows: DataFrame, frames: dict[str, list[str]], params: Column) -> DataFrame:
     """Rows whose frame wants a name the row does not carry: (template_id, seed, missing)."""
     dimension = frame_dimension(rows.sparkSession, frames)

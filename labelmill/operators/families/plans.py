@@ -77,6 +77,14 @@ def rows(jobs: DataFrame, canonical: DataFrame) -> DataFrame:
     )
 
 
+def unplanned(jobs: DataFrame, canonical: DataFrame) -> DataFrame:
+    """Jobs that give no row: a template without a goal, a goal without a program. (subject, problem)"""
+    subject = F.concat_ws("/", "template_id", F.col("seed").cast("string")).alias("subject")
+    told = jobs.join(F.broadcast(goal_dimension(jobs.sparkSession)), "template_id", "left")
+    aimless = told.filter("goal is null").select(subject, F.lit("no goal for the template").alias("problem"))
+    return aimless.unionByName(told.filter("goal is not null").join(canonical.select("goal"), "goal", "left_anti").select(subject, F.lit("no program for the goal").alias("problem")))
+
+
 def unmutated(made: DataFrame) -> DataFrame:
     """Rows no mutation changed: (subject, problem)."""
     return made.filter(F.col("rank1") == F.col("rank3")).select(

@@ -24,8 +24,8 @@ def _four(x: float) -> str:
     return text + "0" if text.endswith(".") else text
 
 
-def _reals(names: str, low: float, high: float, places: int) -> list[tuple]:
-    return [(name, "uniform", low, high, places) for name in names.split()]
+def _reals(names: list[str], low: float, high: float, places: int) -> list[tuple]:
+    return [(name, "uniform", low, high, places) for name in names]
 
 
 def _either(name: str, of: str, yes: str, no: str) -> tuple:
@@ -44,14 +44,14 @@ DRAWS = {
         _plus("kp", 10.0),
     ],
     "trainer_tracking": [
-        *_reals("wl wa", 0.5, 4.0, 2), ("sl", "choice", [0.25, 0.5, 0.7071, 1.0]), ("sa", "choice", [0.25, 0.5, 0.7071, 1.0]), _plus("wl", 0.5, 2),
+        *_reals(["wl", "wa"], 0.5, 4.0, 2), ("sl", "choice", [0.25, 0.5, 0.7071, 1.0]), ("sa", "choice", [0.25, 0.5, 0.7071, 1.0]), _plus("wl", 0.5, 2),
     ],
-    "trainer_gait": [*_reals("wa wc ws wp wl", -1.0, 2.0, 2), *_reals("hc hs", 0.05, 0.2, 3), _plus("hc", 0.05, 3)],
+    "trainer_gait": [*_reals(["wa", "wc", "ws", "wp", "wl"], -1.0, 2.0, 2), *_reals(["hc", "hs"], 0.05, 0.2, 3), _plus("hc", 0.05, 3)],
     "trainer_regularisers": [
-        *_reals("wr wb wm wd wc", -2.0, 0.0, 3), *_reals("wu wp", 0.2, 2.0, 2), ("su", "choice", [0.3, 0.4472, 0.6]), ("ft", "choice", [50.0, 100.0, 200.0]),
+        *_reals(["wr", "wb", "wm", "wd", "wc"], -2.0, 0.0, 3), *_reals(["wu", "wp"], 0.2, 2.0, 2), ("su", "choice", [0.3, 0.4472, 0.6]), ("ft", "choice", [50.0, 100.0, 200.0]),
         _plus("wr", -0.25, 3),
     ],
-    "trainer_rom": [*_reals("w", -2.0, -0.1, 2), _plus("w", -0.3, 2)],
+    "trainer_rom": [*_reals(["w"], -2.0, -0.1, 2), _plus("w", -0.3, 2)],
     "trainer_observation_noise": [(f"n{i}", "choice", [0.0, 0.01, 0.02, 0.05, 0.1, 0.2]) for i in range(len(OBSERVED))],
     "trainer_terminations": [("deg", "choice", [45.0, 60.0, 70.0, 80.0, 90.0]), _plus("deg", 5.0)],
     "trainer_action": [
@@ -60,7 +60,7 @@ DRAWS = {
         _either("pose", "off", "around the default pose", "with no offset"), _plus("scale", 0.1, 2),
     ],
     "trainer_command": [
-        *_reals("vx", 0.5, 2.0, 2), *_reals("vy", 0.2, 1.0, 2), *_reals("wz", 0.3, 1.5, 2), ("back", "choice", [True, False]),
+        *_reals(["vx"], 0.5, 2.0, 2), *_reals(["vy"], 0.2, 1.0, 2), *_reals(["wz"], 0.3, 1.5, 2), ("back", "choice", [True, False]),
         ("low", "derive", lambda v: -v["vx"][0] if v["back"][0] else 0.0), ("vyn", "derive", lambda v: -v["vy"][0]), ("wzn", "derive", lambda v: -v["wz"][0]),
         _either("backward", "back", " and backward as far", ", never backward"), _either("or_back", "back", " or backward", ""), _plus("vx", 0.5, 2),
         ("wrong_low", "derive", lambda v: -v["wrong"][0] if v["back"][0] else 0.0),
@@ -72,7 +72,7 @@ DRAWS = {
     ],
     "trainer_scene": [("n", "choice", [16, 64, 256, 512, 1024, 2048, 4096]), ("wrong", "derive", lambda v: v["n"][0] * 2)],
     "trainer_randomisation": [
-        *_reals("fmin", 0.2, 0.6, 2), *_reals("fmax", 0.8, 1.5, 2), ("bias", "choice", [0.005, 0.01, 0.015, 0.02, 0.03]),
+        *_reals(["fmin"], 0.2, 0.6, 2), *_reals(["fmax"], 0.8, 1.5, 2), ("bias", "choice", [0.005, 0.01, 0.015, 0.02, 0.03]),
         *[(c, "choice", [0.01, 0.02, 0.025, 0.03, 0.05]) for c in ("cx", "cy", "cz")], ("biasn", "derive", lambda v: -v["bias"][0]), _plus("fmin", 0.1, 2),
     ],
     "trainer_push": [
@@ -85,37 +85,38 @@ CHANGED = {
     "trainer_action": "scale", "trainer_command": "vx", "trainer_sim_rate": "dec", "trainer_scene": "n", "trainer_randomisation": "fmin", "trainer_push": "vel",
 }
 
-# The calls of each template, (block name, signature, arguments).
+# The calls of each template, (block name, signature, [(argument, drawn value)]).
 CALLS = {
-    "trainer_actuator_pd": [("a", "Actuator.pd", "stiffness=kp damping=kd effort_limit=lim")],
-    "trainer_tracking": [("a", "Reward.track_linear_velocity", "weight=wl std=sl"), ("b", "Reward.track_angular_velocity", "weight=wa std=sa")],
+    "trainer_actuator_pd": [("a", "Actuator.pd", [("stiffness", "kp"), ("damping", "kd"), ("effort_limit", "lim")])],
+    "trainer_tracking": [("a", "Reward.track_linear_velocity", [("weight", "wl"), ("std", "sl")]), ("b", "Reward.track_angular_velocity", [("weight", "wa"), ("std", "sa")])],
     "trainer_gait": [
-        ("a", "Reward.air_time", "weight=wa"), ("c", "Reward.foot_clearance", "weight=wc target_height=hc"),
-        ("s", "Reward.foot_swing_height", "weight=ws target_height=hs"), ("p", "Reward.foot_slip", "weight=wp"), ("l", "Reward.soft_landing", "weight=wl"),
+        ("a", "Reward.air_time", [("weight", "wa")]), ("c", "Reward.foot_clearance", [("weight", "wc"), ("target_height", "hc")]),
+        ("s", "Reward.foot_swing_height", [("weight", "ws"), ("target_height", "hs")]), ("p", "Reward.foot_slip", [("weight", "wp")]), ("l", "Reward.soft_landing", [("weight", "wl")]),
     ],
     "trainer_regularisers": [
-        ("r", "Reward.action_rate_l2", "weight=wr"), ("b", "Reward.body_ang_vel", "weight=wb"), ("m", "Reward.angular_momentum", "weight=wm"),
-        ("d", "Reward.dof_pos_limits", "weight=wd"), ("c", "Reward.self_collisions", "weight=wc force_threshold=ft"),
-        ("u", "Reward.upright", "weight=wu std=su"), ("p", "Reward.pose", "weight=wp"),
+        ("r", "Reward.action_rate_l2", [("weight", "wr")]), ("b", "Reward.body_ang_vel", [("weight", "wb")]), ("m", "Reward.angular_momentum", [("weight", "wm")]),
+        ("d", "Reward.dof_pos_limits", [("weight", "wd")]), ("c", "Reward.self_collisions", [("weight", "wc"), ("force_threshold", "ft")]),
+        ("u", "Reward.upright", [("weight", "wu"), ("std", "su")]), ("p", "Reward.pose", [("weight", "wp")]),
     ],
-    "trainer_rom": [("r", "Reward.rom_penalty", "weight=w"), ("c", "Metric.rom_clearance", ""), ("m", "Metric.mean_action_acc", "")],
+    "trainer_rom": [("r", "Reward.rom_penalty", [("weight", "w")]), ("c", "Metric.rom_clearance", []), ("m", "Metric.mean_action_acc", [])],
     "trainer_observation_noise": [
-        *[(f"o{i}", f"Observation.{o}", f"noise=n{i}") for i, o in enumerate(OBSERVED)], ("a", "Observation.actions", ""), ("c", "Observation.command", ""),
+        *[(f"o{i}", f"Observation.{o}", [("noise", f"n{i}")]) for i, o in enumerate(OBSERVED)], ("a", "Observation.actions", []), ("c", "Observation.command", []),
     ],
-    "trainer_terminations": [("t", "Termination.time_out", ""), ("f", "Termination.fell_over", "limit_deg=deg")],
-    "trainer_action": [("a", "Action.joint_pos", "scale=scale use_default_offset=flag")],
+    "trainer_terminations": [("t", "Termination.time_out", []), ("f", "Termination.fell_over", [("limit_deg", "deg")])],
+    "trainer_action": [("a", "Action.joint_pos", [("scale", "scale"), ("use_default_offset", "flag")])],
     "trainer_command": [
-        ("c", "Command.twist", "lin_vel_x_min=low lin_vel_x_max=vx lin_vel_y_min=vyn lin_vel_y_max=vy ang_vel_z_min=wzn ang_vel_z_max=wz"),
+        ("c", "Command.twist", [("lin_vel_x_min", "low"), ("lin_vel_x_max", "vx"), ("lin_vel_y_min", "vyn"), ("lin_vel_y_max", "vy"), ("ang_vel_z_min", "wzn"), ("ang_vel_z_max", "wz")]),
     ],
-    "trainer_sim_rate": [("c", "Sim.control", "timestep=ts decimation=dec"), ("e", "Sim.episode", "length_s=length")],
-    "trainer_scene": [("s", "Scene.num_envs", "n=n")],
+    "trainer_sim_rate": [("c", "Sim.control", [("timestep", "ts"), ("decimation", "dec")]), ("e", "Sim.episode", [("length_s", "length")])],
+    "trainer_scene": [("s", "Scene.num_envs", [("n", "n")])],
     "trainer_randomisation": [
-        ("f", "Event.foot_friction", "min=fmin max=fmax"), ("e", "Event.encoder_bias", "min=biasn max=bias"), ("c", "Event.base_com", "x=cx y=cy z=cz"),
+        ("f", "Event.foot_friction", [("min", "fmin"), ("max", "fmax")]), ("e", "Event.encoder_bias", [("min", "biasn"), ("max", "bias")]), ("c", "Event.base_com", [("x", "cx"), ("y", "cy"), ("z", "cz")]),
     ],
-    "trainer_push": [("p", "Event.push_robot", "interval_min_s=a interval_max_s=b vel=vel")],
+    "trainer_push": [("p", "Event.push_robot", [("interval_min_s", "a"), ("interval_max_s", "b"), ("vel", "vel")])],
 }
 
-# What the configuration must read back, (path, kind, value).
+# What the configuration must read back, (path, kind, value); the value is
+# a member's name for ``member``, a drawn value's name for the other kinds.
 EXPECTED = {
     "trainer_actuator_pd": [("actuators.pd.stiffness", "each", "kp"), ("actuators.pd.damping", "each", "kd"), ("actuators.pd.effort_limit", "each", "lim")],
     "trainer_tracking": [
@@ -133,11 +134,11 @@ EXPECTED = {
         ("rewards.self_collisions.force_threshold", "close", "ft"), ("rewards.upright.weight", "close", "wu"), ("rewards.upright.std", "close", "su"),
         ("rewards.pose.weight", "close", "wp"),
     ],
-    "trainer_rom": [("rewards.rom_penalty.weight", "close", "w"), ("metrics", "member", "'rom_clearance"), ("metrics", "member", "'mean_action_acc")],
+    "trainer_rom": [("rewards.rom_penalty.weight", "close", "w"), ("metrics", "member", "rom_clearance"), ("metrics", "member", "mean_action_acc")],
     "trainer_observation_noise": [
-        *[(f"observations.{o}.noise", "close", f"n{i}") for i, o in enumerate(OBSERVED)], ("observations", "member", "'actions"), ("observations", "member", "'command"),
+        *[(f"observations.{o}.noise", "close", f"n{i}") for i, o in enumerate(OBSERVED)], ("observations", "member", "actions"), ("observations", "member", "command"),
     ],
-    "trainer_terminations": [("terminations", "member", "'time_out"), ("terminations.fell_over.limit_deg", "close", "deg")],
+    "trainer_terminations": [("terminations", "member", "time_out"), ("terminations.fell_over.limit_deg", "close", "deg")],
     "trainer_action": [("actions.joint_pos.scale", "close", "scale"), ("actions.joint_pos.use_default_offset", "equal", "json")],
     "trainer_command": [
         ("commands.twist.lin_vel_x[0]", "close", "low"), ("commands.twist.lin_vel_x[1]", "close", "vx"), ("commands.twist.lin_vel_y[0]", "close", "vyn"),
@@ -231,7 +232,7 @@ def call_text(template: str) -> str:
     for name, signature, arguments in CALLS[template]:
         pins = [f"EN={before}.ENO"] if before else []
         pins.append(f'TARGET="{signature.split(".")[0].lower()}"')
-        pins += ['{}="{{{}}}"'.format(*argument.split("=")) for argument in arguments.split()]
+        pins += [f'{argument}="{{{value}}}"' for argument, value in arguments]
         lines.append(f"{name} = CALL[{signature}]({', '.join(pins)})")
         before = name
     return "\n".join([*lines, f"done = {before}.ENO", ""])
@@ -264,12 +265,12 @@ def expectations(made: DataFrame) -> DataFrame:
     """(template_id, seed, path, kind, expected) of each row, for ``expectations.config_readback``."""
     v = F.col("values")
 
-    def value(name: str) -> Column:
-        return F.lit(name[1:]) if name.startswith("'") else drawn(v, name)
+    def value(kind: str, name: str) -> Column:
+        return F.lit(name) if kind == "member" else drawn(v, name)
 
     wanted = _by_template(
         {
-            t: F.array(*[F.struct(F.lit(f"$.{path}").alias("path"), F.lit(kind).alias("kind"), value(name).alias("expected")) for path, kind, name in entries])
+            t: F.array(*[F.struct(F.lit(f"$.{path}").alias("path"), F.lit(kind).alias("kind"), value(kind, name).alias("expected")) for path, kind, name in entries])
             for t, entries in EXPECTED.items()
         }
     )

@@ -35,7 +35,7 @@ def _file_parts(parts: Column) -> Column:
     stem = F.when(file.rlike(r"[^.]\.[^.]*$"), F.regexp_replace(file, r"\.[^.]*$", "")).otherwise(file)
     return F.struct(
         ((F.size(parts) == 4) & F.startswith(trial, F.lit("trial_"))).alias("ok"),
-        F.substring(trial, 7, 1 << 30).alias("trial"),
+        F.substr(trial, F.lit(7)).alias("trial"),
         F.get(parts, 2).alias("directory"),
         F.split(stem, "_").alias("texts"),
         F.when(file.rlike(r"[^.]\.[^.]*$"), F.concat(F.lit("."), F.substring_index(file, ".", -1))).otherwise("").alias("extension"),

@@ -28,10 +28,12 @@ def root_rows(rows: DataFrame) -> DataFrame:
     """In-flight rows -> root relation: stub literals, canonical blocks, provenance.
 
     ``rows`` carries family, template_id, seed, intent, frame_id, blocks
-    (array) and, optionally, traces (array).
+    (array) and, optionally, traces (array). A row of a family without a stub
+    keeps null stub columns, which the null gate refuses; ``unknown_families``
+    names it.
     """
     traces = F.col("traces") if "traces" in rows.columns else F.array().cast("array<string>")
-    with_stub = rows.join(F.broadcast(stub_dimension(rows.sparkSession)), "family")
+    with_stub = rows.join(F.broadcast(stub_dimension(rows.sparkSession)), "family", "left")
     return with_stub.select(
         tx.row_key(F.col("family"), F.col("template_id"), F.col("seed")).alias("key"),
         "task_type", "dimension", "input_column", "input_asset_kind", "intent", "template_id",
@@ -43,6 +45,13 @@ def root_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def unknown_families(rows: DataFrame) -> DataFrame:
+    """Rows of a family that has no stub: (subject, problem)."""
+    return rows.filter(F.col("family").isNull() | ~F.col("family").isin(*schemas.STUBS)).select(
+        tx.row_key(F.col("family"), F.col("template_id"), F.col("seed")).alias("subject"), F.lit("unknown family").alias("problem")
+    )
+
+
 def candidate_of_ranks(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Unpivot one column per rank into one row per rank: (…, candidate, rank, fbd_text)."""
     entries = [
@@ -98,7 +107,8 @@ def joined_view(root: DataFrame, candidates: DataFrame, scores: DataFrame) -> Da
     aggregate slots per row rather than a collected list. Candidates and scores
     meet in the same aggregation, so the texts are shuffled once, and the join
     with the root reuses that partitioning. A candidate without a score keeps a
-    null one, which ``unscored`` and the null gate name.
+    null one, which ``unscored`` and the null gate name. A root row without
+    candidates keeps an empty list and is named by the census.
     """
     held = candidates.select("row_key", "candidate", F.struct(*CANDIDATE_COLUMNS).alias("c"))
     verdicts = scores.select("row_key", "candidate", F.struct(*SCORE_COLUMNS).alias("s"))
@@ -111,8 +121,9 @@ def joined_view(root: DataFrame, candidates: DataFrame, scores: DataFrame) -> Da
         for name, _ in schemas.RANKS
     ]
     nested = slots.select("row_key", F.array_compact(F.array(*entries)).alias("candidates"))
-    return root.join(nested, F.col("key") == F.col("row_key")).select(
-        "key", "intent", "template_id", "seed", "traces", "candidates"
+    held = F.coalesce("candidates", F.array().cast(nested.schema["candidates"].dataType))
+    return root.join(nested, F.col("key") == F.col("row_key"), "left").select(
+        "key", "intent", "template_id", "seed", "traces", held.alias("candidates")
     )
 
 

@@ -32,7 +32,7 @@ def _binary_values(spark: SparkSession, sf: str) -> DataFrame:
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     """(repo, name, dtype): what each source's card declares."""
     d = b.table(spark, sf, "documents").select("source").distinct()
-    n = F.substring("source", 4, 9).cast("int")
+    n = F.substr("source", F.lit(4)).cast("int")
     entries = F.array(
         F.struct(F.lit("image").alias("name"), F.when(n % 2 == 0, "image").otherwise("binary").alias("dtype")),
         F.struct(F.lit("absent").alias("name"), F.lit("audio").alias("dtype")),

@@ -15,7 +15,7 @@ from labelmill.plans import bindings as b
 def _templates(spark: SparkSession, sf: str) -> DataFrame:
     """(ord, template_id): the sources, numbered from 0 by their own number."""
     d = b.table(spark, sf, "documents").select("source").distinct()
-    return d.select(F.substring("source", 4, 9).cast("int").alias("ord"), F.col("source").alias("template_id"))
+    return d.select(F.substr("source", F.lit(4)).cast("int").alias("ord"), F.col("source").alias("template_id"))
 
 
 def _seeds(spark: SparkSession, sf: str) -> DataFrame:
@@ -29,7 +29,7 @@ def _schedule(spark, sf):
 def _spaces(spark: SparkSession, sf: str) -> DataFrame:
     """(ord, template_id, space): capacities of very different size, from the documents of each source."""
     d = b.table(spark, sf, "documents")
-    number = F.substring("source", 4, 9).cast("int")
+    number = F.substr("source", F.lit(4)).cast("int")
     per = d.groupBy(number.alias("ord"), F.col("source").alias("template_id")).agg(F.count(F.lit(1)).alias("n"))
     return per.select("ord", "template_id", (F.col("n") * (F.col("ord") % 5 + 1) * (F.col("ord") % 3 + 1) + F.col("ord")).alias("space"))
 

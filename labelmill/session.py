@@ -1,10 +1,12 @@
-"""Session defaults and the shared folder used to cut lineage."""
+"""Session defaults, and the package for the workers."""
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # AQE picks the join strategy from measured sizes and splits skewed join
 # partitions; the byte sizes keep a task's input and a shuffle partition well
@@ -30,15 +32,18 @@ def build_session(app: str = "labelmill", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    The checkpoint is reliable: it survives the loss of the executors that wrote
-    it. A folder is chosen here only where the session names none, as in tests.
-    """
-    spark = df.sparkSession
+def ship(spark: SparkSession) -> None:
+    """Give the package to the session's Python workers, once: they import it from an archive Spark hands them."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint(eager=True)
+    if getattr(context, "_labelmill_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="spark-"), "labelmill.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.join("labelmill", os.path.relpath(full, package)))
+    context.addPyFile(path)
+    context._labelmill_shipped = True

@@ -22,6 +22,7 @@ def archive_stream(spark: SparkSession, base: str, per_batch: int = 64) -> DataF
         spark.readStream.format("binaryFile").schema(BINARY_FILE)
         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").option("maxFilesPerTrigger", per_batch)
         .load(base)
+        .filter(F.col("length") < archives.MOST_BYTES)
         .select("path", "length", "content")
     )
 
@@ -36,17 +37,20 @@ def ingest(spark: SparkSession, base: str, out: str, checkpoint: str, subjects:
     """Convert every archive not yet converted, then stop.
 
     A micro-batch is overwritten by its own id when it is retried, so a batch
-    lost half-way is written once. Refused entries are written beside the media.
+    lost half-way is written once. Refused entries are written beside the media,
+    those of a subject that ``subjects`` does not list among them; archives too
+    large to read are in ``archives.oversized``.
     """
     splits = subjects.select(F.col("sub_id").alias("subject"), "split")
 
     def convert(batch: DataFrame, batch_id: int) -> None:
         # expanded once per batch; a lost block is expanded again from its archive
         keyed = batch.join(splits, "subject", "left").persist(StorageLevel.DISK_ONLY)
-        refused = media.entry_problems(keyed)
+        unlisted = keyed.filter("split is null").select("archive", "name", F.lit("unknown_subject").alias("problem"))
+        refused = media.entry_problems(keyed.filter("split is not null")).unionByName(unlisted)
         refused.write.mode("overwrite").parquet(f"{out}/refused/batch={batch_id}")
         bad = refused.select("archive").distinct()
-        clean = keyed.join(bad, "archive", "left_anti").filter("split is not null")
+        clean = keyed.join(bad, "archive", "left_anti")
         counts = media.group_counts(clean)
         archives.write_media(clean, f"{out}/media/batch={batch_id}", "overwrite")
         counts.write.mode("overwrite").parquet(f"{out}/groups/batch={batch_id}")
