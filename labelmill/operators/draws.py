@@ -10,6 +10,9 @@ A plan is a list of steps:
   (name, "randint", low, high)           an integer, both ends included
   (name, "choice", [values])             one of the values
   (name, "coin")                         true or false
+  (name, "choose", fn)                   one of the values fn(values) lists
+  (name, "sample", [values], count)      a list of some of the values, each once
+  (name, "shuffle", [values])            the list of the values in another order
   (name, "derive", fn)                   fn(values) -> value, nothing drawn
   (name, "repeat", count, [steps])       steps again and again; count is a number or an earlier name
 Every name maps to the list of the values it took, as text.
@@ -41,6 +44,13 @@ def _run(rng: random.Random, steps: Sequence[tuple], values: dict[str, list]) ->
             value = rng.randint(args[0], args[1])
         elif kind == "choice":
             value = rng.choice(args[0])
+        elif kind == "choose":
+            value = rng.choice(args[0](values))
+        elif kind == "sample":
+            value = rng.sample(args[0], args[1])
+        elif kind == "shuffle":
+            value = list(args[0])
+            rng.shuffle(value)
         elif kind == "coin":
             value = rng.random() < 0.5
         else:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from labelmill.functions import numeric as nm
 from labelmill.functions import text as tx
 from labelmill.operators import allocation, mutations
-from labelmill.operators.families import blocks, chores, controllers, frames, methods, plans, settings
+from labelmill.operators.families import blocks, calls, chores, controllers, frames, methods, plans, settings
 from labelmill.plans import bindings as b
 
 
@@ -174,6 +174,16 @@ def _settings_expected(spark, sf):
     return wanted.groupBy("template_id", "kind").agg(F.count("expected").alias("n"))
 
 
+def _calls(spark, sf):
+    return calls.rows(_jobs_of(spark, sf, list(calls.CALLS))).drop("values", "traces")
+
+
+def _calls_expected(spark, sf):
+    """Expected returns of every call row, counted by template and kind."""
+    wanted = calls.expectations(calls.rows(_jobs_of(spark, sf, list(calls.CALLS))))
+    return wanted.groupBy("template_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _harness(spark, sf):
     """Block behaviours: every document is a base program under a behaviour's name, one row per document."""
     kinds = F.array(*[F.lit(k) for k in blocks.INTENTS])
@@ -207,6 +217,8 @@ QUERIES = {
     "generate_settings": _settings,
     "settings_expectations": _settings_expected,
     "generate_behaviours": _harness,
+    "generate_calls": _calls,
+    "calls_expectations": _calls_expected,
 }
 
 _SPACES = """
@@ -233,6 +245,9 @@ _FRAMES = "frames(ord, template_id, frame_id, frame, k) AS (VALUES " + ", ".join
 _EXPECTED = ", ".join(f"({i}, '{t}', '{kind}')" for i, t in enumerate(settings.CALLS) for _, kind, _ in settings.EXPECTED[t])
 
 
+_RETURNS = ", ".join(f"({i}, '{t}', '{kind}')" for i, t in enumerate(calls.CALLS) for _, kind, _ in calls.EXPECTED[t])
+
+
 def _fill(column: str) -> str:
     for name in ("text", "path", "n", "k", "names", "gain", "cap", "ms", "style"):
         column = f"replace({column}, '{{{name}}}', '{name}<x>' || o_orderkey)"
@@ -249,6 +264,7 @@ ORACLES = {
     "capacity_problem": f"WITH {_SPACES} SELECT 'allocation' AS subject, 'space ' || CAST(sum(space) AS BIGINT) || ' is below the 1000000000000 rows asked for' AS problem FROM spaces",
     "frame_pick_fill": f"WITH {_FRAMES} SELECT template_id, o_orderkey AS seed, CAST(frame_id AS BIGINT) AS frame_id, {_fill('frame')} AS intent FROM orders JOIN frames ON o_orderkey % 9 = ord AND o_orderkey % k = frame_id",
     "frame_problems": f"WITH {_FRAMES} SELECT template_id, o_orderkey AS seed, 'path' AS missing FROM orders JOIN frames ON o_orderkey % 9 = ord AND o_orderkey % k = frame_id WHERE o_orderkey % 10 = 3 AND contains(frame, '{{path}}')",
+    "calls_expectations": f"SELECT template_id, kind, count(*) AS n FROM orders JOIN (VALUES {_RETURNS}) e(ord, template_id, kind) ON o_orderkey // 10 % {len(calls.CALLS)} = ord GROUP BY ALL",
     "settings_expectations": f"SELECT template_id, kind, count(*) AS n FROM orders JOIN (VALUES {_EXPECTED}) e(ord, template_id, kind) ON o_orderkey // 10 % {len(settings.CALLS)} = ord GROUP BY ALL",
     "short_ids": "SELECT doc_id, 'U' || substr(sha1(source || '/' || doc_id), 1, 10) AS class_name FROM documents",
     "vector_readback": """
