@@ -14,9 +14,9 @@ does, and windows in a row share anchors. The steps:
    whenever enough have gathered, so memory holds some groups, not a partition;
 5. what is found goes back to the documents.
 
-A group is an anchor's hash. A hash with more than HOT places would be a group of
-any size, so its windows are taken one by one, and each window is a group: those
-are counted by partial aggregation and never gathered.
+A group is an anchor's hash. A hash with more places than a task is to hold would
+be a group of any size, so its windows are taken one by one, and each window is a
+group: those are counted by partial aggregation and never gathered.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 
 from labelmill.llm.common import pieces, text_of, texts_of
 
-HOT = 10_000
 #: Bytes of spans that are resolved at a time, and window starts whose anchors are sought at a time.
 HELD_BYTES = 4 << 20
 STRETCH = 1 << 20
@@ -47,21 +46,30 @@ class Kind:
 
     window: int
     gram: int
+    #: places of an anchor's hash that a task is to hold at a time, at most
+    held: int
     read: Callable
     write: Callable
     #: whether a repeat counts only if it starts in a document with a smaller id
     earlier: bool
 
 
+def _joined(first: np.ndarray, size: int, second: np.ndarray) -> np.ndarray:
+    """Hashes of runs: ``size`` symbols, then what ``second`` hashes."""
+    n = max(0, len(second) - size)
+    out = first[:n] * np.uint64(0x9E3779B97F4A7C15) + second[size:]
+    out ^= out >> np.uint64(31)
+    return out * _MIX
+
+
 def gram_hashes(hashes: np.ndarray, gram: int) -> np.ndarray:
-    """A hash of every ``gram`` (a power of two) symbols in a row, by doubling."""
-    step = 1
-    while step < gram:
-        hashes = hashes[: len(hashes) - step] * np.uint64(0x9E3779B97F4A7C15) + hashes[step:]
-        hashes ^= hashes >> np.uint64(31)
-        hashes *= _MIX
-        step *= 2
-    return hashes ^ (hashes >> np.uint64(29))
+    """A hash of every ``gram`` symbols in a row, from runs of half the length and single symbols."""
+    runs, size = hashes, 1
+    for bit in f"{gram:b}"[1:]:
+        runs, size = _joined(runs, size, runs), 2 * size
+        if bit == "1":
+            runs, size = _joined(runs, size, hashes), size + 1
+    return runs ^ (runs >> np.uint64(29))
 
 
 def find_anchors(grams: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,52 +122,44 @@ def _anchor_rows(kind: Kind):
     return run
 
 
-SPAN = "anchor long, id long, row long, start long, span binary, digest binary"
+SPAN = "anchor long, id long, row long, start long, span binary"
+WINDOW = "digest binary, id long, row long, start long"
 
 
-def _span_rows(kind: Kind):
-    """Documents with their candidate places -> spans; the windows of hot anchors one by one, as digests."""
+def _span_rows(kind: Kind, single: bool):
+    """Documents with their candidate places -> spans, or, where the anchor has too many places, windows by their digests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = kind.read()
         for whole in batches:
             for batch in pieces(whole):
-                out: dict[str, list] = {name: [] for name in ("anchor", "id", "row", "start", "span", "digest")}
+                out: tuple[list, ...] = ([], [], [], [], [])
                 held = 0
                 for text, id_, row, marked in zip(texts_of(batch), batch.column("id").to_pylist(), batch.column("row").to_pylist(), batch.column("places")):
                     symbols, hashed, places, first, last = _spans_of(kind, reader, text)
-                    pairs = marked.values.flatten()
-                    wanted, hot = pairs[0].to_numpy(zero_copy_only=False), pairs[1].to_numpy(zero_copy_only=False)
-                    order = np.argsort(wanted)
-                    wanted, hot = wanted[order], hot[order]
-                    at = np.searchsorted(wanted, places)
-                    at[at == len(wanted)] = 0
-                    for k in np.flatnonzero(wanted[at] == places).tolist():
+                    wanted = marked.values.to_numpy()
+                    for k in np.flatnonzero(np.isin(places, wanted)).tolist():
                         a, b = int(first[k]), int(last[k])
-                        if hot[at[k]]:
-                            spans = [(s, None, hashlib.md5(kind.write(symbols, s, s + kind.window)).digest()) for s in range(a, b + 1)]
-                        else:
-                            spans = [(a, kind.write(symbols, a, b + kind.window), None)]
-                        for start, span, digest in spans:
-                            out["anchor"].append(int(hashed[k]))
-                            out["id"].append(id_)
-                            out["row"].append(row)
-                            out["start"].append(start)
-                            out["span"].append(span)
-                            out["digest"].append(digest)
-                            held += len(span) if span else 16
+                        for s, end in [(s, s + kind.window) for s in range(a, b + 1)] if single else [(a, b + kind.window)]:
+                            span = kind.write(symbols, s, end)
+                            for values, value in zip(out, (int(hashed[k]), id_, row, s, hashlib.md5(span).digest() if single else span)):
+                                values.append(value)
+                            held += len(out[4][-1])
                     if held > HELD_BYTES:
-                        yield _record(out)
-                        out, held = {name: [] for name in out}, 0
-                if out["anchor"]:
-                    yield _record(out)
+                        yield _record(out, single)
+                        out, held = ([], [], [], [], []), 0
+                if out[0]:
+                    yield _record(out, single)
 
     return run
 
 
-def _record(out: dict[str, list]) -> pa.RecordBatch:
-    kinds = {"span": pa.binary(), "digest": pa.binary()}
-    return pa.RecordBatch.from_arrays([pa.array(v, kinds.get(n, pa.int64())) for n, v in out.items()], names=list(out))
+def _record(out: tuple[list, ...], single: bool) -> pa.RecordBatch:
+    anchor, id_, row, start = (pa.array(v, pa.int64()) for v in out[:4])
+    body = pa.array(out[4], pa.binary())
+    if single:
+        return pa.RecordBatch.from_arrays([body, id_, row, start], names=["digest", "id", "row", "start"])
+    return pa.RecordBatch.from_arrays([anchor, id_, row, start, body], names=["anchor", "id", "row", "start", "span"])
 
 
 RUN = "row long, id long, first long, last long"
@@ -211,17 +211,19 @@ def repeated_windows(texts: DataFrame, kind: Kind, resolve: Callable) -> DataFra
     """
     places = texts.mapInArrow(_anchor_rows(kind), "anchor long, id long, row long, place long")
     counted = places.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count(F.lit(1)).alias("n"))
-    repeated = counted.filter("a < b" if kind.earlier else "n > 1").select("anchor", (F.col("n") > HOT).alias("hot"))
+    repeated = counted.filter("a < b" if kind.earlier else "n > 1").select("anchor", (F.col("n") > kind.held).alias("many"))
     marked = (
         places.select("anchor", "row", "place").join(repeated, "anchor").groupBy("row")
-        .agg(F.collect_list(F.struct("place", "hot")).alias("places"))
+        .agg(F.collect_list(F.when(~F.col("many"), F.col("place"))).alias("few"), F.collect_list(F.when(F.col("many"), F.col("place"))).alias("many"))
+    )
+    few, many = (
+        texts.join(marked.filter(F.size(c) > 0).select("row", F.col(c).alias("places")), "row").select("row", "id", "text", "places") for c in ("few", "many")
     )
-    spans = texts.join(marked, "row").select("row", "id", "text", "places").mapInArrow(_span_rows(kind), SPAN)
-    trees = spans.filter("span is not null").select("anchor", "id", "row", "start", "span")
+    trees = few.mapInArrow(_span_rows(kind, single=False), SPAN)
     found = trees.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_resolved(resolve, kind.window), RUN)
-    single = spans.filter("digest is not null").select("digest", "id", "row", "start")
-    seen = single.groupBy("digest").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
-    again = single.join(seen, "digest").filter("id > least" if kind.earlier else "n > 1")
+    windows = many.mapInArrow(_span_rows(kind, single=True), WINDOW)
+    seen = windows.groupBy("digest").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
+    again = windows.join(seen, "digest").filter("id > least" if kind.earlier else "n > 1")
     return found.unionByName(again.select("row", "id", F.col("start").alias("first"), F.col("start").alias("last")))
 
 

@@ -24,7 +24,9 @@ from labelmill.llm.anchors import NO_ID, Kind, repeated_windows, with_copies
 from labelmill.llm.common import WORD_GAPS, Memo, pieces, texts_of
 
 WINDOW_WORDS = 13
-GRAM_WORDS = 4
+GRAM_WORDS = 3
+#: Spans of an anchor a task holds at a time: some 6 MB.
+HELD = 50_000
 _GAPS = bytes(32 if b in WORD_GAPS else b for b in range(256))
 
 
@@ -90,7 +92,7 @@ def covered(size: int, window: int, first: np.ndarray, last: np.ndarray) -> np.n
     return np.cumsum(edges[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window_words: int = WINDOW_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window_words: int = WINDOW_WORDS, held: int = HELD) -> DataFrame:
     """A row per row of ``docs``: id, n_words, n_removed, spans, kept (the words that stay, joined by blanks).
 
     A word goes if a window of ``window_words`` words that covers it also starts
@@ -99,7 +101,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     an id comes after all ids, and two such rows repeat nothing of each other;
     rows that repeat an id do not repeat each other. An empty table stays empty.
     """
-    kind = Kind(window_words, GRAM_WORDS, _Reader, _write, earlier=True)
+    kind = Kind(window_words, GRAM_WORDS, held, _Reader, _write, earlier=True)
     rows, told = with_copies(docs, id_column, text_column)
     later = told.filter("first < id").select("row", "id", F.lit(True).alias("copy"))
     runs = repeated_windows(rows.join(later.select("row"), "row", "left_anti"), kind, _subtrees(window_words))

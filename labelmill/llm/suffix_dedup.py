@@ -25,6 +25,8 @@ from labelmill.llm.suffix_array import suffix_array
 
 WINDOW_BYTES = 200
 GRAM_BYTES = 32
+#: Spans of an anchor a task holds at a time: some 6 MB.
+HELD = 20_000
 #: Symbols end after these bytes: blanks, and a quarter of the bytes that go on a sign beyond ASCII, for scripts without blanks.
 _ENDS = np.zeros(256, bool)
 _ENDS[list(WORD_GAPS)] = True
@@ -138,7 +140,7 @@ def _resolve(window: int):
     return resolve
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window_bytes: int = WINDOW_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window_bytes: int = WINDOW_BYTES, held: int = HELD) -> DataFrame:
     """A row per row of ``docs``: id, n_bytes, n_removed, spans, kept (the bytes that stay).
 
     A byte goes if a string of ``window_bytes`` bytes that covers it also starts at
@@ -147,7 +149,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     string. Rows that repeat, whatever their ids, repeat each other. A null id
     stays null; an empty table stays empty.
     """
-    kind = Kind(window_bytes, GRAM_BYTES, _read, _write, earlier=False)
+    kind = Kind(window_bytes, GRAM_BYTES, held, _read, _write, earlier=False)
     rows, told = with_copies(docs, id_column, text_column)
     # equal texts take part once; all of them are repeats
     later = told.filter("first < id").select("row")
