@@ -24,7 +24,7 @@ def _binary_values(spark: SparkSession, sf: str) -> DataFrame:
     entries = F.array(
         F.struct(F.lit("image").alias("col"), F.concat(prefix(n), F.encode("lang", "UTF-8")).alias("value")),
         F.struct(F.lit("blob").alias("col"), F.when(F.col("doc_id") % 3 == 0, prefix(n + F.col("doc_id"))).otherwise(F.encode("lang", "UTF-8")).alias("value")),
-        F.struct(F.lit("plain").alias("col"), F.encode(F.substring("text", 1, 12), "UTF-8").alias("value")),
+        F.struct(F.lit("plain").alias("col"), F.encode("text", "UTF-8").alias("value")),
     )
     return d.select(F.concat(F.lit("owner/"), "source").alias("repo"), F.concat("lang", F.lit(".parquet")).alias("tbl"), F.col("doc_id").alias("pos"), F.inline(entries))
 
@@ -114,7 +114,7 @@ def _string_leaf_hits(spark, sf):
     nested = staged.select(
         F.element_at(F.split("path", "/"), 1).alias("file"), F.crc32("path").alias("pos"),
         F.struct(F.array(F.struct(F.col("text").alias("body"))).alias("parts"), F.col("path").alias("name")).alias("doc"),
-        F.create_map(F.lit("k"), F.substring("text", -20, 20)).alias("extra"),
+        F.create_map(F.lit("k"), F.col("text")).alias("extra"),
     )
     leaves = audit.string_leaves(nested, ["file", "pos"])
     hits = audit.local_path_columns(leaves.select("file", "col", "pos", "value"))
@@ -243,7 +243,7 @@ QUERIES = {
     "backfill_missing": lambda spark, sf: repair.backfill_missing(_backfilled(spark, sf)),
     "sha_mismatch": lambda spark, sf: repair.sha_mismatch(_backfilled(spark, sf)),
     "backfill_traces": _traces_back,
-    "derive_memoised": lambda spark, sf: _derived(spark, sf).select("doc_id", F.substring("fbd_text", 1, 40).alias("fbd_text"), "outcome"),
+    "derive_memoised": lambda spark, sf: _derived(spark, sf).select("doc_id", "fbd_text", "outcome"),
     "derive_counts": lambda spark, sf: repair.derive_counts(_derived(spark, sf)),
     "size_sha_verify": _verify,
     "token_stats": _token_stats,
@@ -344,7 +344,7 @@ ORACLES = {
     ),
     "local_path_columns": _staged(
         f"""SELECT DISTINCT split_part(path, '/', 1) AS file, c.col FROM staged, (VALUES ('doc.parts.body'), ('doc.name'), ('extra.value')) c(col)
-        WHERE regexp_matches(CASE c.col WHEN 'doc.parts.body' THEN text WHEN 'doc.name' THEN path ELSE right(text, 20) END, '{_LOCAL}')"""
+        WHERE regexp_matches(CASE c.col WHEN 'doc.parts.body' THEN text WHEN 'doc.name' THEN path ELSE text END, '{_LOCAL}')"""
     ),
     "local_path_hits": _staged(f"SELECT path, CAST(line AS INT) AS line FROM lines WHERE {_PUBLISHED} AND regexp_matches(value, '{_LOCAL}')"),
     "first_hit_per_file": _staged(f"SELECT path, CAST(min(line) AS INT) AS line FROM lines WHERE {_PUBLISHED} AND regexp_matches(value, '{_LOCAL}') GROUP BY path"),

@@ -393,7 +393,7 @@ def asset_values(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("doc_id") % 3 == 1, F.concat(F.lit("./assets/"), key, F.when(F.col("doc_id") % 9 == 7, ".PNG ").otherwise(".PNG")))
         .otherwise("program p")
     )
-    second = F.when(F.col("lang") == "en", F.concat(F.lit("assets/shared-"), "source", F.lit(".jpg"))).otherwise(F.substring("text", 1, 40))
+    second = F.when(F.col("lang") == "en", F.concat(F.lit("assets/shared-"), "source", F.lit(".jpg"))).otherwise(F.col("text"))
     entries = F.array(
         F.struct(F.lit("fbd_path").alias("col"), first.alias("value")), F.struct(F.lit("note").alias("col"), second.alias("value"))
     )
@@ -420,7 +420,7 @@ asset_values AS (
   FROM documents
   UNION ALL
   SELECT 'owner/' || source, lang || '.parquet', 'note', doc_id,
-    CASE WHEN lang = 'en' THEN 'assets/shared-' || source || '.jpg' ELSE substr(text, 1, 40) END FROM documents
+    CASE WHEN lang = 'en' THEN 'assets/shared-' || source || '.jpg' ELSE text END FROM documents
 ),
 files AS (
   SELECT 'owner/' || source AS repo, 'assets/' || doc_id || '.PNG' AS path FROM documents WHERE doc_id % 9 <> 4
