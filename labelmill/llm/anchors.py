@@ -37,6 +37,8 @@ HELD_BYTES = 4 << 20
 STRETCH = 1 << 20
 NO_ID = (1 << 63) - 1
 _PLACE_BITS = 22
+#: Anchors are named by 48 bits: what two anchors of one name cost is a candidate that does not repeat.
+_ANCHOR_MASK = np.uint64((1 << 48) - 1)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -99,7 +101,7 @@ def _spans_of(kind: Kind, reader, text: bytes):
     symbols, hashes = reader(text)
     grams = gram_hashes(hashes, kind.gram) if len(hashes) >= kind.window else np.empty(0, np.uint64)
     places, first, last = find_anchors(grams, kind.window, kind.gram)
-    return symbols, grams[places].view(np.int64), places, first, last
+    return symbols, (grams[places] & _ANCHOR_MASK).view(np.int64), places, first, last
 
 
 def _anchor_rows(kind: Kind):

@@ -24,7 +24,7 @@ from labelmill.llm.anchors import NO_ID, Kind, repeated_windows, with_copies
 from labelmill.llm.common import WORD_GAPS, Memo, pieces, texts_of
 
 WINDOW_WORDS = 13
-GRAM_WORDS = 3
+GRAM_WORDS = 4
 #: Spans of an anchor a task holds at a time: some 6 MB.
 HELD = 50_000
 _GAPS = bytes(32 if b in WORD_GAPS else b for b in range(256))
