@@ -46,8 +46,9 @@ def ingest(spark: SparkSession, base: str, out: str, checkpoint: str, subjects:
     def convert(batch: DataFrame, batch_id: int) -> None:
         # expanded once per batch; a lost block is expanded again from its archive
         keyed = batch.join(splits, "subject", "left").persist(StorageLevel.DISK_ONLY)
+        wrong = media.entry_problems(keyed)
         unlisted = keyed.filter("split is null").select("archive", "name", F.lit("unknown_subject").alias("problem"))
-        refused = media.entry_problems(keyed.filter("split is not null")).unionByName(unlisted)
+        refused = wrong.unionByName(unlisted.join(wrong.select("archive", "name"), ["archive", "name"], "left_anti"))
         refused.write.mode("overwrite").parquet(f"{out}/refused/batch={batch_id}")
         bad = refused.select("archive").distinct()
         clean = keyed.join(bad, "archive", "left_anti")
