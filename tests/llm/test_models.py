@@ -127,7 +127,7 @@ def test_lm_split_of_words(spark, odd, none_of):
     """Counts that travel and counts that are joined give the same scores."""
     texts = odd.selectExpr("coalesce(text, '') as text")
     scores = []
-    for most in (100_000, 140):
+    for most in (100_000, 6_000):
         model, counts = lm.fit(texts, most_words=most)
         scores.append(sorted(((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 3)) for r in lm.score(odd, model, counts).collect()), key=repr))
     assert scores[0] == scores[1]
