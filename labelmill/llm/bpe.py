@@ -47,9 +47,12 @@ class Automaton:
         made = {w for _, _, w in numbered}
         self.target = {t: START for t in vocabulary.values() if t not in made}
         self.own: list[dict[int, int]] = [{}]
+        self.taken: set[int] = set()
+        self.lost: dict[int, int] = {}
         self.source, self.since = [-1], [NEVER]
         self.left: dict[int, tuple[int, int]] = {}
-        entering = [len(self.target)]
+        # the start is entered by reading nothing, too, so it never loses an arc itself
+        entering = [len(self.target) + 1]
         for time, (u, v, w) in enumerate(numbered):
             before = self.target.get(u)
             if before is None or v not in self.target or not self.has_arc(before, v):
@@ -64,28 +67,42 @@ class Automaton:
                 entering.append(1)
                 self.target[u] = after
             self.own[after][v] = time
+            self.taken.add(v)
+            self.lost.clear()
             self.left[w] = (u, time)
             # after w stands what stood after v; u u u is read as w u, so w keeps the old state
             self.target[w] = before if u == v else self.target[v]
             entering[self.target[w]] += 1
 
-    def _lost(self, state: int, token: int, time: int) -> bool:
-        while state >= 0:
-            taken = self.own[state].get(token)
-            if taken is not None and taken <= time:
-                return True
-            time = min(time, self.since[state])
-            state = self.source[state]
-        return False
+    def _lost(self, state: int, token: int) -> int:
+        """When the state lost its arc for the token, itself or before it was copied; NEVER if it did not."""
+        if token not in self.taken:
+            return NEVER
+        if len(self.lost) > 1_000_000:
+            self.lost.clear()
+        asked, known = [], None
+        while known is None and state >= 0:
+            known = self.lost.get(state << 20 | token)
+            if known is None:
+                asked.append(state)
+                state = self.source[state]
+        found = NEVER if known is None else known
+        for state in reversed(asked):
+            # what was lost after the copy was made is not lost to the copy
+            inherited = found if found <= self.since[state] else NEVER
+            found = min(self.own[state].get(token, NEVER), inherited)
+            self.lost[state << 20 | token] = found
+        return found
 
     def has_arc(self, state: int, token: int) -> bool:
-        time = NEVER
-        while not self._lost(state, token, time):
+        time = NEVER - 1
+        while True:
+            if self._lost(state, token) <= time:
+                return False
             if token not in self.left:
                 return True
             token, given = self.left[token]
             time = min(time, given)
-        return False
 
 
 class WordEncoder:
@@ -94,43 +111,52 @@ class WordEncoder:
     def __init__(self, automaton: Automaton):
         self.automaton = automaton
         self.arcs: dict[int, bool] = {}
-        self.trie: dict = {}
+        # a node is (next nodes by sign, token that ends here inside a word, token that ends here at its end)
+        self.trie: list = [{}, None, None]
         end = automaton.word_end
         for name, token in automaton.vocabulary.items():
             if token in automaton.target:
-                node = self.trie
                 closes = bool(end) and name.endswith(end)
+                node = self.trie
                 for sign in name[: len(name) - len(end)] if closes else name:
-                    node = node.setdefault(sign, {})
-                node["end" if closes else "token"] = token
+                    node = node[0].setdefault(sign, [{}, None, None])
+                if not closes:
+                    node[1] = token
+                if closes or not end:
+                    node[2] = token
 
     def encode(self, word: str) -> list[int]:
         """Ids of one pre-split word, its signs already those of the vocabulary."""
-        n, target, arcs = len(word), self.automaton.target, self.arcs
+        n, target, arcs, trie = len(word), self.automaton.target, self.arcs, self.trie
         if len(arcs) > 1_000_000:
             arcs.clear()
         states = [START] + [-1] * n
         steps: list[tuple[int, int]] = [(0, 0)] * (n + 1)
-        last = "end" if self.automaton.word_end else "token"
         for i in range(n):
             state = states[i]
             if state < 0:
                 continue
-            node, j = self.trie, i
-            while j < n:
-                node = node.get(word[j])
+            node, j, inner = trie, i, n - 1
+            while True:
+                node = node[0].get(word[j])
                 if node is None:
                     break
                 j += 1
-                token = node.get("token" if j < n else last)
-                if token is not None:
-                    arc = state << 20 | token
-                    has = arcs.get(arc)
-                    if has is None:
-                        has = arcs[arc] = self.automaton.has_arc(state, token)
+                # one path reaches a place: where one has come no other needs to be tried
+                token = node[1] if j <= inner else node[2]
+                if token is not None and states[j] < 0:
+                    if i:
+                        arc = state << 20 | token
+                        has = arcs.get(arc)
+                        if has is None:
+                            has = arcs[arc] = self.automaton.has_arc(state, token)
+                    else:
+                        has = True  # no arc of the start is ever lost
                     if has:
                         states[j] = target[token]
                         steps[j] = (token, i)
+                if j > inner:
+                    break
         out = []
         while n:
             token, n = steps[n]
@@ -158,7 +184,7 @@ def read_tokenizer(path: str) -> dict:
 
 
 # the blanks of Unicode's White_Space, which the split pattern means by \s
-BLANKS = r"[\t-\r \x85\xa0  -     　]+"
+BLANKS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class TextEncoder:
@@ -167,8 +193,8 @@ class TextEncoder:
     def __init__(self, automaton: Automaton, pattern: str, special: dict[str, int]):
         self.words = WordEncoder(automaton)
         self.special = special
-        self.pattern = regex.compile(pattern.replace(r"[^\s\p{L}", r"[^\t-\r \x85\xa0  -     　\p{L}"))
-        self.blanks = regex.compile(BLANKS)
+        self.pattern = regex.compile(pattern.replace(r"[^\s\p{L}", rf"[^{BLANKS}\p{{L}}"))
+        self.blanks = regex.compile(f"[{BLANKS}]+")
         self.cut = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.signs = byte_signs()
         self.memo = Memo(self._chunk)
