@@ -18,7 +18,8 @@ arrangement covers for certain. ``SIMILAR`` is the arrangement for a Jaccard
 similarity of 0.8: 1,024 bits, of which texts that similar differ in 155 on
 average, in 51 blocks; one equal block makes a pair a candidate, which 0.8 similar
 texts have with a chance of 0.85 and 0.9 similar ones of 0.997. Large buckets are
-then linked to their smallest members, block by block.
+then linked to the member with the smallest id, and to the smallest of those that
+share one more block.
 """
 
 from __future__ import annotations
@@ -37,8 +38,9 @@ from labelmill.llm.components import components
 
 #: Buckets of more distinct fingerprints are linked without comparing all pairs.
 PAIRED = 64
+PAIRED_WIDE = 16
 #: Blocks that split such a bucket further where its fingerprints are wide.
-FURTHER = 4
+FURTHER = 1
 SEED = 42
 _BITS = 64
 SIMILAR = {"shingle_words": 5, "bits": 1024, "blocks": 51, "agree": 1, "radius": 160}
@@ -138,14 +140,17 @@ def links(distinct: DataFrame, bits: int = 64, blocks: int = 4, agree: int = 2,
         for b in chosen:
             key = F.shiftleft(key, width).bitwiseOR(_block(b * width, width))
         keys.append(F.struct(F.lit(len(keys)).alias("choice"), key.alias("key")))
-    keyed = distinct.select("node", F.inline(F.array(*keys)))
-    sizes = keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).filter("n > 1")
-    shared = cut(keyed.join(sizes, ["choice", "key"]))
-    few = shared.filter(F.col("n") <= PAIRED)
+    # the hub of a bucket is the fingerprint of its smallest id: of copies, that is most often what they were copied from
+    rank = F.struct(F.col("least").isNull().alias("last"), "least", "node") if "least" in distinct.columns else F.struct("node")
+    keyed = distinct.select("node", rank.alias("rank"), F.inline(F.array(*keys)))
+    sizes = keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n"), F.min("rank").alias("hub")).filter("n > 1")
+    paired = PAIRED if bits == _BITS else PAIRED_WIDE
+    shared = cut(keyed.select("node", "choice", "key").join(sizes.select("choice", "key", "n", F.col("hub.node").alias("hub")), ["choice", "key"]))
+    few = shared.filter(F.col("n") <= paired)
     a, b = (few.select("choice", "key", F.col("node").alias(x)) for x in "uv")
     pairs = a.join(b, ["choice", "key"]).filter("u < v").select("u", "v").distinct()
 
-    many = shared.filter(F.col("n") > PAIRED)
+    many = shared.filter(F.col("n") > paired)
     if bits == _BITS and radius == 2 and width * agree < bits:
         held = [sum(((1 << width) - 1) << (bits - width * (b + 1)) for b in chosen) for chosen in combinations(range(blocks), agree)]
         flips = F.element_at(
@@ -164,7 +169,7 @@ def links(distinct: DataFrame, bits: int = 64, blocks: int = 4, agree: int = 2,
         ).filter(F.pmod(F.col("other") - F.col("choice"), F.lit(blocks)).between(1, FURTHER))
         met = more.groupBy("choice", "key", "other", "value").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
         near = more.join(met, ["choice", "key", "other", "value"]).filter("node <> v").select(F.col("node").alias("u"), "v")
-        far = many.filter("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v"))
+        far = many.filter("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
         pairs = pairs.unionByName(near).unionByName(far).distinct()
         unchecked = None
     first = distinct.select(F.col("node").alias("u"), F.col("fingerprint").alias("fu"))
@@ -190,7 +195,7 @@ def groups(
     # a fingerprint is its own node where it is one long, else its digest is
     node = F.col("fingerprint")[0] if bits == _BITS else F.unhex(F.md5(F.array_join(F.col("fingerprint").cast("array<string>"), ",")))
     nodes = cut(distinct.withColumn("node", node))
-    found = components(links(nodes.select("node", "fingerprint"), bits, blocks, agree, radius))
+    found = components(links(nodes.select("node", "fingerprint", "least"), bits, blocks, agree, radius))
     rooted = nodes.join(found, "node", "left").select("fingerprint", "least", F.coalesce("root", "node").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     told = rooted.join(names, "root").select("fingerprint", "component_id", "root")
