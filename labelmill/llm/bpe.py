@@ -20,6 +20,7 @@ arcs. The work is linear in the word's length, however long the word.
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -243,6 +244,7 @@ def encode(docs: DataFrame, tokenizer: str, text_column: str = "text") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(*shared.value)
+        gc.freeze()  # the tables stay: nothing in them is to be looked through for garbage again
         for whole in batches:
             for batch in pieces(whole, text_column):
                 encoder.memo.trim()
