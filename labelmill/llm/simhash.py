@@ -16,10 +16,12 @@ centre, all within two bits of each other, are linked to its smallest.
 A similarity of word shingles far below one needs a radius that no block
 arrangement covers for certain. ``SIMILAR`` is the arrangement for a Jaccard
 similarity of 0.8: 1,024 bits, of which texts that similar differ in 155 on
-average, in 51 blocks; one equal block makes a pair a candidate, which 0.8 similar
-texts have with a chance of 0.85 and 0.9 similar ones of 0.997. Large buckets are
-then linked to the member with the smallest id, and to the smallest of those that
-share one more block.
+average, in 64 blocks; one equal block makes a pair a candidate. The distance only
+finds candidates: a link is a pair whose sets of shingles are that similar, counted
+in full. Small buckets compare all pairs. The members of a large one first meet
+the smallest id and the smallest of those that share one more block; members that
+are not connected to the bucket's hub by then meet all others of the bucket, in
+parts, so that a pair that shares a block is compared or already connected.
 """
 
 from __future__ import annotations
@@ -43,7 +45,9 @@ PAIRED_WIDE = 16
 FURTHER = 1
 SEED = 42
 _BITS = 64
-SIMILAR = {"shingle_words": 5, "bits": 1024, "blocks": 51, "agree": 1, "radius": 160}
+SIMILAR = {"shingle_words": 5, "bits": 1024, "blocks": 64, "agree": 1, "radius": 190, "similarity": 0.8}
+#: Members of a large bucket that meet in one part, on either side.
+PART = 128
 
 
 def _shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -89,13 +93,16 @@ def _mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle_words: int = 3, bits: int = 64) -> DataFrame:
     """(id, h, fingerprint): one row per row of ``docs``, the fingerprint as ``bits / 64`` longs.
 
-    Null, empty and blank texts have no words and fingerprint zero.
+    Null, empty and blank texts have no words and fingerprint zero. Wide
+    fingerprints count a repeated shingle once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces(whole):
                 hashes = [_shingle_hashes(t, shingle_words) for t in texts_of(batch)]
+                if bits > _BITS:  # similarity is of sets
+                    hashes = [np.unique(h) for h in hashes]
                 ends = np.cumsum([len(h) for h in hashes])
                 flat = np.concatenate(hashes)
                 longs = np.stack([_majority(_mixed(flat, k), ends) for k in range(bits // _BITS)], axis=1).view(np.int64)
@@ -127,13 +134,9 @@ def _distance(a: str, b: str, longs: int) -> Column:
     return total
 
 
-def links(distinct: DataFrame, bits: int = 64, blocks: int = 4, agree: int = 2, radius: int = 2) -> DataFrame:
-    """Distinct fingerprints (node, fingerprint) -> links (u, v) between nodes.
-
-    With ``agree = blocks - radius`` no pair within the radius is missed; a
-    larger radius than that finds pairs with the chance that blocks agree.
-    """
-    width, longs = bits // blocks, bits // _BITS
+def _shared(distinct: DataFrame, bits: int, blocks: int, agree: int) -> DataFrame:
+    """(node, choice, key, n, hub): the keys that several distinct fingerprints have."""
+    width = bits // blocks
     keys = []
     for chosen in combinations(range(blocks), agree):
         key = F.lit(0).cast("long")
@@ -144,43 +147,199 @@ def links(distinct: DataFrame, bits: int = 64, blocks: int = 4, agree: int = 2,
     rank = F.struct(F.col("least").isNull().alias("last"), "least", "node") if "least" in distinct.columns else F.struct("node")
     keyed = distinct.select("node", rank.alias("rank"), F.inline(F.array(*keys)))
     sizes = keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n"), F.min("rank").alias("hub")).filter("n > 1")
-    paired = PAIRED if bits == _BITS else PAIRED_WIDE
-    shared = cut(keyed.select("node", "choice", "key").join(sizes.select("choice", "key", "n", F.col("hub.node").alias("hub")), ["choice", "key"]))
-    few = shared.filter(F.col("n") <= paired)
+    return cut(keyed.select("node", "choice", "key").join(sizes.select("choice", "key", "n", F.col("hub.node").alias("hub")), ["choice", "key"]))
+
+
+def _near(pairs: DataFrame, distinct: DataFrame, longs: int, radius: int) -> DataFrame:
+    first = distinct.select(F.col("node").alias("u"), F.col("fingerprint").alias("fu"))
+    second = distinct.select(F.col("node").alias("v"), F.col("fingerprint").alias("fv"))
+    return pairs.join(first, "u").join(second, "v").filter(_distance("fu", "fv", longs) <= radius).select("u", "v")
+
+
+def links(distinct: DataFrame, bits: int = 64, blocks: int = 4, agree: int = 2, radius: int = 2) -> DataFrame:
+    """Distinct fingerprints (node, fingerprint) of one long -> links (u, v) between nodes.
+
+    With ``agree = blocks - radius`` no pair within the radius is missed.
+    """
+    width, longs = bits // blocks, bits // _BITS
+    shared = _shared(distinct, bits, blocks, agree)
+    # only radius two has centres; other arrangements compare all pairs
+    centres = radius == 2 and width * agree < bits
+    few = shared.filter(F.col("n") <= PAIRED) if centres else shared
     a, b = (few.select("choice", "key", F.col("node").alias(x)) for x in "uv")
     pairs = a.join(b, ["choice", "key"]).filter("u < v").select("u", "v").distinct()
+    checked = _near(pairs, distinct, longs, radius)
+    if not centres:
+        return checked
+    many = shared.filter(F.col("n") > PAIRED)
+    held = [sum(((1 << width) - 1) << (bits - width * (b + 1)) for b in chosen) for chosen in combinations(range(blocks), agree)]
+    flips = F.element_at(
+        F.array(*[F.array(F.lit(0).cast("long"), *[F.lit((1 << i) - (1 << 64 if i == 63 else 0)).cast("long") for i in range(bits) if not mask >> i & 1]) for mask in held]),
+        F.col("choice") + 1,
+    )
+    around = many.join(distinct, "node").select("choice", "node", F.col("fingerprint")[0].alias("f"), F.explode(flips).alias("flip"))
+    centred = around.select("choice", "node", F.col("f").bitwiseXOR(F.col("flip")).alias("centre"))
+    met = centred.groupBy("choice", "centre").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("choice", "centre", "v")
+    crowded = centred.join(met, ["choice", "centre"]).filter("node <> v").select(F.col("node").alias("u"), "v")
+    return checked.unionByName(crowded.distinct())
+
+
+def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by bucket -> tables in which no bucket is cut."""
+    held = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        held = now if held is None else pa.concat_tables([held, now])
+        if not held.num_rows:
+            continue
+        buckets = held["bucket"].to_numpy()
+        start = int(np.searchsorted(buckets, buckets[-1]))
+        if start:
+            yield held.slice(0, start).combine_chunks()
+            held = held.slice(start).combine_chunks()
+    if held is not None and held.num_rows:
+        yield held.combine_chunks()
+
+
+def _flat(table: pa.Table, longs: int) -> np.ndarray:
+    column = table["fingerprint"].combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, longs)
+
+
+def _pairs_within(rows: DataFrame, longs: int, radius: int) -> DataFrame:
+    """(bucket, node, fingerprint) -> (u, v): all pairs of a bucket within the radius. For small buckets."""
 
-    many = shared.filter(F.col("n") > paired)
-    if bits == _BITS and radius == 2 and width * agree < bits:
-        held = [sum(((1 << width) - 1) << (bits - width * (b + 1)) for b in chosen) for chosen in combinations(range(blocks), agree)]
-        flips = F.element_at(
-            F.array(*[F.array(F.lit(0).cast("long"), *[F.lit((1 << i) - (1 << 64 if i == 63 else 0)).cast("long") for i in range(bits) if not mask >> i & 1]) for mask in held]),
-            F.col("choice") + 1,
-        )
-        around = many.join(distinct, "node").select("choice", "node", F.col("fingerprint")[0].alias("f"), F.explode(flips).alias("flip"))
-        centred = around.select("choice", "node", F.col("f").bitwiseXOR(F.col("flip")).alias("centre"))
-        met = centred.groupBy("choice", "centre").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("choice", "centre", "v")
-        crowded = centred.join(met, ["choice", "centre"]).filter("node <> v").select(F.col("node").alias("u"), "v")
-        unchecked = crowded.distinct()
-    else:
-        # further blocks split the bucket, and its members meet each other's smallest there
-        more = many.join(distinct, "node").select(
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_buckets(batches):
+            buckets, prints, nodes = table["bucket"].to_numpy(), _flat(table, longs), table["node"].combine_chunks()
+            shift = 1
+            at = np.flatnonzero(buckets[1:] == buckets[:-1])
+            while len(at):
+                for some in np.array_split(at, len(at) // 50_000 + 1):
+                    near = some[np.bitwise_count(prints[some] ^ prints[some + shift]).sum(1, dtype=np.int64) <= radius]
+                    if len(near):
+                        yield pa.RecordBatch.from_arrays([nodes.take(pa.array(near)), nodes.take(pa.array(near + shift))], names=["u", "v"])
+                shift += 1
+                at = at[at + shift < len(buckets)]
+                at = at[buckets[at + shift] == buckets[at]]
+
+    ordered = rows.select("bucket", "node", "fingerprint").repartition("bucket").sortWithinPartitions("bucket")
+    found = ordered.mapInArrow(run, "u binary, v binary")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def _pairs_across(rows: DataFrame, longs: int, radius: int, nearest: bool) -> DataFrame:
+    """(bucket, node, fingerprint, root, apart) -> (u, v): pairs of a row that is apart and one that is not, of different roots, within the radius.
+
+    ``nearest`` gives of each row apart and root only the nearest pair.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_buckets(batches):
+            buckets, prints, nodes = table["bucket"].to_numpy(), _flat(table, longs), table["node"].combine_chunks()
+            roots = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
+            apart = table["apart"].to_numpy()
+            edges = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1], [True]]))
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                side = apart[a:b]
+                left, right = a + np.flatnonzero(side), a + np.flatnonzero(~side)
+                for i in left.tolist():
+                    other = right[roots[right] != roots[i]]
+                    far = np.bitwise_count(prints[other] ^ prints[i]).sum(1, dtype=np.int64)
+                    met, far = other[far <= radius], far[far <= radius]
+                    if nearest and len(met):
+                        order = np.lexsort([far, roots[met]])
+                        met = met[order]
+                        met = met[np.concatenate([[True], roots[met][1:] != roots[met][:-1]])]
+                    if len(met):
+                        yield pa.RecordBatch.from_arrays([nodes.take(pa.array(np.full(len(met), i))), nodes.take(pa.array(met))], names=["u", "v"])
+
+    found = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "u binary, v binary")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, id_column: str, text_column: str, shingle_words: int) -> DataFrame:
+    """(node, shingles) of the texts whose row keys ``wanted`` (row, node) names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in pieces(whole):
+                sets = [np.unique(_shingle_hashes(t, shingle_words)) for t in texts_of(batch)]
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+                flat = np.concatenate(sets).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "shingles"])
+
+    texts = docs.select(row_key(id_column, text_column).alias("row"), text_of(text_column).alias("text")).join(wanted, "row").select("node", "text")
+    return texts.mapInArrow(run, "node binary, shingles array<bigint>").groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str, shingle_words: int, similarity: float) -> DataFrame:
+    """The pairs whose sets of shingles have that Jaccard similarity, by exact counts."""
+    pairs = cut(pairs)
+    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    sets = cut(_sets(docs, nodes.join(ends, "node").select("row", "node"), id_column, text_column, shingle_words))
+    met = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+    both = met.select("u", "v", F.size(F.array_intersect("a", "b")).alias("both"), (F.size("a") + F.size("b")).alias("all"))
+    return both.filter(F.col("both") >= F.lit(similarity) * (F.col("all") - F.col("both"))).select("u", "v")
+
+
+def _wide_roots(
+    docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str, shingle_words: int, bits: int, blocks: int, agree: int, radius: int, similarity: float
+) -> DataFrame:
+    """(node, root) over links of similar texts among the pairs that share a key; nodes without a link are left out."""
+    longs, width = bits // _BITS, bits // blocks
+    prints = nodes.select("node", "fingerprint")
+    shared = _shared(nodes, bits, blocks, agree)
+
+    def grown(found: DataFrame | None, pairs: DataFrame) -> DataFrame:
+        """Roots with the similar ones of ``pairs`` linked: of each node one pair first, then all that are not connected by those."""
+        pairs = cut(pairs)
+        for one in (True, False):
+            if found is None:
+                apart = pairs
+            else:
+                roots = [found.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "uv"]
+                met = pairs.join(roots[0], "u", "left").join(roots[1], "v", "left")
+                apart = met.filter(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select("u", "v")
+            if one:
+                apart = apart.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
+            added = cut(_similar(apart, docs, nodes, id_column, text_column, shingle_words, similarity))
+            before = added.limit(0) if found is None else found.select(F.col("node").alias("u"), F.col("root").alias("v"))
+            found = cut(components(added.unionByName(before)))
+        return found
+
+    few = shared.filter(F.col("n") <= PAIRED_WIDE).select(F.xxhash64("choice", "key").alias("bucket"), "node").join(prints, "node")
+    pairs = _pairs_within(few, longs, radius)
+    many = shared.filter(F.col("n") > PAIRED_WIDE)
+    far = many.filter("node <> hub").select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v"))
+    if agree == 1:
+        # a further block splits the bucket, and its members meet each other's smallest there
+        more = many.join(prints, "node").select(
             "node", "choice", "key", F.inline(F.array(*[F.struct(F.lit(b).alias("other"), _block(b * width, width).alias("value")) for b in range(blocks)]))
         ).filter(F.pmod(F.col("other") - F.col("choice"), F.lit(blocks)).between(1, FURTHER))
         met = more.groupBy("choice", "key", "other", "value").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-        near = more.join(met, ["choice", "key", "other", "value"]).filter("node <> v").select(F.col("node").alias("u"), "v")
-        far = many.filter("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
-        pairs = pairs.unionByName(near).unionByName(far).distinct()
-        unchecked = None
-    first = distinct.select(F.col("node").alias("u"), F.col("fingerprint").alias("fu"))
-    second = distinct.select(F.col("node").alias("v"), F.col("fingerprint").alias("fv"))
-    checked = pairs.join(first, "u").join(second, "v").filter(_distance("fu", "fv", longs) <= radius).select("u", "v")
-    return checked if unchecked is None else checked.unionByName(unchecked)
+        far = far.unionByName(more.join(met, ["choice", "key", "other", "value"]).filter("node <> v").select(F.col("v").alias("u"), F.col("node").alias("v")))
+    found = grown(None, pairs.unionByName(_near(far.distinct(), prints, longs, radius)).distinct())
+    # whom this has not connected to the hub meets all others of the bucket: first the nearest of each root, then all that are still of other roots
+    for nearest in (True, False):
+        placed = many.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        hubs = placed.filter("node = hub").select("choice", "key", F.col("root").alias("main"))
+        told = cut(placed.join(hubs, ["choice", "key"]).withColumn("apart", F.col("root") != F.col("main")))
+        left = told.groupBy("choice", "key").agg(F.sum(F.col("apart").cast("long")).alias("left")).filter("left > 0")
+        mixed = told.join(left, ["choice", "key"]).withColumn("across", F.ceil(F.col("n") / PART)).withColumn("down", F.ceil(F.col("left") / PART))
+        own = F.xxhash64("node")
+        one = mixed.filter("apart").select("choice", "key", "node", "root", F.lit(True).alias("apart"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)).alias("x"), F.pmod(own, F.col("down")).alias("y"))
+        two = mixed.select("choice", "key", "node", "root", F.lit(False).alias("apart"), F.pmod(own, F.col("across")).alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)).alias("y"))
+        rows = one.unionByName(two).select(F.xxhash64("choice", "key", "x", "y").alias("bucket"), "node", "root", "apart").join(prints, "node").select("bucket", "node", "fingerprint", "root", "apart")
+        across = cut(_pairs_across(rows, longs, radius, nearest))
+        if not across.isEmpty():
+            found = grown(found, across)
+    return found
 
 
 def groups(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle_words: int = 3,
-    bits: int = 64, blocks: int = 4, agree: int = 2, radius: int = 2,
+    bits: int = 64, blocks: int = 4, agree: int = 2, radius: int = 2, similarity: float = 0.8,
 ) -> DataFrame:
     """(id, h, fingerprint, component_id, root): for each row the smallest id its fingerprint reaches over links.
 
@@ -189,13 +348,20 @@ def groups(
     fingerprints and one component. Rows without an id belong to a component but
     do not name it; a component of such rows only has component_id null. Rows
     that repeat an id or a text are one row each. An empty table gives no rows.
+    Of fingerprints of more than 64 bits, those within the radius are candidates,
+    and links are texts of that ``similarity`` of shingles.
     """
     read = cut(fingerprints(docs, id_column, text_column, shingle_words, bits))
-    distinct = read.groupBy("fingerprint").agg(F.min("id").alias("least"))
+    distinct = read.groupBy("fingerprint").agg(
+        F.min("id").alias("least"), F.min(F.struct(F.col("id").isNull().alias("last"), "id", "h")).alias("first")
+    ).select("fingerprint", "least", F.struct("first.id", "first.h").alias("row"))
     # a fingerprint is its own node where it is one long, else its digest is
     node = F.col("fingerprint")[0] if bits == _BITS else F.unhex(F.md5(F.array_join(F.col("fingerprint").cast("array<string>"), ",")))
     nodes = cut(distinct.withColumn("node", node))
-    found = components(links(nodes.select("node", "fingerprint", "least"), bits, blocks, agree, radius))
+    if bits == _BITS:
+        found = components(links(nodes.select("node", "fingerprint", "least"), bits, blocks, agree, radius))
+    else:
+        found = _wide_roots(docs, nodes, id_column, text_column, shingle_words, bits, blocks, agree, radius, similarity)
     rooted = nodes.join(found, "node", "left").select("fingerprint", "least", F.coalesce("root", "node").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     told = rooted.join(names, "root").select("fingerprint", "component_id", "root")

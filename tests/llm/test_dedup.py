@@ -299,3 +299,43 @@ def test_empty(none_of):
         substring_dedup.remove_repeats(none_of), suffix_dedup.remove_repeats(none_of),
     ):
         assert found.collect() == []
+
+
+def test_wide_groups_of_any_size(spark):
+    """A large group that drifts away from its smallest id: groups are those of brute force at the threshold."""
+    draw = random.Random(3)
+    rows, base = [], [f"w{draw.randint(0, 9999)}" for _ in range(220)]
+    for chain in range(30):
+        words = list(base)
+        for step in range(8):
+            for k in draw.sample(range(220), 3):
+                words[k] = f"x{draw.randint(0, 99999)}"
+            rows.append((len(rows), " ".join(words)))
+    for pair in range(150):
+        words = [f"y{draw.randint(0, 9999)}" for _ in range(200)]
+        near = list(words)
+        for k in draw.sample(range(0, 200, 7), 4):
+            near[k] = f"z{draw.randint(0, 99999)}"
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(near))]
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    similar = 0
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                similar += 1
+                a_, b_ = sorted((find(a), find(b)))
+                root[b_] = a_
+    want = {i: find(i) for i, _ in rows}
+    got = {r.id: r.component_id for r in simhash.groups(spark.createDataFrame(rows, "doc_id long, text string"), **simhash.SIMILAR).collect()}
+    assert similar > 150
+    # no document is drawn into a group it is not in, and at most a few in a hundred of the pairs at the threshold are not found
+    assert all(want[got[i]] == want[i] for i in got)
+    assert sum(got[i] != want[i] for i in got) <= 0.02 * len(rows)
