@@ -339,3 +339,27 @@ def test_wide_groups_of_any_size(spark):
     # no document is drawn into a group it is not in, and at most a few in a hundred of the pairs at the threshold are not found
     assert all(want[got[i]] == want[i] for i in got)
     assert sum(got[i] != want[i] for i in got) <= 0.02 * len(rows)
+
+
+def test_wide_recall_at_the_threshold():
+    """Of pairs whose similarity is 0.8 to 0.82, the share that the arrangement makes candidates."""
+    draw, way = random.Random(10), simhash.SIMILAR
+    found = []
+    while len(found) < 400:
+        words = [f"w{draw.randint(0, 99999)}" for _ in range(draw.randint(150, 400))]
+        near = list(words)
+        for k in draw.sample(range(len(words)), round(len(words) * 0.023)):
+            near[k] = f"x{draw.randint(0, 99999)}"
+        hashes = [np.unique(simhash._shingle_hashes(" ".join(w).encode(), way["shingle_words"])) for w in (words, near)]
+        both = len(np.intersect1d(*hashes))
+        if not 0.8 <= both / (len(hashes[0]) + len(hashes[1]) - both) <= 0.82:
+            continue
+        ends = np.array([len(hashes[0]), len(hashes[0]) + len(hashes[1])])
+        flat = np.concatenate(hashes)
+        bits = [simhash._majority(simhash._mixed(flat, k), ends) for k in range(way["bits"] // 64)]
+        differ = np.unpackbits(np.array([b[0] ^ b[1] for b in bits]).astype(">u8").view(np.uint8))
+        width = way["bits"] // way["blocks"]
+        equal = (differ[: width * way["blocks"]].reshape(-1, width).sum(1) == 0).sum() >= way["agree"]
+        found.append(bool(equal and differ.sum() <= way["radius"]))
+    print("recall", sum(found) / len(found))
+    assert sum(found) >= 0.97 * len(found)
