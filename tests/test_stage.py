@@ -221,3 +221,22 @@ def test_artefacts_traces_and_listings(spark, tmp_path):
     assert [r["path"] for r in staged.collect()] == []
     lines = files.text_lines(files.staged_texts(spark, str(rows)).filter("path like 'note%'")).collect()
     assert [(r["path"], r["line"], r["value"]) for r in lines][:2] == [("note one.md", 1, "first"), ("note one.md", 2, "second /home/x")]
+
+
+def test_files_beyond_one_value(spark, tmp_path, monkeypatch):
+    """With the limit set low: large files are hashed in pieces, and large archives are read from the file."""
+    import hashlib
+    import zipfile
+
+    from labelmill.sources import archives
+
+    with zipfile.ZipFile(tmp_path / "sub 1_io.zip", "w") as z:
+        z.writestr("a/b.png", b"x" * 5000)
+        z.writestr("a/c.png", b"y" * 10)
+    (tmp_path / "small.txt").write_bytes(b"z")
+    monkeypatch.setattr(files, "MOST_BYTES", 1000)
+    monkeypatch.setattr(archives, "MOST_BYTES", 1000)
+    sums = {r["path"]: r["sha256"] for r in files.checksums(spark, str(tmp_path)).collect()}
+    assert sums == {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in tmp_path.iterdir()}
+    entries = archives.expand(archives.archive_files(spark, str(tmp_path))).collect()
+    assert {(r["name"], len(r["bytes"])) for r in entries} == {("a/b.png", 5000), ("a/c.png", 10)}
