@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import bpe, decontaminate, exact_dedup, language, licenses, line_dedup, lm, simhash, substring_dedup, suffix_dedup
+from labelmill.llm import (
+    bpe, decontaminate, exact_dedup, interactions, language, licenses, line_dedup, lm, packing, resampling, simhash, substring_dedup, suffix_dedup,
+)
 from labelmill.llm.common import table
 
 
@@ -83,6 +85,22 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resampling.resample(docs, table(spark, sf_dir, "benchmark"), percent=10, least_words=20, longest=1, buckets=10_000, seed=2024)
+    return drawn.select("doc.doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cuts = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
+    placed = packing.place(cuts.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return placed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_language_id": op2_language_id,
@@ -94,6 +112,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_filter_interactions": op11_filter_interactions,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
@@ -174,4 +195,84 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
     """,
+    "op11_filter_interactions": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                   list_filter(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+                   doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS again
+            FROM documents
+        ), failing AS (
+            SELECT doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+                   100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+                   regexp_matches(text, '[#$%&*|]') AS d, coalesce(again, false) AS e
+            FROM d
+        ), told AS (
+            SELECT part, [a, b, c, d, e] AS fails, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic
+            FROM failing LEFT JOIN labels USING (doc_id)
+        ), letters AS (
+            SELECT unnest(range(1, 6)) AS k
+        ), orders AS (
+            SELECT [p.k, q.k, r.k, s.k, t.k] AS o
+            FROM letters p JOIN letters q ON q.k <> p.k JOIN letters r ON r.k NOT IN (p.k, q.k) JOIN letters s ON s.k NOT IN (p.k, q.k, r.k)
+            JOIN letters t ON t.k NOT IN (p.k, q.k, r.k, s.k)
+        ), cells AS (
+            SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM told GROUP BY part, fails
+        ), steps AS (
+            SELECT part, o, step, o[step] AS f, n, good, toxic, fails[o[step]] AS fails,
+                   list_sum(list_transform(o[1 : step - 1], lambda k: fails[k]::INT)) > 0 AS gone, list_sum(list_transform(fails, lambda x: x::INT)) = 1 AS alone
+            FROM cells, orders, (SELECT unnest(range(1, 6)) AS step)
+        ), counted AS (
+            SELECT part, o, step, f,
+                   sum(CASE WHEN NOT fails AND NOT coalesce(gone, false) THEN n ELSE 0 END) AS kept,
+                   sum(CASE WHEN fails AND NOT coalesce(gone, false) THEN n ELSE 0 END) AS removed,
+                   sum(CASE WHEN fails AND coalesce(gone, false) THEN n ELSE 0 END) AS redundant,
+                   sum(CASE WHEN fails AND alone THEN n ELSE 0 END) AS unique_fails,
+                   sum(CASE WHEN fails AND NOT coalesce(gone, false) THEN good ELSE 0 END) AS good_lost,
+                   sum(CASE WHEN fails AND NOT coalesce(gone, false) THEN toxic ELSE 0 END) AS toxic_lost
+            FROM steps GROUP BY part, o, step, f
+        )
+        SELECT part, array_to_string(list_transform(o, lambda k: substr('ABCDE', k, 1)), '') AS filter_order, step::INT AS step,
+               kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+               good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+        FROM counted
+    """,
+    "op12_importance_resampling": r"""
+        WITH bits AS (
+            SELECT list(crc ORDER BY i) AS tab
+            FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS crc
+                  FROM (SELECT unnest(range(256)) AS i))
+        ), d AS (
+            SELECT doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), b AS (
+            SELECT unnest(list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS word
+            FROM benchmark
+        ), words AS (
+            SELECT doc_id, unnest(w) AS word FROM d
+        ), coded AS (
+            SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM (SELECT word FROM words UNION ALL SELECT word FROM b))
+        ), hashed AS (
+            SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+                                         lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+            FROM coded, bits
+        ), s AS (
+            SELECT bucket, count(*) AS n FROM words JOIN hashed USING (word) GROUP BY bucket
+        ), t AS (
+            SELECT bucket, count(*) AS n FROM b JOIN hashed USING (word) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+                                           / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM s LEFT JOIN t USING (bucket)
+        ), weights AS (
+            SELECT doc_id, sum(gain) AS weight FROM words JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+        ), scored AS (
+            SELECT d.doc_id, len(w) AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                   (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT)::BIGINT AS score
+            FROM d LEFT JOIN weights USING (doc_id)
+        ), placed AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, (10 * count(*) OVER ()) // 100 AS most FROM scored WHERE n_features >= 20
+        )
+        SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN place <= most THEN place END AS rank
+        FROM scored LEFT JOIN placed USING (doc_id)
+    """,
 }

@@ -14,7 +14,7 @@ from labelmill.llm import queries
 @pytest.fixture(scope="module")
 def con(sf):
     connection = duckdb.connect()
-    for name in ("documents", "benchmark"):
+    for name in ("documents", "benchmark", "labels"):
         connection.execute(f"create view {name} as select * from '{sf}/{name}.parquet'")
     return connection
 
@@ -30,7 +30,7 @@ def test_against_sql(spark, sf, con, name):
 
 
 def test_registered():
-    assert len([n for n in contract.queries() if n.startswith("op")]) == 10
+    assert len([n for n in contract.queries() if n.startswith("op")]) == 13
     assert "pipeline" in contract.queries()
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
