@@ -20,67 +20,35 @@ global order by range, and each task looks its pieces up in the plan.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from labelmill.llm.common import pieces, text_of
+from labelmill.llm.words import Parts, parts_at_blanks
 from labelmill.operators.ordering import cut, numbered
 
 CAPACITY = 2048
-BLANKS = r"[\t-\r ]+"
-#: What the memo of a task may hold, in bytes of words, ids and entries.
-MEMO_BYTES = 64 << 20
 
 
-class WordIds:
-    """Ids of what stands between two blanks, as little-endian 32-bit bytes, from the tokenizer's own library.
-
-    The tokenizer must drop blanks before it looks for words, so that no word and no
-    special token crosses one; then a text's ids are those of its parts in a row.
-    """
+class WordIds(Parts):
+    """Parts coded by the tokenizer's own library: words of letters by its model alone."""
 
     def __init__(self, said: str):
-        self.tokenizer = Tokenizer.from_str(said)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.memo: dict[str, bytes] = {}
-        self.held = 0
-
-    def look_up(self, parts: list[str]) -> list[bytes]:
-        new = [p for p in parts if p not in self.memo]
-        for a in range(0, len(new), 20_000):
-            some = new[a : a + 20_000]
-            coded = [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            self.memo.update(zip(some, coded))
-            self.held += sum(map(len, some)) + sum(map(len, coded)) + 220 * len(some)
-        found = list(map(self.memo.__getitem__, parts))
-        if self.held > MEMO_BYTES:
-            self.memo.clear()
-            self.held = 0
-        return found
-
-    def texts(self, texts: pa.Array) -> Iterator[bytes]:
-        """Of each text its ids, as bytes."""
-        split = pc.split_pattern_regex(texts.cast(pa.large_string()), pattern=BLANKS)
-        coded = pc.dictionary_encode(pc.list_flatten(split))
-        ids = self.look_up(coded.dictionary.to_pylist())
-        ends = np.cumsum(pc.list_value_length(split).to_numpy()).tolist()
-        for a, b in zip([0, *ends], ends):
-            yield b"".join(map(ids.__getitem__, coded.indices[a:b].to_pylist()))
-
-
-def splits_at_blanks(tokenizer: Tokenizer) -> bool:
-    """Whether blanks only part words: ids of words with blanks around them are the ids of the words."""
-    tries = ["a", "ab cd", "x1", "don't", "!?", "é", "日本", "́a"]
-    ids = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
-    return all(ids(f" {a}\t\n{b} ") == ids(a) + ids(b) for a in tries for b in tries)
+        tokenizer = Tokenizer.from_str(said)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        tokenize = tokenizer.model.tokenize
+        super().__init__(
+            lambda parts: [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)],
+            lambda word: array("I", [t.id for t in tokenize(word)]).tobytes(),
+        )
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -92,7 +60,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     opened = Tokenizer.from_file(tokenizer)
     opened.no_truncation()
     opened.no_padding()
-    if not splits_at_blanks(opened):
+    if not parts_at_blanks(lambda text: opened.encode(text, add_special_tokens=False).ids):
         raise ValueError("the tokenizer gives blanks a meaning: texts cannot be coded word by word")
     shared = docs.sparkSession.sparkContext.broadcast(opened.to_str())
     end = np.array([end_id], "<u4").tobytes()

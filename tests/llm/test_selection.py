@@ -128,7 +128,8 @@ def held(placed, capacity):
 
 @pytest.mark.parametrize("capacity", [2048, 37])
 def test_packing(spark, odd, odd_rows, capacity):
-    more = ["<|endoftext|> x<|startoftext|>y <|ENDOFTEXT|>", "á ́b e̸ ̸", "ΑΣ Σ ΟΔΟΣ.", "x y z\u0085q\x1cr", "it's DON'T we'll", "\x0b\x0c a"]
+    more = ["<|endoftext|> x<|startoftext|>y <|ENDOFTEXT|>", "á ́b e̸ ̸", "ΑΣ Σ ΟΔΟΣ.", "x y z\u0085q\x1cr", "it's DON'T we'll", "\x0b\x0c a",
+            " ".join(a + w + z for w in ("Éclair", "straße", "ÀÞÿ", "abc", "İx", "ǅ", "Kelvin", "a1b", "ﬁ", "J̌", "it's") for a in ("", "'", "x") for z in ("", ",", "'.", "!?)", "'s", "̸"))]
     docs = odd.unionByName(spark.createDataFrame([(900 + k, t) for k, t in enumerate(more)], "doc_id long, text string"), allowMissingColumns=True)
     rows = odd_rows + [(900 + k, t) for k, t in enumerate(more)]
     cuts = packing.token_pieces(docs, TOKENIZER, capacity, 0)
