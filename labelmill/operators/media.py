@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from labelmill.functions import payload as pl
 from labelmill.functions import text as tx
+from labelmill.operators import ordering
 
 # Stream numbers, the directory each stream is kept in and the
 # split names of the subjects table.
@@ -116,17 +117,18 @@ def keyed_entries(entries: DataFrame, name: str = "name") -> DataFrame:
     return entries.select("*", F.inline(F.array(parse_entry(F.col(name)))))
 
 
-def entry_problems(keyed: DataFrame) -> DataFrame:
-    """Refused entries: a bad name, another subject's entry, bytes that do not fit.
-
-    keyed(archive, subject, name, bytes, kind, …, reason).
-    """
-    why = F.coalesce(
+def entry_problem() -> Column:
+    """Why an entry is refused: a bad name, another subject's entry, bytes that do not fit; null if it is not."""
+    return F.coalesce(
         "reason",
         F.when(F.col("sub_id") != F.col("subject"), "subject_disagrees"),
         pl.wrong_magic(F.col("kind"), F.col("bytes")),
     )
-    return keyed.select("archive", "name", why.alias("problem")).filter("problem is not null")
+
+
+def entry_problems(keyed: DataFrame) -> DataFrame:
+    """Refused entries of keyed(archive, subject, name, bytes, kind, …, reason)."""
+    return keyed.select("archive", "name", entry_problem().alias("problem")).filter("problem is not null")
 
 
 def group_kind() -> Column:
@@ -153,6 +155,12 @@ def group_counts(keyed: DataFrame) -> DataFrame:
     )
 
 
+def group_order(groups: DataFrame) -> DataFrame:
+    """Group counts with their place, from 0, in the order of (archive, relation, stream, trial), columns of the key first."""
+    keys = ["archive", "relation", "stream", "trial"]
+    return ordering.numbered(groups, *keys, name="place").select("place", *keys, "rows", "bytes")
+
+
 def manifest(groups: DataFrame, archives: DataFrame) -> DataFrame:
     """Per subject: rows, bytes and what each archive gave.
 

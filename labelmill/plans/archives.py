@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelmill.functions import tables
 from labelmill.operators import media
 from labelmill.plans import bindings as b
+from labelmill.sources import archives, paths
+from labelmill.streaming import ingest
 
 
 def _keyed(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,7 +91,52 @@ def _resume(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return targets, manifests
 
 
+def _read_back(spark, sf):
+    """Every entry of the archives written from the line items, read back in ranges."""
+    folder = paths.scratch(spark)
+    archives.write_archives(b.entries(spark, sf), folder).agg(F.sum("length")).collect()
+    found = archives.entry_rows(spark, folder, range_bytes=4096)
+    return found.select(F.substring_index("archive", "/", -1).alias("archive"), "name", "size", F.md5("bytes").alias("md5"), "problem")
+
+
+def _read_by_function(spark, sf):
+    """The same entries from the table function, in SQL over the ranges of the files."""
+    folder = paths.scratch(spark)
+    archives.write_archives(b.entries(spark, sf), folder).agg(F.sum("length")).collect()
+    tables.register(spark)
+    return spark.sql(
+        "SELECT substring_index(archive, '/', -1) AS archive, name, size, md5(bytes) AS md5, problem FROM archive_entries(TABLE(SELECT * FROM {ranges}))",
+        ranges=tables.archive_ranges(archives.archive_files(spark, folder).select("path", "length"), 4096),
+    )
+
+
+def _ingested(spark, sf):
+    """Archives written from the line items and converted: what is refused, the groups and the manifests.
+
+    Every fifth subject has refused entries, the files of others differ from the listing in size or hash, some have no row in the table of subjects.
+    """
+    keyed = media.keyed_entries(b.entries(spark, sf))
+    folder, out, checkpoint = paths.scratch(spark), paths.scratch(spark), paths.scratch(spark)
+    archives.write_archives(keyed.filter(media.entry_problem().isNull() | (F.col("subject") % 5 == 0)), folder).agg(F.sum("length")).collect()
+    key = F.col("s_suppkey")
+    subjects = b.table(spark, sf, "supplier").filter(key % 13 != 6).select(key.alias("sub_id"), F.get(F.array(F.lit("train"), F.lit("test"), F.lit("evaluation")), (key % 3).cast("int")).alias("split"))
+    # the listing is what lies there, with a wrong size or hash for some subjects
+    there = archives.with_subject(archives.archive_files(spark, folder).select(F.col("path").alias("archive"), F.col("length").alias("size")))
+    expected = there.select(
+        F.col("archive").alias("path"), (F.col("size") + F.when(F.col("subject") % 7 == 3, 1).otherwise(0)).alias("size"), F.when(F.col("subject") % 11 == 5, "0").alias("sha256")
+    )
+    ingest.ingest(spark, folder, out, checkpoint, subjects, expected, range_bytes=8192).awaitTermination()
+    file = F.substring_index("archive", "/", -1).alias("archive")
+    refused = spark.read.parquet(f"{out}/refused/*").select(F.lit("refused").alias("what"), file, F.coalesce("name", F.lit("")).alias("name"), "problem", F.lit(1).cast("long").alias("rows"), F.lit(0).cast("long").alias("bytes"))
+    groups = spark.read.parquet(f"{out}/groups/*").select(F.lit("group"), file, media.group_name(), F.lit(""), "rows", "bytes")
+    manifests = spark.read.schema("subject bigint, split string, rows bigint, bytes bigint").json(f"{out}/manifest/*").select(F.lit("manifest"), F.col("subject").cast("string"), "split", F.lit(""), "rows", "bytes")
+    return refused.union(groups).union(manifests)
+
+
 QUERIES = {
+    "archive_read_back": _read_back,
+    "archive_entries_function": _read_by_function,
+    "archive_ingest": _ingested,
     "entry_parse": _parse,
     "entry_problems": _problems,
     "group_counts": _groups,
@@ -122,7 +170,27 @@ WITH raw AS (SELECT CAST(c_custkey AS INT) AS sub_id, CASE WHEN c_custkey % 50 =
   [['Mask'], ['Glasses', 'Hat'], [], ['Scarf', 'Mask', 'Hat']][c_custkey % 4 + 1] AS a1, [['Mask'], ['Glasses', 'Hat'], [], ['Scarf', 'Mask', 'Hat']][c_nationkey % 4 + 1] AS a2 FROM customer)
 """
 
+_BYTES = "unhex(CASE WHEN n % 61 = 0 THEN 'FFD8FF' WHEN sort = 2 THEN '52494646' ELSE '89504E470D0A1A0A' END) || encode(name)"
+
+_READ_BACK = f"SELECT archive, name, octet_length({_BYTES})::BIGINT AS size, md5({_BYTES}) AS md5, CAST(NULL AS VARCHAR) AS problem FROM keyed"
+
+_INGESTED = """, bad AS (SELECT *, coalesce(reason, CASE WHEN sub <> subject THEN 'subject_disagrees' WHEN n % 61 = 0 THEN CASE WHEN sort = 2 THEN 'not_a_wav' ELSE 'not_a_png' END END) AS wrong FROM keyed),
+written AS (SELECT * FROM bad WHERE wrong IS NULL OR subject % 5 = 0),
+files AS (SELECT DISTINCT archive, subject FROM written),
+refused AS (
+  SELECT archive, name, coalesce(wrong, CASE WHEN subject % 13 = 6 THEN 'unknown_subject' END) AS problem FROM written WHERE wrong IS NOT NULL OR subject % 13 = 6
+  UNION ALL SELECT archive, '', CASE WHEN subject % 7 = 3 THEN 'size_mismatch' ELSE 'sha_mismatch' END FROM files WHERE subject % 7 = 3 OR subject % 11 = 5),
+good AS (SELECT * FROM written WHERE archive NOT IN (SELECT archive FROM refused)),
+complete AS (SELECT subject FROM files GROUP BY subject HAVING NOT bool_or(archive IN (SELECT archive FROM refused)))
+SELECT 'refused' AS what, archive, name, problem, 1 AS rows, 0 AS bytes FROM refused
+UNION ALL SELECT 'group', archive, CASE sort WHEN 0 THEN 'still' WHEN 1 THEN 'cmd' ELSE 'audio' END || CASE WHEN sort < 2 THEN '/' || ['thermal', 'visual', 'visual_aligned'][shown] ELSE '' END || '/trial_' || trial, '', count(*), CAST(sum(size) AS BIGINT) FROM good GROUP BY ALL
+UNION ALL SELECT 'manifest', CAST(subject AS VARCHAR), ['train', 'test', 'evaluation'][subject % 3 + 1], '', count(*), CAST(sum(size) AS BIGINT) FROM good WHERE subject IN (SELECT subject FROM complete) GROUP BY subject
+"""
+
 ORACLES = {
+    "archive_read_back": _e(_READ_BACK),
+    "archive_entries_function": _e(_READ_BACK),
+    "archive_ingest": _e(_INGESTED),
     "entry_parse": _e(
         """SELECT name, CASE WHEN reason IS NULL THEN kind END AS kind, CASE WHEN reason IS NULL THEN sub END AS sub_id, CASE WHEN reason IS NULL THEN CAST(trial AS BIGINT) END AS trial,
           CASE WHEN reason IS NULL THEN CAST(pos AS BIGINT) END AS position, CASE WHEN reason IS NULL AND sort > 0 THEN command END AS command,

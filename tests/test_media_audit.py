@@ -1,4 +1,5 @@
 import io
+import os
 import zipfile
 
 import pytest
@@ -90,6 +91,81 @@ def test_incremental_ingest_converts_each_archive_once(spark, tmp_path):
     assert [r["problem"] for r in spark.read.parquet(f"{out}/refused/*").collect()] == ["subject_disagrees"]
 
 
+def read_ranges(spark, base, size):
+    return archives.entry_rows(spark, str(base), range_bytes=size)
+
+
+def test_archive_of_many_ranges(spark, tmp_path):
+    """Every entry once, whatever the ranges; an archive larger than a range is many tasks; what cannot be read is named."""
+    names = {f"sub_24_io/trial_1/rgb_image/24_1_1_1_{k}_2.png": PNG + bytes([k % 256]) * (k * 7) for k in range(200)}
+    make_zip(tmp_path / "sub_24_io.zip", names)
+    make_zip(tmp_path / "sub_25_io.zip", {})
+    (tmp_path / "sub_26_io.zip").write_bytes(b"")
+    (tmp_path / "sub_27_io.zip").write_bytes(b"no archive at all" * 99)
+    broken = tmp_path / "sub_28_io.zip"
+    make_zip(broken, {"a.png": b"0123456789" * 20, "b.png": PNG})
+    broken.write_bytes(broken.read_bytes().replace(b"0123456789" * 20, b"x123456789" * 20, 1))
+    for size in (100, 5000, 1 << 30):
+        found = read_ranges(spark, tmp_path, size)
+        rows = found.collect()
+        good = {r["name"]: bytes(r["bytes"]) for r in rows if r["problem"] is None}
+        assert good == {**names, "b.png": PNG}
+        assert len(rows) == 205
+        assert sorted((r["archive"][-13:], r["name"], r["problem"]) for r in rows if r["problem"]) == [
+            ("sub_25_io.zip", None, "no_entries"), ("sub_26_io.zip", None, "empty_archive"), ("sub_27_io.zip", None, "unreadable_archive"), ("sub_28_io.zip", "a.png", "unreadable_entry"),
+        ]
+        assert (found.rdd.getNumPartitions() > 100) == (size == 100)
+    assert read_ranges(spark, tmp_path / "nowhere", 100).collect() == []
+
+
+def test_archives_written_and_read_back(spark, tmp_path):
+    rows = [(f"sub_{k % 5}_io.zip", f"e{k}", bytes([k]) * k) for k in range(90)]
+    entries = spark.createDataFrame(rows, "archive string, name string, bytes binary").repartition(6)
+    written = archives.write_archives(entries, str(tmp_path / "z")).collect()
+    assert {r["archive"]: r["length"] for r in written} == {p.name: p.stat().st_size for p in (tmp_path / "z").iterdir()}
+    back = read_ranges(spark, tmp_path / "z", 300).collect()
+    assert sorted((r["archive"].rsplit("/", 1)[1], r["name"], bytes(r["bytes"])) for r in back) == sorted(rows)
+
+
+def test_ingest_verifies_and_names(spark, tmp_path):
+    """Sizes and hashes against a listing, empty archives in the manifest, no manifest for a subject with a refused archive."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for k in (1, 2, 3, 4):
+        make_zip(source / f"sub_{k}_io.zip", {f"sub_{k}_io/trial_1/thr_image/{k}_1_1_1_5_1.png": PNG})
+    (source / "sub_1_ia.zip").write_bytes(b"")
+    make_zip(source / "sub_2_ia.zip", {"sub_2_ia/trial_1/thr_image_cmd/2_1_2_1_9_5_1.png": PNG})
+    size = (source / "sub_1_io.zip").stat().st_size
+    listing = [("x/sub_1_io.zip", size, None), ("x/sub_2_io.zip", size + 1, "0"), ("x/sub_3_io.zip", size, "0")]
+    expected = spark.createDataFrame(listing, "path string, size bigint, sha256 string")
+    subjects = spark.createDataFrame([(1, "train"), (2, "test"), (3, "train")], "sub_id bigint, split string")
+    ingest.ingest(spark, str(source), out, str(tmp_path / "ck"), subjects, expected, range_bytes=64).awaitTermination()
+    refused = spark.read.parquet(f"{out}/refused/*").collect()
+    assert sorted((r["archive"].rsplit("/", 1)[1], r["name"] is None, r["problem"]) for r in refused) == [
+        ("sub_2_io.zip", True, "size_mismatch"), ("sub_3_io.zip", True, "sha_mismatch"), ("sub_4_io.zip", False, "unknown_subject"),
+    ]
+    made = spark.read.json(f"{out}/manifest/*").collect()
+    assert [(m["subject"], m["split"], m["rows"], m["bytes"]) for m in made] == [(1, "train", 1, 9)]
+    held = made[0]["archives"].asDict()
+    assert sorted((k.rsplit("/", 1)[1], v["empty"], v["size"]) for k, v in held.items()) == [("sub_1_ia.zip", True, 0), ("sub_1_io.zip", False, size)]
+    media_names = {r["p"] for kind in ("still", "cmd") for r in spark.read.parquet(f"{out}/media/*/{kind}").select(F.col("image.path").alias("p")).collect()}
+    assert media_names == {"1_1_1_1_5_1.png", "2_1_2_1_9_5_1.png"}
+    assert not (tmp_path / "out" / "_pending" / "batch=0").exists()
+
+
+def test_late_archives_with_old_dates(spark, tmp_path):
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ck")
+    source.mkdir()
+    subjects = spark.createDataFrame([(1, "train"), (2, "train")], "sub_id bigint, split string")
+    make_zip(source / "sub_2_io.zip", {"sub_2_io/trial_1/thr_image/2_1_1_1_5_1.png": PNG})
+    ingest.ingest(spark, str(source), out, checkpoint, subjects).awaitTermination()
+    make_zip(source / "sub_1_io.zip", {"sub_1_io/trial_1/thr_image/1_1_1_1_5_1.png": PNG})
+    os.utime(source / "sub_1_io.zip", (1, 1))
+    for _ in range(2):
+        ingest.ingest(spark, str(source), out, checkpoint, subjects).awaitTermination()
+    assert sorted(r["subject"] for r in spark.read.json(f"{out}/manifest/*").collect()) == [1, 2]
+
+
 def test_subjects(spark, tmp_path):
     path = tmp_path / "s.csv"
     path.write_text("Sub_ID,Split,Age,Gender,Ethnicity,Acc_Trial_1,Acc_Trial_2\n1,Train,30,F,x,None,Hat;Mask\n2,Valid,31,M,y,Hat,None\n3,Test,32,F,z,None,None\n4,Other,1,F,z,None,None\n")
