@@ -150,11 +150,15 @@ def call_lines(steps: DataFrame) -> DataFrame:
 
     steps(program, step, name, sig, target, args array<struct(name, value)>);
     steps are numbered 0.. without gaps, so the previous step is found by an
-    equi-join on the number rather than by ordering a whole program. An argument
+    equi-join on the number rather than by ordering a whole program, unless the rows
+    say it in a column ``previous``, as ``ranking.scan`` gives it. An argument
     naming an earlier block's RET is a wire, everything else a quoted literal.
     """
-    before = steps.select("program", (F.col("step") + 1).alias("step"), F.col("name").alias("_prev"))
-    chained = steps.join(before, ["program", "step"], "left")
+    if "previous" in steps.columns:
+        chained = steps.withColumn("_prev", F.col("previous"))
+    else:
+        before = steps.select("program", (F.col("step") + 1).alias("step"), F.col("name").alias("_prev"))
+        chained = steps.join(before, ["program", "step"], "left")
     enable = F.when(F.col("_prev").isNotNull(), F.array(F.concat(F.lit("EN="), "_prev", F.lit(".ENO")))).otherwise(
         F.array().cast("array<string>")
     )
@@ -166,7 +170,19 @@ def call_lines(steps: DataFrame) -> DataFrame:
 
     pins = F.concat(enable, F.array(F.concat(F.lit("TARGET="), "target")), F.transform("args", pin))
     line = F.concat("name", F.lit(" = CALL["), "sig", F.lit("]("), F.array_join(pins, ", "), F.lit(")"))
-    return chained.select("program", "step", line.alias("line"))
+    return chained.select("program", "step", line.alias("line"), *[c for c in ("name", "size") if "size" in steps.columns])
+
+
+def call_program(calls: DataFrame, order: list[str], chunk: str) -> DataFrame:
+    """calls(program, name, sig, target, args, …) in order -> (program, step, line), the closing write as step -1.
+
+    Numbers, previous names and sizes come from one pass over the calls.
+    """
+    steps = ranking.scan(calls, ["program"], order, chunk, position="step", size="size", previous={"previous": F.col("name")})
+    lines = call_lines(steps)
+    last = F.when(F.col("step") == F.col("size") - 1, F.concat(F.lit("done = "), "name", F.lit(".ENO")))
+    both = F.array(F.struct(F.col("step").cast("bigint").alias("step"), "line"), F.struct(F.lit(-1).cast("bigint").alias("step"), last.alias("line")))
+    return lines.select("program", F.inline(both)).filter("line is not null")
 
 
 def call_done(steps: DataFrame) -> DataFrame:

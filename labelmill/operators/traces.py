@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from labelmill import schemas
 from labelmill.functions import numeric as nm
-from labelmill.operators import ranking
+from labelmill.operators import ordering, ranking
 
 REFERENCE = "rank1"
 
@@ -121,22 +121,27 @@ def reference_matches(outputs: DataFrame, reference: DataFrame) -> DataFrame:
     )
 
 
-def on_delay(traces: DataFrame, keys: list[str], tick: str, chunk: str, ok: Column, n: Column) -> DataFrame:
-    """``frozen`` from the n-th consecutive tick without ``ok`` on."""
-    seen = ranking.last_seen(traces, keys, tick, chunk, ok, "_last_ok")
+def _seen(traces: DataFrame, keys: list[str], tick: str, chunk: str, order: list[str] | None, **flags: dict[str, Column]) -> DataFrame:
+    """One scan; where the ticks are not there yet, ``order`` says what they follow and ``tick`` what they are called."""
+    if order:
+        return ranking.scan(traces, keys, order, chunk, position=tick, **flags)
+    return ranking.scan(traces, keys, [tick], chunk, tick=tick, **flags)
+
+
+def on_delay(traces: DataFrame, keys: list[str], tick: str, chunk: str, ok: Column, n: Column, order: list[str] | None = None) -> DataFrame:
+    """``frozen`` from the n-th consecutive tick without ``ok`` on. With ``order`` the ticks are numbered in the same pass."""
+    seen = _seen(traces, keys, tick, chunk, order, hits={"_last_ok": ok})
     frozen = F.col(tick) - F.coalesce("_last_ok", F.lit(-1)) >= n
     return seen.withColumn("frozen", frozen).drop("_last_ok")
 
 
 def press_hold(
-    traces: DataFrame, keys: list[str], tick: str, chunk: str, pressed: Column, n: Column, style: Column
+    traces: DataFrame, keys: list[str], tick: str, chunk: str, pressed: Column, n: Column, style: Column, order: list[str] | None = None
 ) -> DataFrame:
-    """``style`` on the rising edge's tick and the n - 1 after it, else 0."""
-    before = ranking.previous(traces, keys, tick, chunk, pressed, "_was")
-    edge = pressed & ~F.coalesce("_was", F.lit(False))
-    seen = ranking.last_seen(before, keys, tick, chunk, edge, "_edge")
+    """``style`` on the rising edge's tick and the n - 1 after it, else 0. With ``order`` the ticks are numbered in the same pass."""
+    seen = _seen(traces, keys, tick, chunk, order, edges={"_edge": pressed})
     held = F.coalesce(F.col(tick) - F.col("_edge") < n, F.lit(False))
-    return seen.withColumn("style", F.when(held, style).otherwise(F.lit(0))).drop("_was", "_edge")
+    return seen.withColumn("style", F.when(held, style).otherwise(F.lit(0))).drop("_edge")
 
 
 def _with_stop(steps: DataFrame, keys: list[str], step: str, code: str, chunk: str) -> DataFrame:
@@ -174,7 +179,10 @@ def pick_traces(rows: DataFrame, names: DataFrame, picks: int = 3, stride: int =
     ``names(name)`` is the library of traces, a registry whose size is taken first.
     """
     n = names.count()
-    numbered = names.select("name", (F.row_number().over(Window.orderBy("name")) - 1).cast("bigint").alias("_at"))
+    if n <= ranking.REGISTRY_ROWS:
+        numbered = names.select("name", (F.row_number().over(Window.orderBy("name")) - 1).cast("bigint").alias("_at"))
+    else:
+        numbered = ordering.numbered(names.select("name"), "name", name="_at")
     wanted = rows.withColumn("pick", F.explode(F.sequence(F.lit(0), F.lit(picks - 1)))).withColumn(
         "_at", F.pmod(F.col("seed") + F.col("pick") * stride, F.lit(max(n, 1))).cast("bigint")
     )

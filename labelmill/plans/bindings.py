@@ -285,14 +285,11 @@ pin AS (
 # --- events as traces -----------------------------------------------------------------------
 
 
-def trace_ticks(spark: SparkSession, sf: str) -> DataFrame:
-    """(user_id, hour, tick, event_id, lx, ly, btn, tracker_ok): a trace per user, ticks in time order."""
-    from labelmill.operators import ranking
-
+def trace_events(spark: SparkSession, sf: str) -> DataFrame:
+    """(user_id, hour, ts, event_id, lx, ly, btn, tracker_ok): a trace per user, in time order, not yet numbered."""
     e = table(spark, sf, "events").select("user_id", F.date_trunc("hour", "ts").alias("hour"), "ts", "event_id", "event_type")
-    ticked = ranking.positions(e, ["user_id"], ["ts", "event_id"], "hour", "tick")
-    return ticked.select(
-        "user_id", "hour", "tick", "event_id",
+    return e.select(
+        "user_id", "hour", "ts", "event_id",
         ((F.col("event_id") % 201 - 100) / F.lit(100.0)).alias("lx"),
         ((F.col("event_id") * 7 % 201 - 100) / F.lit(100.0)).alias("ly"),
         (F.col("event_type") == "click").alias("btn"),
@@ -300,6 +297,13 @@ def trace_ticks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def trace_ticks(spark: SparkSession, sf: str) -> DataFrame:
+    """``trace_events`` with their tick."""
+    from labelmill.operators import ranking
+
+    return ranking.scan(trace_events(spark, sf), ["user_id"], ["ts", "event_id"], "hour", position="tick")
+
+
 TRACE_SQL = r"""
 ticks AS (
   SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS tick, event_id,

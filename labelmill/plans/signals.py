@@ -10,6 +10,7 @@ from labelmill.operators import traces as tr
 from labelmill.plans import bindings as b
 
 USER = ["user_id"]
+ORDER = ["ts", "event_id"]
 
 
 def _ticks(spark, sf):
@@ -21,12 +22,12 @@ def _n():
 
 
 def _on_delay(spark, sf):
-    out = tr.on_delay(b.trace_ticks(spark, sf), USER, "tick", "hour", F.col("tracker_ok"), _n())
+    out = tr.on_delay(b.trace_events(spark, sf), USER, "tick", "hour", F.col("tracker_ok"), _n(), ORDER)
     return out.select("user_id", "tick", "frozen")
 
 
 def _press_hold(spark, sf):
-    out = tr.press_hold(b.trace_ticks(spark, sf), USER, "tick", "hour", F.col("btn"), _n(), (F.col("user_id") % 9 + 1).cast("int"))
+    out = tr.press_hold(b.trace_events(spark, sf), USER, "tick", "hour", F.col("btn"), _n(), (F.col("user_id") % 9 + 1).cast("int"), ORDER)
     return out.select("user_id", "tick", "style")
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelmill.operators import allocation, census, controls, gates, ranking, relations, splits
-from labelmill.sources import files, stage
+from labelmill.sources import files, snapshots, stage
 
 IN_FLIGHT = "family string, template_id string, seed bigint, intent string, frame_id bigint, blocks array<string>, rank1 string, rank3 string, rank5 string"
 
@@ -112,6 +112,46 @@ def test_empty_split_and_replace_in_place(spark, tmp_path):
         stage.write_relations(spark, base, {"u": df})
 
 
+def test_versions(spark, tmp_path):
+    """A version whole or not at all; of two writers one is refused; what is replaced may be what was read; nothing is moved."""
+    base = str(tmp_path / "v")
+    df = in_flight(spark, SPLIT_ROWS)
+    schema = df.schema.simpleString()[7:-1].replace(":", " ").replace("array<string>", "array<string>")
+    assert snapshots.snapshot(spark, base) == snapshots.Snapshot() and snapshots.read(spark, base, "u", schema).collect() == []
+    first = snapshots.commit(spark, base, {"t": df.limit(0), "u": df}, 0)
+    assert (first.version, {n: r["rows"] for n, r in first.relations.items()}) == (1, {"t": 0, "u": 5})
+    read = snapshots.read(spark, base, "u", schema, 1)
+    second = snapshots.commit(spark, base, {"u": read.withColumn("intent", F.lit("repaired"))}, 1)
+    assert second.version == 2 and second.relations["t"] == first.relations["t"]
+    with pytest.raises(snapshots.Conflict):
+        snapshots.commit(spark, base, {"u": df.limit(1)}, 1)
+    with pytest.raises(gates.Refused, match=r"u.intent carries 5 null"):
+        snapshots.commit(spark, base, {"u": df.withColumn("intent", F.lit(None).cast("string"))}, 2)
+    assert snapshots.versions(spark, base) == [1, 2] and len(os.listdir(f"{base}/_data")) == 2
+    assert {r["intent"] for r in snapshots.read(spark, base, "u", schema).collect()} == {"repaired"}
+    assert {r["intent"] for r in snapshots.read(spark, base, "u", schema, 1).collect()} == {f"do {s}" for _, s, _ in SPLIT_ROWS}
+    assert snapshots.expire(spark, base) == [1]
+    assert snapshots.read(spark, base, "u", schema).count() == 5 and snapshots.read(spark, base, "t", schema).count() == 0
+    with pytest.raises(FileNotFoundError):
+        snapshots.read(spark, base, "u", schema, 1)
+
+
+def test_versions_of_a_split(spark, tmp_path):
+    df = in_flight(spark, SPLIT_ROWS)
+    out = str(tmp_path / "s")
+    root, cands, verdicts = relations.root_rows(df), relations.candidate_rows(df), scores(spark, SPLIT_ROWS)
+    made = stage.commit_split(spark, out, "test", "fbd", root, cands, verdicts)
+    assert {n: r["rows"] for n, r in made.relations.items()} == {"fbd_root": 5, "fbd_candidates": 15, "fbd_scores": 15, "fbd": 5}
+    tables = stage.read_split(spark, out, "fbd", "test/data")
+    assert tables["candidates"].count() == 15 and tables["joined"].count() == 5
+    repaired = tables["candidates"].withColumn("fbd_text", F.concat("fbd_text", F.lit("# seen")))
+    assert stage.replace_relation(spark, f"{out}/test/data", "fbd_candidates", repaired, made.version) == 15
+    again = stage.read_split(spark, out, "fbd", "test/data")
+    assert again["candidates"].filter("fbd_text like '%# seen'").count() == 15 and again["root"].count() == 5
+    with pytest.raises(snapshots.Conflict):
+        stage.replace_relation(spark, f"{out}/test/data", "fbd_candidates", repaired, made.version)
+
+
 def test_controls_and_planted_negative(spark):
     rows = [("a", s, ["AND"]) for s in range(5)]
     broken = [("fbd/a/1", "rank1", (True, True, False)), ("fbd/a/2", "rank3", (True, True, True)), ("fbd/a/3", "rank5", (True, False, False))]
@@ -202,6 +242,33 @@ def test_chunked_ordering_on_one_hot_key(spark):
             was = flag
     assert {r["at"]: (r["tick"], r["last"], r["was"]) for r in got} == want
 
+    def began(rows):
+        """Where the flag last began to hold."""
+        out, edge, was = [], None, False
+        for tick, (_, _, flag) in enumerate(rows):
+            edge, was = (tick if flag and not was else edge), flag
+            out.append(edge)
+        return out
+
+    edges = {at: e for k in {v[0] for v in values} for rows in [sorted(v for v in values if v[0] == k)] for (_, at, _), e in zip(rows, began(rows))}
+    sizes = {at: sum(v[0] == k for v in values) for k, at, _ in values}
+    flag = F.col("flag")
+    by_count = ranking.cut_by_count(df.drop("c"), ["k"], ["at"], "c", 50)
+    for chunked in (df, by_count, df.withColumn("c", F.lit(0)), df.withColumn("c", F.col("at"))):
+        found = ranking.scan(chunked, ["k"], ["at"], "c", position="tick", size="size", previous={"was": flag}, hits={"last": flag}, edges={"edge": flag}).collect()
+        assert {r["at"]: (r["tick"], r["last"], r["was"]) for r in found} == want
+        assert {r["at"]: r["edge"] for r in found} == edges and {r["at"]: r["size"] for r in found} == sizes
+    assert by_count.groupBy("k", "c").count().agg(F.max("count")).first()[0] <= 50
+    ticked = ranking.scan(df.withColumn("at2", F.col("at") * 10), ["k"], ["at"], "c", hits={"last": flag}, edges={"edge": flag}, tick="at2").collect()
+    back = {(r["k"], r["at"]): r["at"] for r in found}
+    place = {(r["k"], r["tick"]): r["at"] for r in found}
+    assert all(r["last"] == (None if want[r["at"]][1] is None else 10 * place[r["k"], want[r["at"]][1]]) for r in ticked) and len(back) == 600
+    assert all(r["edge"] == (None if edges[r["at"]] is None else 10 * place[r["k"], edges[r["at"]]]) for r in ticked)
+    odd = spark.createDataFrame([(None, 1, True), (None, 2, None), ("a", 1, None)], "k string, at int, flag boolean").withColumn("c", F.lit(1))
+    told = ranking.scan(odd, ["k"], ["at"], "c", position="tick", edges={"edge": flag}, hits={"last": flag}).collect()
+    assert sorted((r["k"] or "", r["at"], r["tick"], r["edge"], r["last"]) for r in told) == [("", 1, 0, 0, 0), ("", 2, 1, 0, 0), ("a", 1, 0, None, None)]
+    assert ranking.scan(odd.limit(0), ["k"], ["at"], "c", position="tick").collect() == []
+
 
 def test_artefacts_traces_and_listings(spark, tmp_path):
     rows = tmp_path / "rows"
