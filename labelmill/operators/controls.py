@@ -54,3 +54,17 @@ def planted_negative(scores: DataFrame) -> DataFrame:
         for name in ("parses", "compiles", "runs", "effect_matches")
     }
     return scores.withColumns(planted)
+
+
+def wanted_scores(rows: DataFrame) -> DataFrame:
+    """The score relation that the controls want of in-flight rows: rank1 right, rank3 running but wrong, rank5 refused."""
+    yes, no, zero = F.lit(True), F.lit(False), F.lit(0).cast("bigint")
+
+    def verdict(name: str, compiles: Column, effect: Column, refusal: str) -> Column:
+        return F.struct(
+            F.lit(name).alias("candidate"), compiles.alias("parses"), compiles.alias("compiles"), compiles.alias("runs"), effect.alias("effect_matches"),
+            zero.alias("steps"), zero.alias("wall_ms"), F.lit(refusal).alias("refusal"),
+        )
+
+    entries = F.array(verdict("rank1", yes, yes, ""), verdict("rank3", yes, no, ""), verdict("rank5", no, no, "refused"))
+    return relations.score_rows(rows.withColumn("scores", entries))

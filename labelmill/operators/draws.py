@@ -1,9 +1,13 @@
-"""Seeded draws.
+"""Seeded draws, in two modes that give the same map of values to the row builders.
 
-A row's constants come from Python's generator seeded by the row, so a corpus
-made again from the same seeds is the same corpus. Only the drawing runs in
-Python, Arrow-batched; texts, frames, traces and hard negatives are built from
-the drawn values by Spark expressions.
+``draw`` takes a row's constants from Python's generator seeded by the row, so a
+corpus that was made that way can be made again. Only the drawing runs in Python,
+Arrow-batched.
+
+``counted`` draws by counting: a value's number is a hash of seed, template, name and
+how often the name was drawn before, in built-in expressions. Nothing is carried from
+one value to the next, no row leaves the JVM, and any engine that has the hash draws
+the same values.
 
 A plan is a list of steps:
   (name, "uniform", low, high, places)   a rounded real
@@ -13,7 +17,8 @@ A plan is a list of steps:
   (name, "choose", fn)                   one of the values fn(values) lists
   (name, "sample", [values], count)      a list of some of the values, each once
   (name, "shuffle", [values])            the list of the values in another order
-  (name, "derive", fn)                   fn(values) -> value, nothing drawn
+  (name, "derive", fn, express)          fn(values) -> value, nothing drawn; express(first) the same as a column,
+                                         where first(name) is the text of a name's first value (``counted`` only)
   (name, "repeat", count, [steps])       steps again and again; count is a number or an earlier name
 Every name maps to the list of the values it took, as text.
 """
@@ -74,6 +79,68 @@ def draw(template: Column, seed: Column, plans: Mapping[str, Sequence[tuple]]) -
     return F.pandas_udf(per_batch, VALUES)(template, seed)
 
 
+def number(seed: Column, template: str | Column, name: str, index: Column) -> Column:
+    """The number behind a drawn value, from 0 to below 2^60: the head of an MD5, as a bigint."""
+    template = template if isinstance(template, Column) else F.lit(template)
+    text = F.concat_ws("/", seed.cast("string"), template, F.lit(name), index.cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def one_of(n: Column, kind: str, *args) -> Column:
+    """The value, as text, that a number stands for in a step of one value."""
+    if kind == "uniform":
+        low, high, scale = round(args[0] * 10 ** args[2]), round(args[1] * 10 ** args[2]), 10 ** args[2]
+        return ((n % (high - low + 1) + low) / F.lit(float(scale))).cast("string")
+    if kind == "randint":
+        return (n % (args[1] - args[0] + 1) + args[0]).cast("string")
+    if kind == "choice":
+        return F.get(F.array(*[F.lit(str(v)) for v in args[0]]), (n % len(args[0])).cast("int"))
+    if kind == "coin":
+        return F.when(n % 2 == 0, "True").otherwise("False")
+    raise NotImplementedError(f"no counted draw for {kind}")
+
+
+def _counted(template: str, seed: Column, steps: Sequence[tuple]) -> Column:
+    taken: dict[str, list[Column]] = {}
+    before: dict[str, int | None] = {}
+
+    def first(name: str) -> Column:
+        return F.get(taken[name][0], 0)
+
+    def add(name: str, value: Column, count: int | None) -> None:
+        taken.setdefault(name, []).append(value)
+        held = before.get(name, 0)
+        before[name] = None if held is None or count is None else held + count
+
+    for name, kind, *args in steps:
+        if kind == "derive":
+            if len(args) < 2:
+                raise NotImplementedError(f"{template}: {name} has no column expression")
+            add(name, F.array(args[1](first).cast("string")), 1)
+        elif kind == "repeat":
+            fixed = args[0] if isinstance(args[0], int) else None
+            count = F.lit(fixed) if fixed is not None else first(args[0]).cast("int")
+            for inner, *rest in args[1]:
+                start = before.get(inner, 0)
+                if start is None:
+                    raise NotImplementedError(f"{template}: {inner} follows a number of values that is drawn")
+                each = F.transform(F.sequence(F.lit(0), count - 1), lambda i, n=inner, r=rest, at=start: one_of(number(seed, template, n, i + at), *r))
+                add(inner, F.when(count > 0, each).otherwise(F.array().cast("array<string>")), fixed)
+        else:
+            add(name, F.array(one_of(number(seed, template, name, F.lit(before.get(name, 0))), kind, *args)), 1)
+    entries = [part for name, parts in taken.items() for part in (F.lit(name), F.concat(*parts) if len(parts) > 1 else parts[0])]
+    return F.create_map(*entries) if entries else F.create_map().cast("map<string,array<string>>")
+
+
+def counted(template: Column, seed: Column, plans: Mapping[str, Sequence[tuple]]) -> Column:
+    """map<name, values> of each row, by its template's plan, as ``draw`` gives it but with counted numbers."""
+    result = None
+    for name, steps in plans.items():
+        value = _counted(name, seed, steps)
+        result = F.when(template == name, value) if result is None else result.when(template == name, value)
+    return result
+
+
 def drawn(values: Column, name: str) -> Column:
     """The first value of a name."""
     return F.get(F.try_element_at(values, F.lit(name)), 0)

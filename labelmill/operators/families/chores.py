@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,9 +109,9 @@ def _count(names: Column) -> Column:
     return _diagram("write_then_count", F.concat(F.array_join(F.transform(names, one), ""), run), at + 2)
 
 
-def rows(jobs: DataFrame) -> DataFrame:
+def rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
     """jobs(template_id, seed) -> chore rows; the three candidates are XML."""
-    made = jobs.withColumn("values", draw(F.col("template_id"), F.col("seed"), DRAWS))
+    made = jobs.withColumn("values", drawing(F.col("template_id"), F.col("seed"), DRAWS))
     v = F.col("values")
     words = lambda name: F.array_join(all_drawn(v, f"{name}_words"), " ")
     name = lambda prefix: F.concat_ws("_", drawn(v, f"{prefix}_word"), drawn(v, f"{prefix}_n"))

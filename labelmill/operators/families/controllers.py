@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,19 +17,24 @@ from labelmill.operators.families.frames import FRAMES, pick
 TICKS = 12
 DT = 0.125
 
+
+def _hundredths(text: Column) -> Column:
+    return F.round(text.cast("double") * 100).cast("bigint")
+
+
 _SWEEP = ("sweep", "repeat", TICKS, [("lx", "uniform", -1.0, 1.0, 3), ("ly", "uniform", -1.0, 1.0, 3)])
 
 DRAWS = {
     "walk_from_stick": [
         ("gain", "uniform", 0.8, 1.5, 2), ("cap", "uniform", 0.6, 2.0, 2),
-        ("wrong", "derive", lambda v: round(v["gain"][0] + 0.5, 2)), _SWEEP, _SWEEP,
+        ("wrong", "derive", lambda v: round(v["gain"][0] + 0.5, 2), lambda first: (_hundredths(first("gain")) + 50) / F.lit(100.0)), _SWEEP, _SWEEP,
     ],
     "face_the_stick": [_SWEEP, _SWEEP, _SWEEP],
     "tracker_lost_freezes": [("n", "randint", 2, 6), ("drops", "repeat", 3, [("at", "randint", 2, 5)])],
     "button_sequence_then_idle": [("style", "randint", 1, 9), ("n", "randint", 3, 8)],
     "speed_limited_run": [
         ("gain", "uniform", 1.5, 3.0, 2), ("cap", "uniform", 1.0, 2.5, 2),
-        ("wrong", "derive", lambda v: round(v["cap"][0] / 2, 2)), _SWEEP, _SWEEP, _SWEEP,
+        ("wrong", "derive", lambda v: round(v["cap"][0] / 2, 2), lambda first: F.floor(_hundredths(first("cap")) / 2) / F.lit(100.0)), _SWEEP, _SWEEP, _SWEEP,
     ],
 }
 
@@ -99,10 +106,10 @@ def _texts() -> Column:
     return _by_template({t: F.lit(text) for t, text in TEXTS.items()})
 
 
-def rows(jobs: DataFrame) -> DataFrame:
-    """jobs(template_id, seed, …) -> controller rows, with ``values`` holding the drawn constants."""
+def rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
+    """jobs(template_id, seed, …) -> controller rows, with ``values`` holding the drawn constants. ``drawing`` is a mode of ``draws``."""
     carried = [c for c in jobs.columns if c not in ("template_id", "seed")]
-    made = jobs.withColumn("values", draw(F.col("template_id"), F.col("seed"), DRAWS))
+    made = jobs.withColumn("values", drawing(F.col("template_id"), F.col("seed"), DRAWS))
     v = F.col("values")
     real = lambda name: lt.fixed_real(drawn(v, name), 9)
     ms = drawn(v, "n").cast("int") * 125
@@ -158,12 +165,12 @@ def rows(jobs: DataFrame) -> DataFrame:
     )
 
 
-def composed_rows(jobs: DataFrame) -> DataFrame:
+def composed_rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
     """jobs(template_id ``compose_<i>``, seed) -> two controllers of one seed in one program."""
     numbered = jobs.withColumn("pair", F.substring_index("template_id", "_", -1).cast("int"))
     pairs = jobs.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(PAIRS)], "pair int, a_id string, b_id string")
     asked = numbered.join(F.broadcast(pairs), "pair").select("seed", "pair", F.explode(F.array("a_id", "b_id")).alias("template_id"))
-    return compose(rows(asked).drop("values"), pairs)
+    return compose(rows(asked, drawing).drop("values"), pairs)
 
 
 def expected_signals(ticks: DataFrame) -> DataFrame:

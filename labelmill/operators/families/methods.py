@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,9 +81,9 @@ def _trace(values: Column, template: str, nth: int) -> Column:
     return F.concat(F.lit('{"dt": 0.125, "ticks": ['), F.array_join(ticks, ", "), F.lit("]}"))
 
 
-def rows(jobs: DataFrame) -> DataFrame:
+def rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
     """jobs(template_id ``udon_<method>``, seed) -> (…, intent = the method, class_name, class_source, traces, values)."""
-    made = jobs.withColumn("values", draw(F.col("template_id"), tx.mixed_seed(F.col("seed"), F.col("template_id")), DRAWS))
+    made = jobs.withColumn("values", drawing(F.col("template_id"), tx.mixed_seed(F.col("seed"), F.col("template_id")), DRAWS))
     v = F.col("values")
     constants = ("k", "c", "lo", "hi", "g", "w1", "w2")
     plain = [part for n in constants for part in (F.lit(n), drawn(v, n))]

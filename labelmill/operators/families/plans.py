@@ -5,6 +5,8 @@ canonical(goal, text) is an input: the program planned with ``ARG_NAME`` for eac
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,9 +54,9 @@ def trigger_trace():
     return F.concat(F.lit('{"dt": 0.125, "ticks": ['), F.array_join(ticks, ", "), F.lit("]}"))
 
 
-def rows(jobs: DataFrame, canonical: DataFrame) -> DataFrame:
+def rows(jobs: DataFrame, canonical: DataFrame, drawing: Callable = draw) -> DataFrame:
     """jobs(template_id ``plan#i``, seed) with canonical(goal, text) -> rows."""
-    known = jobs.join(F.broadcast(goal_dimension(jobs.sparkSession)), "template_id").withColumn("values", draw(F.col("template_id"), F.col("seed"), DRAWS))
+    known = jobs.join(F.broadcast(goal_dimension(jobs.sparkSession)), "template_id").withColumn("values", drawing(F.col("template_id"), F.col("seed"), DRAWS))
     v = F.col("values")
     args = {
         "msg": F.concat_ws("_", drawn(v, "msg_word"), drawn(v, "msg_n")),

@@ -6,6 +6,8 @@ its calls, its sentences and what the configuration must read back.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -238,9 +240,9 @@ def call_text(template: str) -> str:
     return "\n".join([*lines, f"done = {before}.ENO", ""])
 
 
-def rows(jobs: DataFrame) -> DataFrame:
+def rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
     """jobs(template_id ``trainer_<name>``, seed) -> rows, with ``values`` holding the drawn constants."""
-    made = jobs.withColumn("values", draw(F.col("template_id"), F.col("seed"), DRAWS))
+    made = jobs.withColumn("values", drawing(F.col("template_id"), F.col("seed"), DRAWS))
     params = F.col("params")
     told = pick(made.withColumn("params", as_params(F.col("values"))), SENTENCES, params)
     text = _by_template({t: F.lit(call_text(t)) for t in CALLS})

@@ -9,7 +9,10 @@ from labelmill.functions import numeric as nm
 from labelmill.functions import text as tx
 from labelmill.operators import allocation, mutations
 from labelmill.operators.families import blocks, calls, chores, controllers, frames, methods, plans, settings
+from labelmill.operators.draws import counted
 from labelmill.plans import bindings as b
+from labelmill.plans import draws_sql
+from labelmill.plans.texts import merged
 
 
 def _templates(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,20 +119,22 @@ def _jobs_of(spark: SparkSession, sf: str, templates: list[str]) -> DataFrame:
 
 def _corpus(spark, sf):
     """Controller rows for every order key, as the root and its three texts."""
-    return controllers.rows(_jobs_of(spark, sf, list(controllers.TEXTS))).drop("values", "traces")
+    return controllers.rows(_jobs_of(spark, sf, list(controllers.TEXTS)), counted).drop("values", "traces")
 
 
 def _controller_traces(spark, sf):
-    made = controllers.rows(_jobs_of(spark, sf, list(controllers.TEXTS)))
+    made = controllers.rows(_jobs_of(spark, sf, list(controllers.TEXTS)), counted)
     return made.select("template_id", "seed", F.posexplode_outer("traces").alias("trace", "trace_json"))
 
 
 def _chores(spark, sf):
-    return chores.rows(_jobs_of(spark, sf, list(chores.DRAWS))).select("template_id", "seed", "intent", "frame_id", "rank1", "rank3", "rank5")
+    return chores.rows(_jobs_of(spark, sf, list(chores.DRAWS)), counted).select("template_id", "seed", "intent", "frame_id", "rank1", "rank3", "rank5")
 
 
 def _composed(spark, sf):
-    return controllers.composed_rows(_jobs_of(spark, sf, [f"compose_{i}" for i in range(5)])).drop("traces")
+    """Composites of two controllers; the texts by their hash."""
+    made = controllers.composed_rows(_jobs_of(spark, sf, [f"compose_{i}" for i in range(5)]), counted).drop("traces")
+    return made.withColumns({rank: F.sha2(rank, 256) for rank in ("rank1", "rank3", "rank5")})
 
 
 def _planned(spark, sf):
@@ -139,13 +144,13 @@ def _planned(spark, sf):
     p = b.programs(spark, sf).groupBy(goal.alias("goal")).agg(shortest)
     marked = F.replace(F.replace("text", F.lit("a)"), F.lit('TEXT="ARG_TEXT ARG_DIR ARG_MSG")')), F.lit("in a : BOOL"), F.when(F.col("goal") > 5, "in trigger : BOOL").otherwise("in a : BOOL"))
     canonical = p.select(F.col("goal").cast("int").alias("goal"), marked.alias("text"))
-    return plans.rows(_jobs_of(spark, sf, list(plans.DRAWS)), canonical).drop("traces")
+    return plans.rows(_jobs_of(spark, sf, list(plans.DRAWS)), canonical, counted).drop("traces")
 
 
 def _perturbed(spark, sf):
     """Every document's program with its literals redrawn by the document's seed."""
     p = b.programs(spark, sf).select("doc_id", "text")
-    return blocks.perturb(p, tx.mixed_seed(F.col("doc_id"), F.lit("ton"))).select("doc_id", "perturbed", F.try_element_at("params", F.lit("pt")).alias("pt"))
+    return blocks.perturb(p, tx.mixed_seed(F.col("doc_id"), F.lit("ton")), counted=True).select("doc_id", "perturbed", F.try_element_at("params", F.lit("pt")).alias("pt"))
 
 
 def _perturbed_shape(spark, sf):
@@ -157,11 +162,13 @@ def _perturbed_shape(spark, sf):
 
 
 def _methods(spark, sf):
-    return methods.rows(_jobs_of(spark, sf, list(methods.DRAWS))).select("template_id", "seed", "intent", "class_name", "class_source")
+    return methods.rows(_jobs_of(spark, sf, list(methods.DRAWS)), counted).select("template_id", "seed", "intent", "class_name", "class_source")
 
 
 def _method_returns(spark, sf):
-    return methods.returns(methods.rows(_jobs_of(spark, sf, list(methods.DRAWS))))
+    """Returns as printed, numbers to six places."""
+    made = methods.returns(methods.rows(_jobs_of(spark, sf, list(methods.DRAWS)), counted))
+    return made.withColumn("ret", F.coalesce(F.format_string("%.6f", F.col("ret").try_cast("double")), "ret"))
 
 
 def _settings(spark, sf):
@@ -278,3 +285,4 @@ ORACLES = {
     "perturb_keeps_shape": f"WITH {b.PROGRAMS_SQL} "
     + r"SELECT doc_id, sha256(regexp_replace(regexp_replace(text, 'T#\d+ms', 'T', 'g'), '=-?\d+(\.\d+)?', '=N', 'g')) AS sha FROM programs",
 }
+ORACLES |= draws_sql.ORACLES | {"generate_composed": draws_sql.composed(merged)}

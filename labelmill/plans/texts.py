@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from labelmill.functions import literals as lt
 from labelmill.functions import programs as pg
+from labelmill.functions import tables
 from labelmill.functions import text as tx
-from labelmill.operators import compose, expectations, methods, mutations, ranking
+from labelmill.operators import compose, expectations, methods, mutations
 from labelmill.operators import programs as op
 from labelmill.plans import bindings as b
+from labelmill.sources import files
 
 
 def _kinds_parse(spark, sf):
@@ -197,17 +199,15 @@ def _call_program(spark, sf):
         F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("program"), "o_orderkey", "o_orderstatus",
         F.floor(F.col("o_orderkey") / 100000).alias("chunk"),
     )
-    numbered = ranking.positions(o, ["program"], ["o_orderkey"], "chunk", "step")
     key = F.col("o_orderkey").cast("string")
-    steps = numbered.select(
-        "program", "step", F.concat(F.lit("s"), key).alias("name"), F.concat(F.lit("Order.set_"), "o_orderstatus").alias("sig"), F.lit('"desk"').alias("target"),
+    calls = o.select(
+        "program", "o_orderkey", "chunk", F.concat(F.lit("s"), key).alias("name"), F.concat(F.lit("Order.set_"), "o_orderstatus").alias("sig"), F.lit('"desk"').alias("target"),
         F.array(
             F.struct(F.lit("key").alias("name"), key.alias("value")),
             F.struct(F.lit("src").alias("name"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("s"), key, F.lit(".RET"))).otherwise("x.y").alias("value")),
         ).alias("args"),
     )
-    done = op.call_done(steps).select("program", F.lit(-1).cast("bigint").alias("step"), "line")
-    return op.call_lines(steps).select("program", F.col("step").cast("bigint").alias("step"), "line").unionByName(done)
+    return op.call_program(calls, ["o_orderkey"], "chunk")
 
 
 def _literals(spark, sf):
@@ -256,6 +256,16 @@ def _segments(spark, sf):
     )
 
 
+def _segments_by_function(spark, sf):
+    """The methods again, from the table function over the sources' lines, in SQL."""
+    tables.register(spark)
+    return spark.sql(
+        """SELECT path, name, array_join(transform(params, p -> concat_ws(':', p.name, p.type)), ',') AS params, coalesce(ret, '-') AS ret, array_join(body, '|') AS body
+        FROM method_segments(TABLE(SELECT path, line, value FROM {lines}))""",
+        lines=files.text_lines(_sources(spark, sf)),
+    )
+
+
 def _header_refusals(spark, sf):
     found = methods.header_refusals(methods.segments(_sources(spark, sf)))
     return found.select("path", "name", F.coalesce("reason", F.lit("-")).alias("reason"))
@@ -294,6 +304,7 @@ QUERIES = {
     "literal_forms": _literals,
     "numbers_in_text": _numbers,
     "method_segments": _segments,
+    "method_segments_function": _segments_by_function,
     "method_header_refusals": _header_refusals,
     "refusal_tally": _refusal_tally,
 }
@@ -349,7 +360,7 @@ def _part(source: str, prefix: str, name: str) -> str:
     return f"list_transform(list_filter({source}, lambda l: {_CLASS} = '{name}'), lambda l: {shown})"
 
 
-def _merged(a: str, c: str) -> str:
+def merged(a: str, c: str) -> str:
     sections = " || ".join(_part(src, prefix, name) for name in ("out", "var", "block", "write") for src, prefix in ((a, "a_"), (c, "b_")))
     return (
         "sha256('program compose_' || a_id || '_' || b_id || chr(10) || 'in lx : REAL' || chr(10) || 'in ly : REAL' || chr(10) || 'in btn : BOOL' || chr(10) "
@@ -443,7 +454,7 @@ ORACLES = {
         met AS (SELECT p.a_id, p.b_id, a.seed, a.intent || '; and ' || b.intent AS intent, a.frame_id, a.r1 AS a1, a.r3 AS a3, b.r1 AS b1, b.r5 AS b5
           FROM (VALUES ('src0', 'src1'), ('src2', 'src3'), ('src0', 'src4')) p(a_id, b_id) JOIN forms a ON a.template_id = a_id JOIN forms b ON b.template_id = b_id AND a.seed = b.seed)
         """
-        + f"SELECT 'compose_' || a_id || '_' || b_id AS template_id, seed, intent, frame_id, {_merged('a1', 'b1')} AS rank1, {_merged('a3', 'b1')} AS rank3, {_merged('a1', 'b5')} AS rank5 FROM met"
+        + f"SELECT 'compose_' || a_id || '_' || b_id AS template_id, seed, intent, frame_id, {merged('a1', 'b1')} AS rank1, {merged('a3', 'b1')} AS rank3, {merged('a1', 'b5')} AS rank5 FROM met"
     ),
     "render_program": _tables(_LINES_OF_TABLES + "SELECT program, section, pos, line FROM out_lines"),
     "render_text": _tables(_LINES_OF_TABLES + "SELECT program, CAST(0 AS BIGINT) AS part, sha256(string_agg(line, chr(10) ORDER BY section, pos) || chr(10)) AS sha FROM out_lines GROUP BY program"),
@@ -487,6 +498,7 @@ ORACLES = {
         SELECT doc_id, CAST(len(xs) AS INT) AS n, list_max(list_transform(xs, lambda x: CAST(x AS DOUBLE))) AS largest FROM
           (SELECT doc_id, regexp_extract_all(text, '(?:^|[^A-Za-z0-9_])(-?\d+(?:\.\d+)?(?:e[-+]?\d+)?)', 1) AS xs FROM documents) WHERE len(xs) > 0""",
     "method_segments": f"WITH {_SOURCES} SELECT path, name, params, ret, body FROM meth",
+    "method_segments_function": f"WITH {_SOURCES} SELECT path, name, params, ret, body FROM meth",
     "method_header_refusals": f"WITH {_SOURCES} SELECT path, name, reason FROM meth",
     "refusal_tally": f"WITH {_SOURCES} SELECT CASE WHEN reason = '-' THEN 'lifted' ELSE split_part(reason, ':', 1) END AS kind, count(*) AS n FROM meth GROUP BY 1",
 }
