@@ -85,12 +85,13 @@ def api_readback(results: DataFrame, expectations: DataFrame) -> DataFrame:
     from9 / upto9 (the origin or the basis of a 12-vector), some (any number),
     differs (not what the step whose number is in ``text`` printed).
 
-    (row_key, candidate, effect_matches); a step that did not run fails.
+    (row_key, candidate, effect_matches); a step that did not run fails, and so does a
+    row that is expected but has no results: its candidate is the empty string.
     """
     parsed = results.select("row_key", "candidate", F.from_json("result_json", schemas.RESULTS).alias("r"))
     step = F.get("r", F.col("step"))
-    returned = parsed.join(expectations, "row_key").select(
-        "row_key", "candidate",
+    returned = parsed.join(expectations, "row_key", "right").select(
+        "row_key", F.coalesce("candidate", F.lit("")).alias("candidate"),
         F.when(F.col("kind") == "differs", step["ok"] & ~step["ret"].eqNullSafe(F.get("r", F.col("text").try_cast("int"))["ret"]))
         .otherwise(tx.let(F.when(step["ok"], step["ret"]), _returned)).alias("ok")
     )
@@ -127,9 +128,10 @@ def config_readback(tables: DataFrame, expectations: DataFrame) -> DataFrame:
     expected). Kinds: close (tolerant number), equal (same JSON scalar),
     member (a list or map under the path holds the name), each (a non-empty list
     of numbers all close). Paths are JSON paths such as ``$.rewards.pose.weight``.
+    A row that is expected but has no table fails, its candidate the empty string.
     """
     value = F.call_function("get_json_object", F.col("table_json"), F.col("path"))
-    checked = tables.join(expectations, "row_key").select("row_key", "candidate", tx.let(value, _configured).alias("ok"))
+    checked = tables.join(expectations, "row_key", "right").select("row_key", F.coalesce("candidate", F.lit("")).alias("candidate"), tx.let(value, _configured).alias("ok"))
     return all_ticks(checked, ["row_key", "candidate"], F.col("ok"))
 
 
