@@ -6,9 +6,9 @@ shuffle and merged by the aggregation, so a line that stands everywhere is one
 row per task. Lines whose estimates are near a threshold are counted exactly.
 
 Copies of one document carry the same lines to many sites without those being
-boilerplate. Each document has a signature, the smallest hash of its lines,
-which copies share; a line counts as boilerplate only where the signatures
-around it are varied.
+boilerplate. Each document is signed by the hash of its whole text, which copies
+share; a line counts as boilerplate only where it stands in enough different texts,
+too, whatever the number of copies.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ from labelmill.llm.common import cut, row_key, text_of
 
 MIN_SITES = 10
 MIN_WORDS = 3
-MIN_VARIETY = 0.5
+MIN_TEXTS = 10
 SKETCH_LOG2 = 12
-#: Three standard errors of a sketch with 2^12 registers.
-NEAR = 0.05
+#: Six standard errors of a sketch with 2^12 registers: estimates nearer to a threshold are counted.
+NEAR = 0.1
 
 
 def _key(line: Column) -> Column:
@@ -34,18 +34,17 @@ def _lines(docs: DataFrame, id_column: str, text_column: str, site_column: str)
     """A row per document and different line: (row, site, signature, line)."""
     lines = docs.select(
         row_key(id_column, text_column).alias("row"), F.col(site_column).cast("string").alias("site"),
-        F.transform(F.split(text_of(text_column), "\n", -1), lambda x: F.trim(x)).alias("lines"),
+        F.transform(F.split(text_of(text_column), "\n", -1), lambda x: F.trim(x)).alias("lines"), _key(text_of(text_column)).alias("signature"),
     )
-    signed = lines.withColumn("signature", F.array_min(F.transform("lines", _key)))
-    judged = signed.select("row", "site", "signature", F.explode(F.array_distinct("lines")).alias("text"))
+    judged = lines.select("row", "site", "signature", F.explode(F.array_distinct("lines")).alias("text"))
     return judged.filter(F.size(F.split("text", r"[ \t\x0B\f\r]+")) >= MIN_WORDS).select("row", "site", "signature", _key(F.col("text")).alias("line"))
 
 
 def boilerplate(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", site_column: str = "source",
-    min_sites: int = MIN_SITES, min_variety: float = MIN_VARIETY,
+    min_sites: int = MIN_SITES, min_texts: int = MIN_TEXTS,
 ) -> DataFrame:
-    """Line hashes that stand on min_sites sites or more, among varied documents: (line, first).
+    """Line hashes that stand on min_sites sites or more and in min_texts different texts or more: (line, first).
 
     ``first`` is the row key of the smallest document that has the line.
     """
@@ -54,26 +53,25 @@ def boilerplate(
         F.hll_sketch_agg("site", F.lit(SKETCH_LOG2)).alias("sites"), F.hll_sketch_agg("signature", F.lit(SKETCH_LOG2)).alias("signatures"),
         F.count(F.lit(1)).alias("documents"), F.min("row").alias("first"),
     )
-    # a line in fewer documents than the sites asked for needs no estimate
-    judged = cut(sketched.filter(F.col("documents") >= min_sites).select(
+    # a line in fewer documents than are asked for needs no estimate
+    judged = cut(sketched.filter(F.col("documents") >= max(min_sites, min_texts)).select(
         "line", "first",
         F.coalesce(F.hll_sketch_estimate("sites"), F.lit(0)).alias("sites"), F.hll_sketch_estimate("signatures").alias("signatures"),
-        (F.col("documents") * F.lit(min_variety)).alias("varied"),
     ))
-    sure = (F.col("sites") >= min_sites * (1 + NEAR)) & (F.col("signatures") >= F.col("varied") * (1 + NEAR))
-    never = (F.col("sites") < min_sites * (1 - NEAR)) | (F.col("signatures") < F.col("varied") * (1 - NEAR))
+    sure = (F.col("sites") >= min_sites * (1 + NEAR)) & (F.col("signatures") >= min_texts * (1 + NEAR))
+    never = (F.col("sites") < min_sites * (1 - NEAR)) | (F.col("signatures") < min_texts * (1 - NEAR))
     near = judged.filter(~sure & ~never)
     exact = (
         lines.join(near.select("line"), "line", "left_semi").groupBy("line")
-        .agg(F.countDistinct("site").alias("sites"), F.countDistinct("signature").alias("signatures"), F.count(F.lit(1)).alias("documents"), F.min("row").alias("first"))
-        .filter((F.col("sites") >= min_sites) & (F.col("signatures") >= F.col("documents") * F.lit(min_variety)))
+        .agg(F.countDistinct("site").alias("sites"), F.countDistinct("signature").alias("signatures"), F.min("row").alias("first"))
+        .filter((F.col("sites") >= min_sites) & (F.col("signatures") >= min_texts))
     )
     return judged.filter(sure).select("line", "first").unionByName(exact.select("line", "first"))
 
 
 def clean_lines(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", site_column: str = "source",
-    min_sites: int = MIN_SITES, min_variety: float = MIN_VARIETY,
+    min_sites: int = MIN_SITES, min_texts: int = MIN_TEXTS,
 ) -> DataFrame:
     """``docs`` with its own columns and n_lines, n_removed; boilerplate lines are taken out of the text.
 
@@ -86,7 +84,7 @@ def clean_lines(
     """
     named = docs.select(F.struct("*").alias("doc"), row_key(id_column, text_column).alias("row"))
     text = F.col(f"doc.`{text_column}`").cast("string")
-    marks = boilerplate(docs, id_column, text_column, site_column, min_sites, min_variety)
+    marks = boilerplate(docs, id_column, text_column, site_column, min_sites, min_texts)
     lines = _lines(docs, id_column, text_column, site_column)
     gone = lines.join(marks, "line").groupBy("row").agg(
         F.map_from_entries(F.collect_set(F.struct(F.hex("line"), F.col("row") == F.col("first")))).alias("removed")

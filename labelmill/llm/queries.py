@@ -143,14 +143,14 @@ ORACLES: dict[str, str] = {
             SELECT doc_id, text, source, string_split(text, chr(10)) AS raw, list_transform(string_split(text, chr(10)), lambda x: trim(x)) AS lines
             FROM documents WHERE text IS NOT NULL
         ), signed AS (
-            SELECT doc_id, source, lines, list_min(list_transform(lines, lambda x: md5(x))) AS signature FROM parts
+            SELECT doc_id, source, lines, text AS signature FROM parts
         ), judged AS (
             SELECT doc_id, source, signature, unnest(list_distinct(lines)) AS line FROM signed
         ), marks AS (
             SELECT line, min(doc_id) AS first FROM judged
             WHERE len(regexp_split_to_array(line, '[ \\t\\x0B\\f\\r]+')) >= 3
             GROUP BY line
-            HAVING count(DISTINCT source) >= 10 AND count(DISTINCT signature) >= 0.5 * count(*)
+            HAVING count(DISTINCT source) >= 10 AND count(DISTINCT signature) >= 10
         ), places AS (
             SELECT doc_id, unnest(raw) AS raw, generate_subscripts(raw, 1) AS i FROM parts
         ), told AS (

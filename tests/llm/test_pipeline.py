@@ -35,7 +35,7 @@ def test_planted(spark, tmp_path):
     rows = planted(spark, tmp_path)
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert set(got) == set(range(60))
-    left = {i: t for i, t, _ in plain_lines([(i, t, s) for i, t, _, s in rows if i < 103], 10, 0.5)}
+    left = {i: t for i, t, _ in plain_lines([(i, t, s) for i, t, _, s in rows if i < 103], 10, 10)}
     assert sum("cookies" in t for t in left.values()) == 1
     assert sum("cookies" in r.decoded for r in got.values()) == 1
     assert all(r.n_tokens == len(r.token_ids) > 0 for r in got.values())
@@ -56,7 +56,7 @@ def test_stages(spark, sf, tmp_path):
         if name == "language ID":
             assert all(not language.words_of(r.text or "") for r in before if r.doc_id not in kept)
         if name == "line dedup":
-            want = {i: t for i, t, _ in plain_lines([(r.doc_id, r.text, r.source) for r in before], 10, 0.5)}
+            want = {i: t for i, t, _ in plain_lines([(r.doc_id, r.text, r.source) for r in before], 10, 10)}
             assert {r.doc_id: r.text for r in after} == {i: t for i, t in want.items() if t.strip() or t == [r.text for r in before if r.doc_id == i][0]}
             assert all(r.n_chars == len(r.text) for r in after)
         if name == "SimHash near-dedup":
