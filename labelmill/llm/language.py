@@ -9,8 +9,8 @@ probabilities; a text's language is the one with the largest mean.
 
 Training data has one label per text. Training chains are several texts in turn,
 so that transitions see languages change. They come from a sample of bounded
-size, ``most_rows`` rows chosen by the hash of their text; prediction covers every
-word of every text. Features of a text are its words only.
+size, ``most_rows`` whole texts chosen by their hash; prediction covers every letter
+of every word of every text. Features of a text are its words only.
 """
 
 from __future__ import annotations
@@ -28,11 +28,7 @@ from pyspark.sql.types import StructType
 from labelmill.llm.common import pieces, texts_of
 
 TABLE_BITS = 18
-MOST_ROWS = 3000
-#: Words of a training text that are learned from; prediction reads them all.
-TRAIN_WORDS = 300
-#: Letters of a word that give n-gram features; the lexicon feature takes the whole word.
-MOST_LETTERS = 16
+MOST_ROWS = 1500
 UNKNOWN = "und"
 CHUNK = 64
 _WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -42,44 +38,45 @@ def words_of(text: str) -> list[str]:
     return _WORDS.findall(text.lower())
 
 
+def _mixed(kind: int, parts: list[np.ndarray]) -> np.ndarray:
+    """Feature numbers from a kind and the letters that make the feature."""
+    h = np.full(parts[0].shape, kind * 0x9E3779B97F4A7C15 % (1 << 64), np.uint64)
+    for part in parts:
+        h = (h ^ part) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+    return (h & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int32)
+
+
 def _feature_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers of some words, flat, and where each word's begin."""
-    letters = np.zeros((len(words), MOST_LETTERS + 2), np.uint64)
-    lengths = np.minimum(np.fromiter(map(len, words), np.int64, len(words)), MOST_LETTERS)
-    flat = np.frombuffer("".join(w[:MOST_LETTERS] for w in words).encode("utf-32-le"), np.uint32)
-    row = np.repeat(np.arange(len(words)), lengths)
-    column = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    letters[row, column + 1] = flat
-    mask = np.uint64((1 << TABLE_BITS) - 1)
-    edge = np.arange(MOST_LETTERS + 2)[None, :]
-    columns, used = [], []
-
-    def add(kind: int, parts: list[np.ndarray], here: np.ndarray) -> None:
-        h = np.full(parts[0].shape, kind * 0x9E3779B97F4A7C15 % (1 << 64), np.uint64)
-        for part in parts:
-            h = (h ^ part) * np.uint64(0xBF58476D1CE4E5B9)
-            h ^= h >> np.uint64(29)
-        columns.append((h & mask).astype(np.int32))
-        used.append(here)
-
-    # runs of two and three letters; the blank cells before and after a word belong to its runs
-    add(1, [letters[:, :-1], letters[:, 1:]], edge[:, :-1] <= lengths[:, None])
-    add(2, [letters[:, :-2], letters[:, 1:-1], letters[:, 2:]], edge[:, :-2] <= lengths[:, None] - 1)
-    at = np.arange(len(words))
+    """Feature numbers of some words, flat, and where each word's begin. Every letter of a word counts, however long it is."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    # all words in a row, a zero before and after each: its edges belong to its runs
+    flat = np.frombuffer(("\0" + "\0\0".join(words) + "\0").encode("utf-32-le"), np.uint32).astype(np.uint64)
+    ends = np.cumsum(lengths + 2)
+    begins = ends - lengths - 2
+    owner = np.repeat(np.arange(len(words)), lengths + 2)
+    features, of = [], []
+
+    def add(kind: int, parts: list[np.ndarray], at: np.ndarray) -> None:
+        features.append(_mixed(kind, parts))
+        of.append(at)
+
+    for size in (2, 3):
+        at = np.flatnonzero(owner[: len(flat) - size + 1] == owner[size - 1 :])
+        add(size - 1, [flat[at + k] for k in range(size)], owner[at])
     for size in (1, 2, 3):
-        long_enough = (lengths >= size)[:, None]
-        add(2 + size, [letters[:, 1 + k][:, None] for k in range(size)], long_enough)
-        add(5 + size, [letters[at, np.maximum(lengths - k, 0)][:, None] for k in range(size)], long_enough)
-    # the lexicon: the whole word, a long one by its first letters and its length
-    word = np.zeros(len(words), np.uint64)
-    for k in range(1, MOST_LETTERS + 1):
-        word = (word ^ letters[:, k]) * np.uint64(0x94D049BB133111EB)
-        word ^= word >> np.uint64(31)
-    full = np.fromiter(map(len, words), np.uint64, len(words))
-    add(9, [word[:, None], full[:, None]], np.ones((len(words), 1), bool))
-    features, here = np.concatenate(columns, axis=1), np.concatenate(used, axis=1)
-    counts = here.sum(axis=1)
-    return features[here], np.cumsum(counts) - counts
+        at = np.flatnonzero(lengths >= size)
+        add(2 + size, [flat[begins[at] + 1 + k] for k in range(size)], at)
+        add(5 + size, [flat[ends[at] - 2 - k] for k in range(size)], at)
+    # the lexicon: a sum over the word's letters, each mixed with its place, and its length
+    place = (np.arange(len(flat)) - np.repeat(begins, lengths + 2)).astype(np.uint64)
+    letter = (flat ^ (place * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0x94D049BB133111EB)
+    letter = (letter ^ (letter >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    add(9, [np.add.reduceat(letter, begins), lengths.astype(np.uint64)], np.arange(len(words)))
+    of = np.concatenate(of)
+    order = np.argsort(of, kind="stable")
+    counts = np.bincount(of, minlength=len(words))
+    return np.concatenate(features)[order], np.cumsum(counts) - counts
 
 
 @dataclass
@@ -103,7 +100,21 @@ class Model:
 
 
 def forward_backward(evidence: np.ndarray, first: np.ndarray, transitions: np.ndarray, initial: np.ndarray) -> np.ndarray:
-    """Marginals of many chains laid end to end.
+    """Marginals of many chains laid end to end."""
+    forward, backward = messages(evidence, first, transitions, initial)
+    both = forward * backward
+    return both / both.sum(axis=1, keepdims=True)
+
+
+def pairs(evidence: np.ndarray, at: np.ndarray, transitions: np.ndarray, forward: np.ndarray, backward: np.ndarray) -> np.ndarray:
+    """Probabilities of the labels of words ``at`` and the words after them: what leads to the one, the step, what follows the other."""
+    local = np.exp(evidence[at + 1] - evidence[at + 1].max(axis=1, keepdims=True))
+    joint = forward[at][:, :, None] * np.exp(transitions)[None] * (local * backward[at + 1])[:, None, :]
+    return joint / joint.sum(axis=(1, 2), keepdims=True)
+
+
+def messages(evidence: np.ndarray, first: np.ndarray, transitions: np.ndarray, initial: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward and backward messages of many chains laid end to end, each word's to a scale of its own.
 
     The step into a word is a matrix: the transitions times the word's evidence, or,
     where a chain begins, the initial weights whatever came before. Products of such
@@ -161,7 +172,7 @@ def forward_backward(evidence: np.ndarray, first: np.ndarray, transitions: np.nd
     for k in range(CHUNK - 1, -1, -1):
         message = normal(np.where(following[:, k, None], 1.0, (message * nexts[:, k]) @ move.T))
         backward[:, k] = message
-    return normal(forward * backward).reshape(-1, size)[:n]
+    return forward.reshape(-1, size)[:n], backward.reshape(-1, size)[:n]
 
 
 def train(texts: list[tuple[str, str]], rounds: int = 4, rate: float = 0.2, texts_per_chain: int = 3, seed: int = 1) -> Model:
@@ -169,7 +180,7 @@ def train(texts: list[tuple[str, str]], rounds: int = 4, rate: float = 0.2, text
     languages = sorted({lang for _, lang in texts})
     number = {lang: i for i, lang in enumerate(languages)}
     size = max(1, len(languages))
-    read = [(words_of(text)[:TRAIN_WORDS], number[lang]) for text, lang in texts]
+    read = [(words_of(text), number[lang]) for text, lang in texts]
     read = [(words, lang) for words, lang in read if words]
     model = Model(languages, np.zeros((1 << TABLE_BITS, size)), np.zeros((size, size)), np.zeros(size))
     squares = np.full((1 << TABLE_BITS, size), 1e-2)
@@ -184,7 +195,9 @@ def train(texts: list[tuple[str, str]], rounds: int = 4, rate: float = 0.2, text
             first[np.cumsum([0, *[len(ws) for ws, _ in chosen[:-1]]])[::texts_per_chain]] = True
             features, begin = _feature_rows(words)
             evidence = np.add.reduceat(model.weights[features], begin, axis=0)
-            found = forward_backward(evidence, first, model.transitions, model.initial)
+            forward, backward = messages(evidence, first, model.transitions, model.initial)
+            found = forward * backward
+            found /= found.sum(axis=1, keepdims=True)
             wrong = -found
             wrong[np.arange(len(words)), truth] += 1
             slope = np.zeros_like(model.weights)
@@ -196,10 +209,7 @@ def train(texts: list[tuple[str, str]], rounds: int = 4, rate: float = 0.2, text
             model.weights[touched] += rate * slope[touched] / np.sqrt(squares[touched])
             # pairs of neighbours: seen less expected
             inner = np.flatnonzero(~first[1:])
-            before = found[inner] * 1.0
-            after = np.exp(evidence[inner + 1] - evidence[inner + 1].max(axis=1, keepdims=True))
-            pair = before[:, :, None] * np.exp(model.transitions)[None] * after[:, None, :]
-            pair /= pair.sum(axis=(1, 2), keepdims=True)
+            pair = pairs(evidence, inner, model.transitions, forward, backward)
             seen = np.zeros((size, size))
             np.add.at(seen, (truth[inner], truth[inner + 1]), 1)
             model.transitions += rate * (seen - pair.sum(axis=0)) / max(1, len(inner)) * 5
@@ -217,10 +227,9 @@ def fit(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", m
     labelled = docs.filter(F.col(text_column).isNotNull() & F.col(lang_column).isNotNull()).select(
         F.col(text_column).cast("string").alias("text"), F.col(lang_column).cast("string").alias("lang")
     ).withColumn("h", F.xxhash64("text", F.lit(11)))
-    # hashes and labels are compared first; texts of the chosen ones only, and of those the words that are learned from
+    # hashes and labels are compared first; texts of the chosen ones only
     chosen = labelled.groupBy("h").agg(F.min("lang").alias("lang")).orderBy("h").limit(most_rows)
-    begin = F.array_join(F.slice(F.split("text", r"\s+"), 1, TRAIN_WORDS * 2), " ")
-    rows = labelled.join(F.broadcast(chosen), ["h", "lang"]).select("h", "lang", begin.alias("text")).groupBy("h", "lang").agg(F.min("text").alias("text"))
+    rows = labelled.join(F.broadcast(chosen), ["h", "lang"]).groupBy("h", "lang").agg(F.min("text").alias("text"))
     return train([(row["text"], row["lang"]) for row in sorted(rows.collect())])
 
 
