@@ -10,8 +10,10 @@ class for what was never seen; so the probabilities of all tokens sum to one.
 Class probabilities are log-bilinear: the vectors of the context classes, each
 through the matrix of its position, add up to a predicted vector, whose product
 with the class vectors gives the scores. The vectors are trained by telling real
-classes from noise; scoring normalises over all classes in batched products, once
-for each different context of a batch.
+classes from noise, on every token of every training text: each task learns from the
+texts it reads, all from one start, and the tasks' vectors are averaged by the tokens
+they saw. Scoring normalises over all classes in batched products, once for each
+different context of a batch.
 
 Counts of the ``most_words`` most frequent words travel to the tasks; those of the
 others are joined on the word, where no key can be hot.
@@ -19,6 +21,7 @@ others are joined on the word, where no key can be hot.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,12 +39,11 @@ SHARED = 128
 CLASSES = OWN + SHARED
 ORDER = 3
 WIDTH = 32
-NOISE = 64
+NOISE = 32
+#: Tokens of a step.
+STEP = 4096
 #: Frequent words whose counts travel to the tasks.
 MOST_WORDS = 100_000
-#: Rows the vectors are trained on, and words of each.
-MOST_ROWS = 2000
-TRAIN_WORDS = 250
 #: Words counted in a task before their counts are passed on.
 COUNTED = 200_000
 #: The end of a text; no word is empty.
@@ -130,43 +132,109 @@ def contexts_of(classes: np.ndarray, place: np.ndarray) -> np.ndarray:
     return out
 
 
-def _rows_by(kinds: np.ndarray, size: int) -> np.ndarray:
-    """A matrix with a one in each row, at the row's class."""
-    out = np.zeros((len(kinds), size), np.float32)
-    out[np.arange(len(kinds)), kinds] = 1
+def _summed(rows: np.ndarray, kinds: np.ndarray, size: int) -> np.ndarray:
+    """Rows added up by kind."""
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    order = np.argsort(kinds, kind="stable")
+    sorted_kinds = kinds[order]
+    starts = np.flatnonzero(np.concatenate([[True], sorted_kinds[1:] != sorted_kinds[:-1]]))
+    out[sorted_kinds[starts]] = np.add.reduceat(rows[order], starts, axis=0)
     return out
 
 
-def train_vectors(contexts: np.ndarray, wanted: np.ndarray, rounds: int = 3, rate: float = 0.1, seed: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Noise-contrastive estimation: NOISE classes drawn from the class frequencies against each real one, anew for each batch."""
-    draw = np.random.default_rng(seed)
-    noise = (np.bincount(wanted, minlength=CLASSES) + 0.5) / (len(wanted) + 0.5 * CLASSES)
-    context = draw.normal(0, 0.1, (ORDER, CLASSES + 1, WIDTH)).astype(np.float32)
-    target = draw.normal(0, 0.1, (CLASSES, WIDTH)).astype(np.float32)
-    bias = np.log(noise).astype(np.float32)
-    expected = np.log(NOISE * noise).astype(np.float32)
-    seen = [np.full_like(x, 1e-1) for x in (context, target, bias)]
-    draws = noise.cumsum() / noise.sum()
-    for _ in range(rounds):
-        for some in np.array_split(draw.permutation(len(wanted)), max(1, len(wanted) // 1024)):
-            if not len(some):
-                continue
-            ctx, real = contexts[some], wanted[some]
-            predicted = sum(context[i][ctx[:, i]] for i in range(ORDER))
-            # the drawn classes are noise to every token of the batch, so their scores are one product
-            drawn = np.minimum(np.searchsorted(draws, draw.random(NOISE)), CLASSES - 1)
-            right = 1 / (1 + np.exp((predicted * target[real]).sum(axis=1) + bias[real] - expected[real]))
-            wrong = -1 / (1 + np.exp(expected[drawn] - predicted @ target[drawn].T - bias[drawn]))
-            into = right[:, None] * target[real] + wrong @ target[drawn]
-            steps = [np.zeros_like(context), np.zeros_like(target), np.zeros_like(bias)]
-            for i in range(ORDER):
-                steps[0][i] = _rows_by(ctx[:, i], CLASSES + 1).T @ into
-            steps[1] += _rows_by(real, CLASSES).T @ (right[:, None] * predicted) + _rows_by(drawn, CLASSES).T @ (wrong.T @ predicted)
-            steps[2] += np.bincount(real, right, CLASSES) + np.bincount(drawn, wrong.sum(axis=0), CLASSES)
-            for values, step, past in zip((context, target, bias), steps, seen):
-                past += step**2
-                values += rate * step / np.sqrt(past)
-    return context.astype(np.float32), target.astype(np.float32), bias.astype(np.float32)
+class Trainer:
+    """Noise-contrastive estimation: NOISE classes drawn from the class frequencies against each real one, anew for each step."""
+
+    def __init__(self, noise: np.ndarray, rate: float = 0.1, seed: int = 3):
+        self.draw, self.rate = np.random.default_rng(seed), rate
+        self.context = self.draw.normal(0, 0.1, (ORDER, CLASSES + 1, WIDTH)).astype(np.float32)
+        self.target = self.draw.normal(0, 0.1, (CLASSES, WIDTH)).astype(np.float32)
+        self.bias = np.log(noise).astype(np.float32)
+        self.expected = np.log(NOISE * noise).astype(np.float32)
+        self.draws = noise.cumsum() / noise.sum()
+        self.past = [np.full_like(x, 1e-1) for x in (self.context, self.target, self.bias)]
+        self.tokens = 0
+
+    def learn(self, contexts: np.ndarray, wanted: np.ndarray) -> None:
+        """One pass over some tokens, in an order of their own."""
+        self.tokens += len(wanted)
+        for some in np.array_split(self.draw.permutation(len(wanted)), max(1, len(wanted) // STEP)):
+            if len(some):
+                self._step(contexts[some], wanted[some])
+
+    def _step(self, ctx: np.ndarray, real: np.ndarray) -> None:
+        context, target, bias = self.context, self.target, self.bias
+        predicted = sum(context[i][ctx[:, i]] for i in range(ORDER))
+        # the drawn classes are noise to every token of the step, so their scores are one product
+        drawn = np.minimum(np.searchsorted(self.draws, self.draw.random(NOISE)), CLASSES - 1)
+        own = target[real]
+        right = 1 / (1 + np.exp((predicted * own).sum(axis=1) + bias[real] - self.expected[real]))
+        wrong = -1 / (1 + np.exp(self.expected[drawn] - predicted @ target[drawn].T - bias[drawn]))
+        into = right[:, None] * own + wrong @ target[drawn]
+        steps = [
+            np.stack([_summed(into, ctx[:, i], CLASSES + 1) for i in range(ORDER)]),
+            _summed(right[:, None] * predicted, real, CLASSES) + _summed(wrong.T @ predicted, drawn, CLASSES),
+            (np.bincount(real, right, CLASSES) + np.bincount(drawn, wrong.sum(axis=0), CLASSES)).astype(np.float32),
+        ]
+        for values, step, past in zip((context, target, bias), steps, self.past):
+            past += step**2
+            values += self.rate * step / np.sqrt(past)
+
+    def vectors(self) -> np.ndarray:
+        """All of them in a row."""
+        return np.concatenate([x.ravel() for x in (self.context, self.target, self.bias)]).astype(np.float64)
+
+
+def unpacked(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Context, target and bias from ``Trainer.vectors``."""
+    first, second = ORDER * (CLASSES + 1) * WIDTH, CLASSES * WIDTH
+    flat = flat.astype(np.float32)
+    return flat[:first].reshape(ORDER, CLASSES + 1, WIDTH), flat[first : first + second].reshape(CLASSES, WIDTH), flat[first + second :]
+
+
+def train_vectors(texts: DataFrame, words: dict[str, int], classes: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors learned from every token of the texts (text): a task's by its own texts, then the mean by tokens.
+
+    What a task passes on has a fixed size; the sums are made in two steps, so no task
+    adds up more than about the root of the number of tasks. Without a text the
+    vectors are those at the start.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((words, classes, noise))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, kinds_of, share = shared.value
+        named = {w.encode(): int(kinds_of[i]) for w, i in frequent.items()}
+        memo = Memo(lambda w: named[w] if w in named else _ending_class(w.decode()))
+        trainer = Trainer(share)
+        for whole in batches:
+            for batch in pieces(whole):
+                memo.trim()
+                tokens = [[*words_of(t), b""] for t in texts_of(batch)]
+                sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+                kinds = np.fromiter((k for t in tokens for k in map(memo.__getitem__, t)), np.int64, int(sizes.sum()))
+                trainer.learn(contexts_of(kinds, np.arange(len(kinds)) - np.repeat(np.cumsum(sizes) - sizes, sizes)), kinds)
+        if trainer.tokens:
+            yield packed(trainer.tokens, trainer.vectors() * trainer.tokens)
+
+    def packed(tokens: float, sums: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([float(tokens)]), pa.array([sums.tobytes()], pa.binary())], names=["tokens", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, sums = 0.0, None
+        for batch in batches:
+            for n, part in zip(batch.column("tokens").to_pylist(), batch.column("sums")):
+                tokens += n
+                part = np.frombuffer(part.as_buffer())
+                sums = part.copy() if sums is None else sums + part
+        if sums is not None:
+            yield packed(tokens, sums)
+
+    schema = "tokens double, sums binary"
+    # a task's row is kept before the sums ask for it
+    learned = cut(texts.select("text").mapInArrow(learn, schema))
+    between = max(1, math.isqrt(learned.rdd.getNumPartitions()))
+    row = learned.repartition(between).mapInArrow(add, schema).coalesce(1).mapInArrow(add, schema).first()
+    return unpacked(np.frombuffer(row["sums"]) / row["tokens"] if row else Trainer(noise).vectors())
 
 
 def _frequent(counts: DataFrame, most_words: int) -> list[tuple[str, int]]:
@@ -188,11 +256,10 @@ def _frequent(counts: DataFrame, most_words: int) -> list[tuple[str, int]]:
     return sorted(((r["token"], r["c"]) for r in counts.filter(size >= least).collect()), key=lambda x: (-x[1], x[0]))
 
 
-def fit(texts: DataFrame, most_words: int = MOST_WORDS, most_rows: int = MOST_ROWS) -> tuple[Model, DataFrame]:
+def fit(texts: DataFrame, most_words: int = MOST_WORDS) -> tuple[Model, DataFrame]:
     """Texts (text) -> the model and the counts (token, c) of every token of all of them.
 
-    Counts, class masses and totals cover all texts. The vectors are trained on
-    the beginnings of at most ``most_rows`` texts, those with the smallest hashes.
+    Counts, class masses, totals and vectors cover all texts, whole. Null texts are empty.
     """
     counts = cut(count_tokens(texts))
     frequent = _frequent(counts, most_words)
@@ -207,14 +274,7 @@ def fit(texts: DataFrame, most_words: int = MOST_WORDS, most_rows: int = MOST_RO
     classes = np.array([own.get(t, -1) if t in own else _ending_class(t) for t, _ in frequent], np.int64)
     words = {t: i for i, (t, _) in enumerate(frequent)}
 
-    hashed = texts.select("text", F.xxhash64("text", F.lit(13)).alias("h"))
-    chosen = hashed.select("h").distinct().orderBy("h").limit(most_rows)
-    begin = F.array_join(F.slice(F.split("text", "[ \t\n\x0b\f\r]+"), 1, TRAIN_WORDS), " ")
-    sample = sorted(r["text"] for r in hashed.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min(begin).alias("text")).collect())
-    sequences = [[w.decode() for w in words_of(t.encode())] + [END] for t in sample]
-    wanted = np.array([classes[words[t]] if t in words else _ending_class(t) for s in sequences for t in s], np.int64)
-    place = np.concatenate([np.arange(len(s)) for s in sequences]) if sequences else np.empty(0, np.int64)
-    vectors = train_vectors(contexts_of(wanted, place), wanted)
+    vectors = train_vectors(texts, words, classes, masses / masses.sum())
     return Model(total["n"] or 0, total["v"], words, np.array([c for _, c in frequent], np.float64), classes, masses, *vectors), counts
 
 
