@@ -291,22 +291,18 @@ def _wide_roots(
     prints = nodes.select("node", "fingerprint")
     shared = _shared(nodes, bits, blocks, agree)
 
+    def apart(found: DataFrame, pairs: DataFrame) -> DataFrame:
+        """The pairs that links found so far do not connect."""
+        roots = [found.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "uv"]
+        met = pairs.join(roots[0], "u", "left").join(roots[1], "v", "left")
+        return met.filter(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select("u", "v")
+
     def grown(found: DataFrame | None, pairs: DataFrame) -> DataFrame:
-        """Roots with the similar ones of ``pairs`` linked: of each node one pair first, then all that are not connected by those."""
-        pairs = cut(pairs)
-        for one in (True, False):
-            if found is None:
-                apart = pairs
-            else:
-                roots = [found.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "uv"]
-                met = pairs.join(roots[0], "u", "left").join(roots[1], "v", "left")
-                apart = met.filter(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select("u", "v")
-            if one:
-                apart = apart.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
-            added = cut(_similar(apart, docs, nodes, id_column, text_column, shingle_words, similarity))
-            before = added.limit(0) if found is None else found.select(F.col("node").alias("u"), F.col("root").alias("v"))
-            found = cut(components(added.unionByName(before)))
-        return found
+        """Roots with the similar ones of ``pairs`` linked."""
+        added = _similar(pairs, docs, nodes, id_column, text_column, shingle_words, similarity)
+        if found is not None:
+            added = added.unionByName(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
+        return cut(components(added))
 
     few = shared.filter(F.col("n") <= PAIRED_WIDE).select(F.xxhash64("choice", "key").alias("bucket"), "node").join(prints, "node")
     pairs = _pairs_within(few, longs, radius)
@@ -319,22 +315,26 @@ def _wide_roots(
         ).filter(F.pmod(F.col("other") - F.col("choice"), F.lit(blocks)).between(1, FURTHER))
         met = more.groupBy("choice", "key", "other", "value").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
         far = far.unionByName(more.join(met, ["choice", "key", "other", "value"]).filter("node <> v").select(F.col("v").alias("u"), F.col("node").alias("v")))
-    found = grown(None, pairs.unionByName(_near(far.distinct(), prints, longs, radius)).distinct())
-    # whom this has not connected to the hub meets all others of the bucket: first the nearest of each root, then all that are still of other roots
-    for nearest in (True, False):
+    near = cut(pairs.unionByName(_near(far.distinct(), prints, longs, radius)).distinct())
+
+    def across(found: DataFrame, nearest: bool) -> DataFrame:
+        """Pairs within large buckets of one that is not connected to the bucket's hub and any other of another root."""
         placed = many.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
         hubs = placed.filter("node = hub").select("choice", "key", F.col("root").alias("main"))
-        told = cut(placed.join(hubs, ["choice", "key"]).withColumn("apart", F.col("root") != F.col("main")))
+        told = placed.join(hubs, ["choice", "key"]).withColumn("apart", F.col("root") != F.col("main"))
         left = told.groupBy("choice", "key").agg(F.sum(F.col("apart").cast("long")).alias("left")).filter("left > 0")
-        mixed = told.join(left, ["choice", "key"]).withColumn("across", F.ceil(F.col("n") / PART)).withColumn("down", F.ceil(F.col("left") / PART))
+        mixed = cut(told.join(left, ["choice", "key"]).withColumn("across", F.ceil(F.col("n") / PART)).withColumn("down", F.ceil(F.col("left") / PART)))
         own = F.xxhash64("node")
         one = mixed.filter("apart").select("choice", "key", "node", "root", F.lit(True).alias("apart"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)).alias("x"), F.pmod(own, F.col("down")).alias("y"))
         two = mixed.select("choice", "key", "node", "root", F.lit(False).alias("apart"), F.pmod(own, F.col("across")).alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)).alias("y"))
         rows = one.unionByName(two).select(F.xxhash64("choice", "key", "x", "y").alias("bucket"), "node", "root", "apart").join(prints, "node").select("bucket", "node", "fingerprint", "root", "apart")
-        across = cut(_pairs_across(rows, longs, radius, nearest))
-        if not across.isEmpty():
-            found = grown(found, across)
-    return found
+        return cut(_pairs_across(rows, longs, radius, nearest))
+
+    # of each node one pair first; then all that this has not connected, with the nearest of each root in the large buckets; then all that are still of other roots
+    found = grown(None, near.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
+    found = grown(found, apart(found, near).unionByName(across(found, True)).distinct())
+    rest = across(found, False)
+    return found if rest.isEmpty() else grown(found, rest)
 
 
 def groups(
