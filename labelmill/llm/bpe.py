@@ -16,27 +16,40 @@ A pre-split word is encoded by running the automaton over the tokens a trie of
 the vocabulary finds at each place; exactly one path reaches each place, because
 each beginning of a word has one tokenization. Decoding joins the labels of the
 arcs. The work is linear in the word's length, however long the word.
+
+Texts are normalised and split into words by the library's own normaliser and
+splitter, the part of the tokenizer that comes before its merges, so that letters and
+digits are what they are to it, in every version of Unicode.
 """
 
 from __future__ import annotations
 
-import gc
+import hashlib
 import json
-import unicodedata
+import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from tokenizers import Tokenizer
 
-from labelmill.llm.common import Memo, pieces, texts_of
+from labelmill.llm.common import pieces
+from labelmill.llm.words import Parts, parts_at_blanks
 
 NEVER = 1 << 60
 START = 0
+#: Entries of derived states that a task may remember, some 100 bytes each.
+MOST_LOST = 200_000
+#: Slots of the table of arcs, 9 bytes each; half of them are used.
+ARC_SLOTS = 1 << 20
+#: Longest word, in signs, that runs side by side with others.
+SIDE_BY_SIDE = 48
+MEMO_BYTES = 32 << 20
 
 
 class Automaton:
@@ -79,7 +92,7 @@ class Automaton:
         """When the state lost its arc for the token, itself or before it was copied; NEVER if it did not."""
         if token not in self.taken:
             return NEVER
-        if len(self.lost) > 1_000_000:
+        if len(self.lost) > MOST_LOST:
             self.lost.clear()
         asked, known = [], None
         while known is None and state >= 0:
@@ -106,127 +119,252 @@ class Automaton:
             time = min(time, given)
 
 
+class Table:
+    """Whole numbers by whole numbers: a hash table in flat arrays, asked for many keys at a time."""
+
+    def __init__(self, slots: int, kind: str = "i4"):
+        self.keys, self.values = np.full(slots, -1, np.int64), np.zeros(slots, kind)
+        self.mask, self.used = slots - 1, 0
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(40)).astype(np.int64) & self.mask
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add keys, each once and new."""
+        slots = self._slots(keys)
+        self.used += len(keys)
+        while len(keys):
+            free = self.keys[slots] == -1
+            self.keys[slots[free]] = keys[free]
+            mine = self.keys[slots] == keys
+            self.values[slots[mine]] = values[mine]
+            keys, values, slots = keys[~mine], values[~mine], (slots[~mine] + 1) & self.mask
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values of keys, -1 where a key is not there."""
+        out = np.full(len(keys), -1, self.values.dtype)
+        slots, at = self._slots(keys), np.arange(len(keys))
+        while len(at):
+            held = self.keys[slots]
+            hit = held == keys
+            out[at[hit]] = self.values[slots[hit]]
+            on = ~hit & (held != -1)
+            keys, at, slots = keys[on], at[on], (slots[on] + 1) & self.mask
+        return out
+
+    def clear(self) -> None:
+        self.keys[:] = -1
+        self.used = 0
+
+
 class WordEncoder:
-    """Runs an automaton over words, with the vocabulary as a trie."""
+    """Runs an automaton over words, many side by side, with the vocabulary as a trie; all tables are flat."""
 
     def __init__(self, automaton: Automaton):
         self.automaton = automaton
-        self.arcs: dict[int, bool] = {}
-        # a node is (next nodes by sign, token that ends here inside a word, token that ends here at its end)
-        self.trie: list = [{}, None, None]
+        # from a node by a sign to the next node; the token that ends at a node inside a word, and the one that ends there at the word's end
+        edges: dict[int, int] = {}
+        inner, closing = array("i", [-1]), array("i", [-1])
         end = automaton.word_end
         for name, token in automaton.vocabulary.items():
             if token in automaton.target:
                 closes = bool(end) and name.endswith(end)
-                node = self.trie
+                node = 0
                 for sign in name[: len(name) - len(end)] if closes else name:
-                    node = node[0].setdefault(sign, [{}, None, None])
+                    key = node << 21 | ord(sign)
+                    if key not in edges:
+                        edges[key] = len(inner)
+                        inner.append(-1)
+                        closing.append(-1)
+                    node = edges[key]
                 if not closes:
-                    node[1] = token
+                    inner[node] = token
                 if closes or not end:
-                    node[2] = token
+                    closing[node] = token
+        self.edges = Table(1 << max(4, (4 * len(edges)).bit_length()))
+        self.edges.put(np.fromiter(edges.keys(), np.int64, len(edges)), np.fromiter(edges.values(), np.int32, len(edges)))
+        self.inner, self.closing = np.array(inner, np.int32), np.array(closing, np.int32)
+        self.target = np.full(max(automaton.vocabulary.values()) + 1, -1, np.int32)
+        self.target[list(automaton.target.keys())] = list(automaton.target.values())
+        self.arcs = Table(ARC_SLOTS, "i1")
+
+    def has_arcs(self, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Whether the states have arcs for the tokens, from the table; what is not there yet is derived and added."""
+        keys = states.astype(np.int64) << 20 | tokens
+        found = self.arcs.get(keys)
+        if (found < 0).any():
+            new = np.unique(keys[found < 0])
+            if self.arcs.used + len(new) > ARC_SLOTS // 2:
+                self.arcs.clear()
+            told = np.fromiter((self.automaton.has_arc(k >> 20, k & 0xFFFFF) for k in new.tolist()), np.int8, len(new))
+            missing = found < 0
+            found[missing] = told[np.searchsorted(new, keys[missing])]
+            if len(new) <= ARC_SLOTS // 2:
+                self.arcs.put(new, told)
+        return found > 0
 
     def encode(self, word: str) -> list[int]:
         """Ids of one pre-split word, its signs already those of the vocabulary."""
-        n, target, arcs, trie = len(word), self.automaton.target, self.arcs, self.trie
-        if len(arcs) > 1_000_000:
-            arcs.clear()
-        states = [START] + [-1] * n
-        steps: list[tuple[int, int]] = [(0, 0)] * (n + 1)
+        return np.frombuffer(self.encode_all([word])[0], np.int32).tolist()
+
+    def encode_all(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-split words, as 32-bit bytes. Words run side by side with those of about their length."""
+        out: list[bytes] = [b""] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
+        order = order[sizes[order] > 0]
+        for low, high in ((1, 8), (9, 16), (17, SIDE_BY_SIDE)):
+            some = order[(sizes[order] >= low) & (sizes[order] <= high)]
+            for a in range(0, len(some), 16_384):
+                here = some[a : a + 16_384].tolist()
+                for k, ids in zip(here, self._run([words[k] for k in here], sizes[here])):
+                    out[k] = ids
+        for k in order[sizes[order] > SIDE_BY_SIDE].tolist():
+            out[k] = self._run_long(words[k])
+        return out
+
+    def _run(self, words: list[str], sizes: np.ndarray) -> list[bytes]:
+        longest = int(sizes.max())
+        signs = np.zeros((len(words), longest), np.int64)
+        flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        signs[np.repeat(np.arange(len(words)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
+        states = np.full((len(words), longest + 1), -1, np.int32)
+        states[:, 0] = START
+        tokens, comes_from = np.zeros_like(states), np.zeros_like(states)
+        for i in range(longest):
+            at = np.flatnonzero((states[:, i] >= 0) & (sizes > i))
+            node = np.zeros(len(at), np.int64)
+            for j in range(i + 1, longest + 1):
+                on = sizes[at] >= j
+                at, node = at[on], node[on]
+                node = self.edges.get(node << 21 | signs[at, j - 1]).astype(np.int64)
+                at, node = at[node >= 0], node[node >= 0]
+                if not len(at):
+                    break
+                token = np.where(sizes[at] == j, self.closing[node], self.inner[node])
+                # one path reaches a place: where one has come no other needs to be tried
+                ends = np.flatnonzero((token >= 0) & (states[at, j] < 0))
+                if i and len(ends):  # no arc of the start is ever lost
+                    ends = ends[self.has_arcs(states[at[ends], i], token[ends])]
+                states[at[ends], j] = self.target[token[ends]]
+                tokens[at[ends], j] = token[ends]
+                comes_from[at[ends], j] = i
+        # back from the ends; the last token comes first
+        steps, at, place = [], np.arange(len(words)), sizes.copy()
+        while len(at):
+            row = np.full(len(words), -1, np.int32)
+            row[at] = tokens[at, place]
+            steps.append(row)
+            place = comes_from[at, place].astype(np.int64)
+            at, place = at[place > 0], place[place > 0]
+        ids = np.stack(steps[::-1], axis=1)
+        counts = (ids >= 0).sum(axis=1)
+        data, ends = ids[ids >= 0].tobytes(), np.cumsum(counts) * 4
+        return [data[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+
+    def _run_long(self, word: str) -> bytes:
+        """One word by itself: the paths' states at its places, from the front."""
+        n, last = len(word), len(word) - 1
+        signs = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64)
+        states = np.full(n + 1, -1, np.int64)
+        states[0] = START
+        tokens, comes_from = np.zeros(n + 1, np.int32), np.zeros(n + 1, np.int64)
         for i in range(n):
-            state = states[i]
-            if state < 0:
+            if states[i] < 0:
                 continue
-            node, j, inner = trie, i, n - 1
-            while True:
-                node = node[0].get(word[j])
-                if node is None:
+            node, j, met = 0, i, []
+            while j <= last:
+                node = int(self.edges.get(np.array([node << 21 | int(signs[j])]))[0])
+                if node < 0:
                     break
                 j += 1
-                # one path reaches a place: where one has come no other needs to be tried
-                token = node[1] if j <= inner else node[2]
-                if token is not None and states[j] < 0:
-                    if i:
-                        arc = state << 20 | token
-                        has = arcs.get(arc)
-                        if has is None:
-                            has = arcs[arc] = self.automaton.has_arc(state, token)
-                    else:
-                        has = True  # no arc of the start is ever lost
-                    if has:
-                        states[j] = target[token]
-                        steps[j] = (token, i)
-                if j > inner:
-                    break
-        out = []
+                token = int(self.inner[node] if j <= last else self.closing[node])
+                if token >= 0 and states[j] < 0:
+                    met.append((j, token))
+            if met:
+                has = self.has_arcs(np.full(len(met), states[i]), np.array([t for _, t in met])) if i else np.ones(len(met), bool)
+                for (j, token), yes in zip(met, has.tolist()):
+                    if yes:
+                        states[j], tokens[j], comes_from[j] = self.target[token], token, i
+        out = array("i")
         while n:
-            token, n = steps[n]
-            out.append(token)
-        return out[::-1]
-
-
-def byte_signs() -> list[str]:
-    """The sign that stands for each byte: printable Latin-1 bytes for themselves, the others from U+0100 on."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    spare = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
+            out.append(int(tokens[n]))
+            n = int(comes_from[n])
+        out.reverse()
+        return out.tobytes()
 
 
 def read_tokenizer(path: str) -> dict:
-    """What a tokenizer file says, read once on the driver: vocabulary, merges, word end, special tokens, split pattern."""
+    """What a tokenizer file says, read once on the driver: vocabulary, merges, word end, special tokens, and ``front``, the file without its vocabulary.
+
+    Refuses what the automaton is not made for: other models than plain BPE, special
+    tokens that look at what stands around them, blanks that mean something.
+    """
     with open(path, encoding="utf-8") as file:
         said = json.load(file)
     model = said["model"]
-    pattern = said["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+    if model["type"] != "BPE" or any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")):
+        raise ValueError("not a plain BPE model")
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in said["added_tokens"]):
+        raise ValueError("special tokens that depend on what stands around them")
+    front = json.dumps({**said, "added_tokens": [], "truncation": None, "padding": None, "post_processor": None, "model": {"type": "BPE", "vocab": {}, "merges": []}})
+    opened = Tokenizer.from_str(front)
+    if not parts_at_blanks(lambda text: words_of(opened, text)):
+        raise ValueError("blanks mean something: texts cannot be coded word by word")
     return {
         "vocabulary": model["vocab"], "merges": [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]],
-        "word_end": model.get("end_of_word_suffix") or "", "special": {t["content"]: t["id"] for t in said["added_tokens"]}, "pattern": pattern,
+        "word_end": model.get("end_of_word_suffix") or "", "special": {t["content"]: t["id"] for t in said["added_tokens"]}, "front": front,
     }
 
 
-# the blanks of Unicode's White_Space, which the split pattern means by \s
-BLANKS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+def words_of(front: Tokenizer, text: str) -> list[str]:
+    """The words of a text, in the signs of the vocabulary, as the tokenizer splits it before its merges."""
+    if front.normalizer is not None:
+        text = front.normalizer.normalize_str(text)
+    return [word for word, _ in front.pre_tokenizer.pre_tokenize_str(text)]
 
 
-class TextEncoder:
-    """Normalise, split at blanks and by the pattern, encode each word, and the way back."""
+class TextEncoder(Parts):
+    """Normalise, split at blanks and into words, encode each word, and the way back."""
 
-    def __init__(self, automaton: Automaton, pattern: str, special: dict[str, int]):
-        self.words = WordEncoder(automaton)
-        self.special = special
-        self.pattern = regex.compile(pattern.replace(r"[^\s\p{L}", rf"[^{BLANKS}\p{{L}}"))
-        self.blanks = regex.compile(f"[{BLANKS}]+")
-        self.cut = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.signs = byte_signs()
-        self.memo = Memo(self._chunk)
+    def __init__(self, automaton: Automaton, front: str, special: dict[str, int]):
+        self.encoder = WordEncoder(automaton)
+        self.front = Tokenizer.from_str(front)
+        self.special = {text: array("i", [i]).tobytes() for text, i in special.items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.labels = {i: name for name, i in automaton.vocabulary.items()} | {i: name for name, i in special.items()}
+        super().__init__(MEMO_BYTES)
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
-        """Ids of what stands between two blanks. A word of the pattern never crosses a blank."""
-        out: list[int] = []
-        for word in self.pattern.findall(chunk):
-            out += self.words.encode("".join(map(self.signs.__getitem__, word.encode())))
-        return tuple(out)
+    def words(self, words: list[str]) -> list[bytes]:
+        return self.encoder.encode_all(words)
 
-    def _plain(self, text: str) -> Iterator[tuple[int, ...]]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return map(self.memo.__getitem__, filter(None, self.blanks.split(text.lower()) if regex.search(r"[\x1c-\x1f]", text) else text.lower().split()))
+    def whole(self, parts: list[str]) -> list[bytes]:
+        """Ids of any texts: special tokens where their strings stand, words between them."""
+        split = [[p for p in (self.cut.split(part) if self.cut else [part]) if p] for part in parts]
+        found = [[[p] if p in self.special else words_of(self.front, p) for p in pieces_of] for pieces_of in split]
+        asked = list({w: None for of_part, ws in zip(split, found) for p, some in zip(of_part, ws) if p not in self.special for w in some})
+        known = dict(zip(asked, self.encoder.encode_all(asked)))
+        return [b"".join(self.special[p] if p in self.special else b"".join(known[w] for w in some) for p, some in zip(of_part, ws)) for of_part, ws in zip(split, found)]
 
     def encode(self, text: str) -> list[int]:
-        if self.cut is None or not self.cut.search(text):
-            return list(chain.from_iterable(self._plain(text)))
-        out, at = [], 0
-        for found in self.cut.finditer(text):
-            out += chain.from_iterable(self._plain(text[at : found.start()]))
-            out.append(self.special[found.group()])
-            at = found.end()
-        return out + list(chain.from_iterable(self._plain(text[at:])))
+        return list(array("i", next(self.texts(pa.array([text])))))
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.labels.__getitem__, ids))
 
 
+#: The encoder of a worker process, by name: what it has derived serves its next tasks, too. Never more than one.
+_KEPT: dict[str, TextEncoder] = {}
+
+
+def _encoder(name: str, shared: Broadcast) -> TextEncoder:
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = TextEncoder(*shared.value)
+    return _KEPT[name]
+
+
 def encode(docs: DataFrame, tokenizer: str, text_column: str = "text") -> DataFrame:
     """``docs`` with its own columns and token_ids, decoded.
 
@@ -238,20 +376,20 @@ def encode(docs: DataFrame, tokenizer: str, text_column: str = "text") -> DataFr
     """
     said = read_tokenizer(tokenizer)
     compiled = Automaton(said["vocabulary"], said["merges"], said["word_end"])
-    shared = docs.sparkSession.sparkContext.broadcast((compiled, said["pattern"], said["special"]))
+    shared = docs.sparkSession.sparkContext.broadcast((compiled, said["front"], said["special"]))
+    name = hashlib.md5(json.dumps([said["vocabulary"], said["merges"], said["front"], said["special"]]).encode()).hexdigest()
     added = StructType.fromDDL("token_ids array<int>, decoded string")
     rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added.names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(*shared.value)
-        gc.freeze()  # the tables stay: nothing in them is to be looked through for garbage again
+        encoder = _encoder(name, shared)
         for whole in batches:
             for batch in pieces(whole, text_column):
-                encoder.memo.trim()
-                ids = [encoder.encode(t.decode()) for t in texts_of(batch, text_column)]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
-                decoded = pa.array(map(encoder.decode, ids), pa.string())
+                column = batch.column(batch.schema.get_field_index(text_column))
+                ids = list(encoder.texts(column.fill_null("")))
+                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
+                flat = np.frombuffer(b"".join(ids), np.int32)
+                decoded = pa.array((encoder.decode(array("i", x)) for x in ids), pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), decoded], names=[*batch.schema.names, *added.names]
                 )

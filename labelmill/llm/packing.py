@@ -41,14 +41,18 @@ class WordIds(Parts):
     """Parts coded by the tokenizer's own library: words of letters by its model alone."""
 
     def __init__(self, said: str):
-        tokenizer = Tokenizer.from_str(said)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        tokenize = tokenizer.model.tokenize
-        super().__init__(
-            lambda parts: [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)],
-            lambda word: array("I", [t.id for t in tokenize(word)]).tobytes(),
-        )
+        self.tokenizer = Tokenizer.from_str(said)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        super().__init__()
+
+    def whole(self, parts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def words(self, words: list[str]) -> list[bytes]:
+        tokenize = self.model.tokenize
+        return [array("I", [t.id for t in tokenize(word)]).tobytes() for word in words]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

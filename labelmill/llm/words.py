@@ -38,63 +38,59 @@ def parts_at_blanks(ids: Callable[[str], list]) -> bool:
 class Parts:
     """Ids of parts as little-endian 32-bit bytes.
 
-    ``whole`` codes any parts. ``word`` codes one word of lower-case letters in the
-    signs that stand for its bytes. Where the two agree, tried on every letter, a part
-    that is letters of ``LETTERS`` goes to ``word``, lowered, and signs after it are
-    coded by themselves; all other parts go to ``whole``. The memo is bounded in bytes.
+    A subclass gives ``whole``, which codes any parts, and ``words``, which codes words
+    of lower-case letters in the signs that stand for their bytes. Where the two agree,
+    tried on every letter, a part that is letters of ``LETTERS`` goes to ``words``,
+    lowered, and signs after it are coded by themselves; all other parts go to
+    ``whole``. The memo is bounded in bytes.
     """
 
-    def __init__(self, whole: Callable[[list[str]], list[bytes]], word: Callable[[str], bytes]):
-        self.whole, self.word = whole, word
+    def __init__(self, memo_bytes: int = MEMO_BYTES):
         self.memo: dict[str, bytes] = {}
-        self.held = 0
+        self.held, self.most = 0, memo_bytes
         shown = byte_signs()
         self.signs = {ord(c): "".join(shown[b] for b in c.encode()) for c in map(chr, range(0xDF, 0x100)) if LETTERS.fullmatch(c)}
         self.letters = LETTERS if self._agree() else None
 
+    def whole(self, parts: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def words(self, words: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
     def _agree(self) -> bool:
         letters = [*map(chr, range(65, 91)), *map(chr, range(97, 123)), *map(chr, range(0xC0, 0x100))]
         tries = [a + b for a in "aZßéÿÀÞ" for b in letters if LETTERS.fullmatch(b)]
         alone = self.whole([*tries, *[t + "," for t in tries], *[t + "'." for t in tries]])
         comma, dot = self.whole([",", "'."])
         n = len(tries)
-        return all(
-            self.word(t.lower().translate(self.signs)) == alone[k] and alone[n + k] == alone[k] + comma and alone[2 * n + k] == alone[k] + dot for k, t in enumerate(tries)
-        )
+        short = self.words([self._shown(t) for t in tries])
+        return all(short[k] == alone[k] and alone[n + k] == alone[k] + comma and alone[2 * n + k] == alone[k] + dot for k in range(n))
+
+    def _shown(self, word: str) -> str:
+        low = word.lower()
+        return low if low.isascii() else low.translate(self.signs)
+
+    def _keep(self, parts: list[str], coded: list[bytes]) -> None:
+        self.memo.update(zip(parts, coded))
+        self.held += sum(map(len, parts)) + sum(map(len, coded)) + ENTRY_BYTES * len(parts)
 
     def look_up(self, parts: list[str]) -> list[bytes]:
-        memo, letters, signs, held = self.memo, self.letters, self.signs, self.held
-        found, others = [], []
-        for part in parts:
-            stem = part.rstrip(SIGNS)
-            if letters is None or not (stem.isalpha() if stem.isascii() else letters.fullmatch(stem)):
-                ids = memo.get(part)
-                if ids is None:
-                    others.append(len(found))
-                found.append(ids)
-                continue
-            ids = memo.get(stem)
-            if ids is None:
-                low = stem.lower()
-                memo[stem] = ids = self.word(low if low.isascii() else low.translate(signs))
-                held += len(stem) + len(ids) + ENTRY_BYTES
-            if len(stem) < len(part):
-                tail = part[len(stem) :]
-                if tail not in memo:
-                    memo[tail] = self.whole([tail])[0]
-                    held += len(tail) + len(memo[tail]) + ENTRY_BYTES
-                ids += memo[tail]
-            found.append(ids)
-        for a in range(0, len(others), 20_000):
-            some = others[a : a + 20_000]
-            for k, ids in zip(some, self.whole([parts[k] for k in some])):
-                found[k] = memo[parts[k]] = ids
-                held += len(parts[k]) + len(ids) + ENTRY_BYTES
-        if held > MEMO_BYTES:
+        memo, letters = self.memo, self.letters
+        if self.held > self.most:
             memo.clear()
-            held = 0
-        self.held = held
-        return found
+            self.held = 0
+        stems = [part.rstrip(SIGNS) for part in parts]
+        of_letters = [letters is not None and (s.isalpha() if s.isascii() else letters.fullmatch(s) is not None) for s in stems]
+        new = list({s: None for s, plain in zip(stems, of_letters) if plain and s not in memo})
+        self._keep(new, self.words([self._shown(s) for s in new]))
+        tails = list({p[len(s) :]: None for p, s, plain in zip(parts, stems, of_letters) if plain and len(s) < len(p) and p[len(s) :] not in memo})
+        others = list({p: None for p, plain in zip(parts, of_letters) if not plain and p not in memo})
+        for some in (tails, *(others[a : a + 20_000] for a in range(0, len(others), 20_000))):
+            self._keep(some, self.whole(some) if some else [])
+        return [
+            memo[p] if not plain else memo[s] if len(s) == len(p) else memo[s] + memo[p[len(s) :]] for p, s, plain in zip(parts, stems, of_letters)
+        ]
 
     def texts(self, texts: pa.Array) -> Iterator[bytes]:
         """Of each text its ids."""

@@ -49,6 +49,58 @@ def test_forward_backward(lengths):
         at += n
 
 
+def test_pair_gradient():
+    """Expected pairs are the slope of the log partition sum by the transitions."""
+    draw = np.random.default_rng(2)
+    lengths = [5, 1, 3, 70]
+    evidence, transitions, initial = draw.normal(size=(sum(lengths), 3)) * 2, draw.normal(size=(3, 3)), draw.normal(size=3)
+    first = np.zeros(sum(lengths), bool)
+    first[np.cumsum([0, *lengths[:-1]])] = True
+
+    def log_sum(moves):
+        total, at = 0.0, 0
+        for n in lengths:
+            message = initial + evidence[at]
+            for t in range(1, n):
+                message = np.logaddexp.reduce(message[:, None] + moves, axis=0) + evidence[at + t]
+            total, at = total + np.logaddexp.reduce(message), at + n
+        return total
+
+    forward, backward = language.messages(evidence, first, transitions, initial)
+    inner = np.flatnonzero(~first[1:])
+    got = language.pairs(evidence, inner, transitions, forward, backward).sum(axis=0)
+    for j in range(3):
+        for k in range(3):
+            step = np.zeros((3, 3))
+            step[j, k] = 1e-5
+            assert abs((log_sum(transitions + step) - log_sum(transitions - step)) / 2e-5 - got[j, k]) < 1e-4
+
+
+def test_words_are_read_whole():
+    """What stands after many letters changes the evidence; words of one text do not change another's."""
+    model = language.train([("der hund und die katze sind in dem haus " * 5, "de"), ("the dog and the cat are in the house " * 5, "en")] * 20)
+    a, b = model.evidence(["x" * 40 + "thehouse", "x" * 40 + "derkatze"])
+    assert a.argmax() == 1 and b.argmax() == 0
+    words = ["a", "ab", "abc", "x" * 300, "é", "日本語"]
+    alone = np.concatenate([model.evidence([w]) for w in words])
+    assert np.allclose(alone, model.evidence(words))
+
+
+def test_prediction_from_a_model(spark, odd, odd_rows):
+    """Every row's prediction is what plain recursions over its words give."""
+    model = language.train([("der hund und die katze sind in dem haus " * 5, "de"), ("the dog and the cat are in the house " * 5, "en")] * 20)
+    small = [(i, t) for i, t in odd_rows if len(t or "") < 3000]
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(small)], "doc_id long, text string")
+    got = {r.doc_id: r for r in language.predict(docs, model).collect()}
+    for k, (_, text) in enumerate(small):
+        words = language.words_of(text or "")
+        if not words:
+            assert (got[k].lang_pred, got[k].score) == ("und", 0)
+            continue
+        shares = plain_marginals(model.evidence(words), model.transitions, model.initial).mean(axis=0)
+        assert got[k].lang_pred == model.languages[shares.argmax()] and abs(got[k].score - shares.max()) < 1e-9 and got[k].n_words == len(words)
+
+
 def test_language_query(spark, sf):
     got = {r.doc_id: r for r in queries.op2_language_id(spark, sf).collect()}
     rows = documents(spark, sf)
@@ -123,6 +175,39 @@ def test_lm_sums_to_one(spark):
     assert all(of_class[k] == pytest.approx(1) for k in used)
 
 
+def test_lm_score_token_by_token(spark):
+    """score is, token by token, the class's probability after the three classes before it, times the token's share of its class."""
+    draw = random.Random(9)
+    pick = lambda n: " ".join(draw.choice(["the", "dog", "Runs", "far", f"x{draw.randint(0, 400)}", f"zq{draw.randint(0, 9)}"]) for _ in range(n))
+    texts = [pick(draw.randint(1, 40)) for _ in range(120)]
+    model, counts = lm.fit(spark.createDataFrame([(t,) for t in texts], "text string"), most_words=150)
+    c = {r.token: r.c for r in counts.collect()}
+    own = [t for t, k in zip(model.words, model.classes) if k < lm.OWN]
+    kind = lambda w: own.index(w) if w in own else lm._ending_class(w)
+    assert all(model.classes[model.words[w]] == kind(w) for w in own)
+    asked = [*texts[:20], "", None, "never seen words zq1", "x" * 50]
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    for r in lm.score(docs, model, counts).collect():
+        words = [*(asked[r.doc_id] or "").lower().split(), ""]
+        kinds, want = [kind(w) for w in words], 0.0
+        for i, w in enumerate(words):
+            before = [kinds[i - j] if i >= j else lm.CLASSES for j in (1, 2, 3)]
+            scores = model.target @ sum(model.context[j][before[j]] for j in range(3)) + model.bias
+            want += (scores[kinds[i]] - np.logaddexp.reduce(scores.astype(float))) / math.log(10)
+            want += 0 if kinds[i] < lm.OWN else math.log10((c.get(w, 0) + 0.5) / model.masses[kinds[i]])
+        assert r.score == pytest.approx(want, rel=1e-5)
+
+
+def test_lm_gathers_from_all_texts(spark):
+    """What only the ends of long texts say is learned, and every token is seen once."""
+    texts = ["a b " * 30_000 + "q r " * 30_000] * 6
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    model, _ = lm.fit(frame)
+    kind = {w: int(model.classes[model.words[w]]) for w in "abqr"}
+    after = lambda w, then: model.class_log10(np.array([[kind[w], kind[then], kind[w]]]), np.array([kind[then]]))[0]
+    assert after("q", "r") > math.log10(0.8) and after("a", "b") > math.log10(0.8)
+
+
 def test_lm_split_of_words(spark, odd, none_of):
     """Counts that travel and counts that are joined give the same scores."""
     texts = odd.selectExpr("coalesce(text, '') as text")
@@ -147,7 +232,7 @@ def library():
 @pytest.fixture(scope="module")
 def encoder():
     said = bpe.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
-    return bpe.TextEncoder(bpe.Automaton(said["vocabulary"], said["merges"], said["word_end"]), said["pattern"], said["special"])
+    return bpe.TextEncoder(bpe.Automaton(said["vocabulary"], said["merges"], said["word_end"]), said["front"], said["special"])
 
 
 def test_tokens_as_the_library(library, encoder):
@@ -162,6 +247,14 @@ def test_tokens_as_the_library(library, encoder):
         assert encoder.decode(want) == library.decode(want, skip_special_tokens=False)
 
 
+def test_every_code_point(library, encoder):
+    """All signs Unicode may have, alone and between letters and digits."""
+    points = [chr(c) for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000] + [chr(c) for c in range(0xE0000, 0xE0200)]
+    texts = ["".join(f"a{p}b{p}1 {p} " for p in points[k : k + 64]) for k in range(0, len(points), 64)]
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert encoder.encode(text) == want.ids, text[:40]
+
+
 def test_automaton_against_merging():
     """Random merge tables over three signs: the automaton's path is what merging in order gives."""
     draw = random.Random(7)
