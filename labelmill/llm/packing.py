@@ -20,11 +20,14 @@ global order by range, and each task looks its pieces up in the plan.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -55,6 +58,19 @@ class WordIds(Parts):
         return [array("I", [t.id for t in tokenize(word)]).tobytes() for word in words]
 
 
+#: The coder of a worker process, by tokenizer: its words serve the next tasks, too. Never more than one.
+_KEPT: dict[str, WordIds] = {}
+
+
+def _coder(name: str, said: Broadcast) -> WordIds:
+    if name not in _KEPT:
+        # a worker is one of many already; the library's own threads would only hold memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        _KEPT.clear()
+        _KEPT[name] = WordIds(said.value)
+    return _KEPT[name]
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, h, piece, start, length, ids): each document's ids and ``end_id``, cut only where they are more than ``capacity``.
 
@@ -66,12 +82,14 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     opened.no_padding()
     if not parts_at_blanks(lambda text: opened.encode(text, add_special_tokens=False).ids):
         raise ValueError("the tokenizer gives blanks a meaning: texts cannot be coded word by word")
-    shared = docs.sparkSession.sparkContext.broadcast(opened.to_str())
+    said = opened.to_str()
+    shared = docs.sparkSession.sparkContext.broadcast(said)
+    name = hashlib.md5(said.encode()).hexdigest()
     end = np.array([end_id], "<u4").tobytes()
     step = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds(shared.value)
+        encoder = _coder(name, shared)
         for whole in batches:
             for batch in pieces(whole):
                 rows, at, ids = [], [], []
