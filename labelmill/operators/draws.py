@@ -100,6 +100,12 @@ def one_of(n: Column, kind: str, *args) -> Column:
     raise NotImplementedError(f"no counted draw for {kind}")
 
 
+def several(count: Column, seed: Column, template: str, name: str, start: int, *step) -> Column:
+    """The values that a step draws for a name, ``count`` times on from the ``start``-th."""
+    each = F.transform(F.sequence(F.lit(0), count - 1), lambda i: one_of(number(seed, template, name, i + start), *step))
+    return F.when(count > 0, each).otherwise(F.array().cast("array<string>"))
+
+
 def _counted(template: str, seed: Column, steps: Sequence[tuple]) -> Column:
     taken: dict[str, list[Column]] = {}
     before: dict[str, int | None] = {}
@@ -124,8 +130,7 @@ def _counted(template: str, seed: Column, steps: Sequence[tuple]) -> Column:
                 start = before.get(inner, 0)
                 if start is None:
                     raise NotImplementedError(f"{template}: {inner} follows a number of values that is drawn")
-                each = F.transform(F.sequence(F.lit(0), count - 1), lambda i, n=inner, r=rest, at=start: one_of(number(seed, template, n, i + at), *r))
-                add(inner, F.when(count > 0, each).otherwise(F.array().cast("array<string>")), fixed)
+                add(inner, several(count, seed, template, inner, start, *rest), fixed)
         else:
             add(name, F.array(one_of(number(seed, template, name, F.lit(before.get(name, 0))), kind, *args)), 1)
     entries = [part for name, parts in taken.items() for part in (F.lit(name), F.concat(*parts) if len(parts) > 1 else parts[0])]

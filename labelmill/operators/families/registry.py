@@ -75,7 +75,7 @@ def _translated(jobs: DataFrame, inputs: Mapping[str, DataFrame]) -> DataFrame:
 
 def _behaviour_spaces(inputs: Mapping[str, DataFrame]) -> dict[str, int]:
     """A program's literals are redrawn: twenty for every behaviour without asking how many it has. The programs are a registry."""
-    return {f"harness_{row['name']}": 20 for row in inputs["base"].select("name").distinct().collect()}
+    return {f"harness_{row['name']}": 20 for row in sorted(inputs["base"].select("name").distinct().collect())}
 
 
 FAMILIES = {

@@ -59,7 +59,7 @@ def _manifest(spark, sf):
 def _stills(spark, sf):
     """Stills with the numbers brought into their narrow ranges, as a stage of real subjects has them."""
     small = _clean(spark, sf).withColumn("sub_id", F.col("sub_id") % 1000)
-    return media.still_relation(small).select("sub_id", "trial", "position", "frame", F.col("image.path").alias("path"), F.hex(F.substring("image.bytes", 1, 4)).alias("head"))
+    return media.still_relation(small).select("sub_id", "trial", "position", "frame", F.col("image.path").alias("path"), F.md5("image.bytes").alias("md5"))
 
 
 def _media_paths(spark, sf):
@@ -91,6 +91,13 @@ def _resume(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return targets, manifests
 
 
+def small_numbers(entries: DataFrame) -> DataFrame:
+    """Entries whose microphone numbers, order keys here, are brought into their narrow range."""
+    number = r"^(.*_)(\d+)\.wav$"
+    small = F.concat(F.regexp_extract("name", number, 1), (F.regexp_extract("name", number, 2).try_cast("bigint") % 100).cast("string"), F.lit(".wav"))
+    return entries.withColumn("name", F.when(F.col("name").rlike(number), small).otherwise(F.col("name")))
+
+
 def _read_back(spark, sf):
     """Every entry of the archives written from the line items, read back in ranges."""
     folder = paths.scratch(spark)
@@ -115,7 +122,7 @@ def _ingested(spark, sf):
 
     Every fifth subject has refused entries, the files of others differ from the listing in size or hash, some have no row in the table of subjects.
     """
-    keyed = media.keyed_entries(b.entries(spark, sf))
+    keyed = media.keyed_entries(small_numbers(b.entries(spark, sf)))
     folder, out, checkpoint = paths.scratch(spark), paths.scratch(spark), paths.scratch(spark)
     archives.write_archives(keyed.filter(media.entry_problem().isNull() | (F.col("subject") % 5 == 0)), folder).agg(F.sum("length")).collect()
     key = F.col("s_suppkey")
@@ -172,9 +179,11 @@ WITH raw AS (SELECT CAST(c_custkey AS INT) AS sub_id, CASE WHEN c_custkey % 50 =
 
 _BYTES = "unhex(CASE WHEN n % 61 = 0 THEN 'FFD8FF' WHEN sort = 2 THEN '52494646' ELSE '89504E470D0A1A0A' END) || encode(name)"
 
+_SMALL = r"CASE WHEN regexp_matches(name, '_\d+\.wav$') THEN regexp_extract(name, '^(.*_)\d+\.wav$', 1) || CAST(regexp_extract(name, '_(\d+)\.wav$', 1) AS BIGINT) % 100 || '.wav' ELSE name END"
+
 _READ_BACK = f"SELECT archive, name, octet_length({_BYTES})::BIGINT AS size, md5({_BYTES}) AS md5, CAST(NULL AS VARCHAR) AS problem FROM keyed"
 
-_INGESTED = """, bad AS (SELECT *, coalesce(reason, CASE WHEN sub <> subject THEN 'subject_disagrees' WHEN n % 61 = 0 THEN CASE WHEN sort = 2 THEN 'not_a_wav' ELSE 'not_a_png' END END) AS wrong FROM keyed),
+_INGESTED = f""", bad AS (SELECT * REPLACE ({_SMALL} AS name), coalesce(reason, CASE WHEN sub <> subject THEN 'subject_disagrees' WHEN n % 61 = 0 THEN CASE WHEN sort = 2 THEN 'not_a_wav' ELSE 'not_a_png' END END) AS wrong FROM keyed),
 written AS (SELECT * FROM bad WHERE wrong IS NULL OR subject % 5 = 0),
 files AS (SELECT DISTINCT archive, subject FROM written),
 refused AS (
@@ -214,8 +223,8 @@ ORACLES = {
         SELECT a.subject, t.rows, t.bytes, a.archive, a.empty, p.groups FROM archives a JOIN tot t ON a.subject = t.subject LEFT JOIN per p ON a.archive = p.archive"""
     ),
     "still_relation": _e(
-        """SELECT CAST(sub % 1000 AS SMALLINT) AS sub_id, CAST(trial AS TINYINT) AS trial, CAST(pos AS TINYINT) AS position, CAST(frame AS INT) AS frame,
-        concat_ws('_', sub % 1000, trial, 1, pos, frame, shown) || '.png' AS path, CASE WHEN n % 61 = 0 THEN 'FFD8FF' || hex(name[1]) ELSE '89504E47' END AS head FROM keyed WHERE reason IS NULL AND sort = 0"""
+        f"""SELECT CAST(sub % 1000 AS SMALLINT) AS sub_id, CAST(trial AS TINYINT) AS trial, CAST(pos AS TINYINT) AS position, CAST(frame AS INT) AS frame,
+        concat_ws('_', sub % 1000, trial, 1, pos, frame, shown) || '.png' AS path, md5({_BYTES}) AS md5 FROM keyed WHERE reason IS NULL AND sort = 0"""
     ),
     "media_paths": _e("SELECT true AS same, count(*) AS n FROM keyed WHERE reason IS NULL"),
     "subjects": _RAW + "SELECT sub_id, split, age, 'F' AS gender, ethnicity FROM raw",

@@ -176,7 +176,10 @@ def _derived(spark, sf):
     rows = b.table(spark, sf, "documents").select(
         "doc_id", F.when(F.col("doc_id") % 6 == 0, "kept").otherwise("").alias("fbd_text"), F.when(F.col("doc_id") % 10 == 1, "").otherwise(F.col("text")).alias("fbd_xml")
     )
-    return repair.derive_memoised(rows, "fbd_xml", "fbd_text", lambda xml: F.regexp_extract(xml, r"^([A-Z][a-z]{2,})", 1))
+    # the first word and the hash of the whole text; a text that does not begin with a capital is refused
+    word = r"^([A-Z][a-z]{2,})"
+    derived = lambda xml: F.when(xml.rlike(word), F.concat(F.regexp_extract(xml, word, 1), F.lit(":"), F.md5(xml))).otherwise("")
+    return repair.derive_memoised(rows, "fbd_xml", "fbd_text", derived)
 
 
 def _verify(spark, sf):
@@ -302,7 +305,7 @@ WITH back AS (
 
 _DERIVED = r"""
 WITH d AS (SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN 'kept' ELSE '' END AS t, CASE WHEN doc_id % 10 = 1 THEN '' ELSE text END AS x FROM documents),
-e AS (SELECT doc_id, t, t = '' AND x <> '' AS needs, regexp_extract(x, '^([A-Z][a-z]{2,})', 1) AS v FROM d)
+e AS (SELECT doc_id, t, t = '' AND x <> '' AS needs, CASE WHEN regexp_matches(x, '^[A-Z][a-z]{2,}') THEN regexp_extract(x, '^([A-Z][a-z]{2,})', 1) || ':' || md5(x) ELSE '' END AS v FROM d)
 """
 
 _TOK = r"len(regexp_extract_all({}, '[^ \t\r\n]+'))"

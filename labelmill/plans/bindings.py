@@ -388,7 +388,7 @@ keyed AS (
 
 
 def asset_values(spark: SparkSession, sf: str) -> DataFrame:
-    """(repo, tbl, col, pos, value): two text columns of each language's table of each source's dataset."""
+    """(repo, tbl, col, pos, value): three text columns of each language's table of each source's dataset, one of them the documents' texts."""
     d = table(spark, sf, "documents")
     key = F.col("doc_id").cast("string")
     rows_path = F.concat(F.lit("rows/"), "source", F.lit("/"), key, F.lit("/rank1.fbd"))
@@ -397,9 +397,9 @@ def asset_values(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("doc_id") % 3 == 1, F.concat(F.lit("./assets/"), key, F.when(F.col("doc_id") % 9 == 7, ".PNG ").otherwise(".PNG")))
         .otherwise("program p")
     )
-    second = F.when(F.col("lang") == "en", F.concat(F.lit("assets/shared-"), "source", F.lit(".jpg"))).otherwise(F.col("text"))
+    picture = F.when(F.col("lang") == "en", F.concat(F.lit("assets/shared-"), "source", F.lit(".jpg"))).otherwise("none")
     entries = F.array(
-        F.struct(F.lit("fbd_path").alias("col"), first.alias("value")), F.struct(F.lit("note").alias("col"), second.alias("value"))
+        *[F.struct(F.lit(name).alias("col"), value.alias("value")) for name, value in (("fbd_path", first), ("note", F.col("text")), ("picture", picture))]
     )
     return d.select(
         F.concat(F.lit("owner/"), "source").alias("repo"), F.concat("lang", F.lit(".parquet")).alias("tbl"), F.col("doc_id").alias("pos"), F.inline(entries)
@@ -423,8 +423,9 @@ asset_values AS (
     CASE doc_id % 3 WHEN 0 THEN 'rows/' || source || '/' || doc_id || '/rank1.fbd' WHEN 1 THEN './assets/' || doc_id || CASE WHEN doc_id % 9 = 7 THEN '.PNG ' ELSE '.PNG' END ELSE 'program p' END AS value
   FROM documents
   UNION ALL
-  SELECT 'owner/' || source, lang || '.parquet', 'note', doc_id,
-    CASE WHEN lang = 'en' THEN 'assets/shared-' || source || '.jpg' ELSE text END FROM documents
+  SELECT 'owner/' || source, lang || '.parquet', 'note', doc_id, text FROM documents
+  UNION ALL
+  SELECT 'owner/' || source, lang || '.parquet', 'picture', doc_id, CASE WHEN lang = 'en' THEN 'assets/shared-' || source || '.jpg' ELSE 'none' END FROM documents
 ),
 files AS (
   SELECT 'owner/' || source AS repo, 'assets/' || doc_id || '.PNG' AS path FROM documents WHERE doc_id % 9 <> 4

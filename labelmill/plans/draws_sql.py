@@ -105,13 +105,17 @@ _PAIRED = "pairs(pair, a_id, b_id) AS (VALUES " + ", ".join(f"({i}, {quoted(a)},
 _LINES = ", ".join(f"string_split(rtrim({side}.{rank}, chr(10)), chr(10)) AS {side}{rank[-1]}" for side, rank in (("a", "rank1"), ("a", "rank3"), ("b", "rank1"), ("b", "rank5")))
 
 
-def composed(merged: Callable[[str, str], str]) -> str:
+#: Blocks and locals of the controllers.
+OWN = "mx|mz|sp|fx|fz|nt|lost|press|hold|g|st|greeting"
+
+
+def composed(merged: Callable[[str, str, str], str]) -> str:
     """Two controllers of one seed in one program; ``merged`` is the SQL that puts two lists of lines together."""
     return f"""WITH {_PAIRED}, asked AS (SELECT o_orderkey AS seed, o_orderkey // 10 % {len(compose.PAIRS)} AS pair FROM orders),
     jobs AS (SELECT seed, a_id AS template_id FROM asked JOIN pairs USING (pair) UNION ALL SELECT seed, b_id FROM asked JOIN pairs USING (pair)), {_MADE},
     met AS (SELECT a_id, b_id, a.seed, a.intent || '; and ' || b.intent AS intent, a.frame_id, {_LINES}
       FROM asked JOIN pairs USING (pair) JOIN controller_rows a ON a.template_id = a_id AND a.seed = asked.seed JOIN controller_rows b ON b.template_id = b_id AND b.seed = asked.seed)
-    SELECT 'compose_' || a_id || '_' || b_id AS template_id, seed, intent, frame_id, {merged('a1', 'b1')} AS rank1, {merged('a3', 'b1')} AS rank3, {merged('a1', 'b5')} AS rank5 FROM met"""
+    SELECT 'compose_' || a_id || '_' || b_id AS template_id, seed, intent, frame_id, {merged('a1', 'b1', OWN)} AS rank1, {merged('a3', 'b1', OWN)} AS rank3, {merged('a1', 'b5', OWN)} AS rank5 FROM met"""
 
 
 # --- chores -------------------------------------------------------------------------------

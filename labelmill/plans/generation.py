@@ -168,7 +168,8 @@ def _methods(spark, sf):
 def _method_returns(spark, sf):
     """Returns as printed, numbers to six places."""
     made = methods.returns(methods.rows(_jobs_of(spark, sf, list(methods.DRAWS)), counted))
-    return made.withColumn("ret", F.coalesce(F.format_string("%.6f", F.col("ret").try_cast("double")), "ret"))
+    number = F.col("ret").try_cast("double")
+    return made.withColumn("ret", F.when(number.isNotNull(), F.format_string("%.6f", number)).otherwise(F.col("ret")))
 
 
 def _settings(spark, sf):

@@ -50,7 +50,8 @@ HELD_TEMPLATES = ["write", "face_the_stick", "godot_ui_text", "udon_blend", "tra
 def _family_inputs(spark: SparkSession, sf: str, rows: int) -> dict[str, DataFrame]:
     """Programs for the families that take them: the documents' own, and a translation of every method that is asked for."""
     p = b.programs(spark, sf)
-    named = p.select(F.concat(F.lit("and_"), F.col("doc_id").cast("string")).alias("name"), "text")
+    # a program of calls alone has nothing to mutate
+    named = p.filter(F.col("text").rlike(r" = [A-Z_]+\(")).select(F.concat(F.lit("and_"), F.col("doc_id").cast("string")).alias("name"), "text")
     marked = F.replace("text", F.lit("in a : BOOL"), F.lit("in trigger : BOOL"))
     canonical = p.groupBy((F.col("doc_id") % 10).cast("int").alias("goal")).agg(F.min_by(marked, F.struct(F.length("text"), "doc_id")).alias("text"))
     text = F.concat(F.lit("program u\nr = ADD(IN1=a, IN2="), F.col("seed").cast("string"), F.lit(")\nret = r.OUT\n"))
@@ -89,9 +90,9 @@ def _artefact_folder(spark: SparkSession, sf: str) -> str:
     trace = F.concat(F.lit('{"dt": 0.125, "ticks": [], "seed": '), F.col("seed").cast("string"), F.lit("}"))
     entries = F.array(
         F.struct(F.concat(base, F.lit("/rank1.fbd")).alias("path"), F.col("text").alias("text")),
-        F.struct(F.concat(base, F.when(F.col("seed") % 5 == 0, "/notes.txt").otherwise("/rank1.plcopen.xml")), F.col("xml")),
-        F.struct(F.concat(base, F.lit("/trace_1.json")), trace),
-        F.struct(F.concat(base, F.lit("/trace_0.json")), F.concat(trace, F.lit("\n"))),
+        F.struct(F.concat(base, F.when(F.col("seed") % 5 == 0, "/notes.txt").otherwise("/rank1.plcopen.xml")).alias("path"), F.col("xml").alias("text")),
+        F.struct(F.concat(base, F.lit("/trace_1.json")).alias("path"), trace.alias("text")),
+        F.struct(F.concat(base, F.lit("/trace_0.json")).alias("path"), F.concat(trace, F.lit("\n")).alias("text")),
     )
     files.write_texts(p.select(F.inline(entries)), folder).agg(F.sum("size")).collect()
     return folder
@@ -126,7 +127,7 @@ def _checksums(spark: SparkSession, sf: str) -> DataFrame:
 
 def _media(spark: SparkSession, sf: str) -> DataFrame:
     """The three media relations written by split, stream, subject and trial and read back: whole bytes by their hash."""
-    clean = media.keyed_entries(b.entries(spark, sf)).filter(media.entry_problem().isNull())
+    clean = media.keyed_entries(archive_plans.small_numbers(b.entries(spark, sf))).filter(media.entry_problem().isNull())
     out = paths.scratch(spark)
     archives.write_media(clean.withColumn("split", F.lit("train")), out)
     parts = []
@@ -208,9 +209,9 @@ def _space_rows() -> str:
     return ", ".join(out)
 
 
-_FAMILY_SQL = f"""
-WITH spaces(family, ord, template_id, space) AS (
-  SELECT * FROM (VALUES {_space_rows()}) UNION ALL SELECT 'harness', row_number() OVER (ORDER BY doc_id) - 1, 'harness_and_' || doc_id, 20 FROM documents),
+_FAMILY_SQL = rf"""
+WITH {b.PROGRAMS_SQL}, spaces(family, ord, template_id, space) AS (
+  SELECT * FROM (VALUES {_space_rows()}) UNION ALL SELECT 'harness', row_number() OVER (ORDER BY doc_id) - 1, 'harness_and_' || doc_id, 20 FROM programs WHERE regexp_matches(text, ' = [A-Z_]+\(')),
 asked AS (SELECT count(*) + 30 AS n FROM supplier),
 given AS (SELECT family, ord, template_id, space, least(space, n // count(*) OVER (PARTITION BY family)) AS g, n FROM spaces, asked),
 short AS (SELECT family, (max(n) - sum(g))::BIGINT AS missing FROM given GROUP BY family),
@@ -239,8 +240,8 @@ ORACLES = {
     "staged_file_hits": audits.ORACLES["local_path_hits"],
     "file_sums": f"WITH {b.STAGED_SQL} SELECT path, octet_length(encode(text)) AS size, sha256(text) AS sha256 FROM staged",
     "media_written": f"""WITH {b.ENTRIES_SQL} SELECT CASE sort WHEN 0 THEN 'still' WHEN 1 THEN 'cmd' ELSE 'audio' END AS relation, CASE WHEN sort = 2 THEN 'none' ELSE ['thermal', 'visual', 'visual_aligned'][shown] END AS stream,
-        sub::INT AS sub_id, trial::INT AS trial, pos::INT AS position, CASE WHEN sort > 0 THEN command::INT END AS command, CASE WHEN sort < 2 THEN frame::INT END AS frame, CASE WHEN sort = 2 THEN frame::INT END AS mic,
-        string_split(name, '/')[-1] AS path, md5({_MEDIA_BYTES}) AS md5 FROM keyed WHERE reason IS NULL AND sub = subject AND n % 61 <> 0""",
+        sub::INT AS sub_id, trial::INT AS trial, pos::INT AS position, CASE WHEN sort > 0 THEN command::INT END AS command, CASE WHEN sort < 2 THEN frame::INT END AS frame, CASE WHEN sort = 2 THEN (frame::BIGINT % 100)::INT END AS mic,
+        string_split({archive_plans._SMALL}, '/')[-1] AS path, md5({_MEDIA_BYTES}) AS md5 FROM keyed WHERE reason IS NULL AND sub = subject AND n % 61 <> 0""",
     "groups_in_order": f"WITH {b.ENTRIES_SQL} {archive_plans._GROUPS} SELECT row_number() OVER (ORDER BY archive, relation, stream, trial) - 1 AS place, archive, relation, stream, trial, rows, bytes FROM groups",
     "subjects_written": archive_plans._RAW
     + """, acc AS (SELECT sub_id, '1:' || unnest(a1) AS x FROM raw UNION ALL SELECT sub_id, '2:' || unnest(a2) FROM raw)

@@ -351,17 +351,19 @@ step_at AS (SELECT *, list_filter(range(1, len(ls) + 1), lambda i: regexp_matche
 _CLASS = r"""CASE WHEN starts_with(l, 'program ') OR starts_with(l, 'in ') THEN 'skip' WHEN starts_with(l, 'out ') THEN 'out' WHEN starts_with(l, 'var ') THEN 'var'
   WHEN regexp_matches(l, '^\w+ = [A-Z_]+[\[(]') THEN 'block' WHEN contains(l, ' = ') THEN 'write' ELSE 'skip' END"""
 
-# every name of these programs is hold, or b and digits, so prefixing is two substitutions
-_PREFIX = r"regexp_replace(regexp_replace(l, '\b(b\d+)\b', '{p}\1', 'g'), '\bhold\b', '{p}hold', 'g')"
+# every name of the documents' programs is hold, or b and digits
+_NAMES = r"b\d+|hold"
+_PREFIX = r"regexp_replace(l, '\b(%s)\b', '{p}\1', 'g')"
 
 
-def _part(source: str, prefix: str, name: str) -> str:
-    shown = "l" if name == "out" else _PREFIX.format(p=prefix)
+def _part(source: str, prefix: str, name: str, names: str) -> str:
+    shown = "l" if name == "out" else (_PREFIX % names).format(p=prefix)
     return f"list_transform(list_filter({source}, lambda l: {_CLASS} = '{name}'), lambda l: {shown})"
 
 
-def merged(a: str, c: str) -> str:
-    sections = " || ".join(_part(src, prefix, name) for name in ("out", "var", "block", "write") for src, prefix in ((a, "a_"), (c, "b_")))
+def merged(a: str, c: str, names: str | None = None) -> str:
+    """SQL of the hash of two programs in one; ``names`` is a pattern of what is prefixed."""
+    sections = " || ".join(_part(src, prefix, name, names or _NAMES) for name in ("out", "var", "block", "write") for src, prefix in ((a, "a_"), (c, "b_")))
     return (
         "sha256('program compose_' || a_id || '_' || b_id || chr(10) || 'in lx : REAL' || chr(10) || 'in ly : REAL' || chr(10) || 'in btn : BOOL' || chr(10) "
         f"|| 'in tracker_ok : BOOL' || chr(10) || array_to_string({sections}, chr(10)) || chr(10))"
