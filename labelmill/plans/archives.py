@@ -102,7 +102,7 @@ def _read_back(spark, sf):
     """Every entry of the archives written from the line items, read back in ranges."""
     folder = paths.scratch(spark)
     archives.write_archives(b.entries(spark, sf), folder).agg(F.sum("length")).collect()
-    found = archives.entry_rows(spark, folder, range_bytes=4096)
+    found = archives.entry_rows(spark, folder, range_bytes=1 << 16)
     return found.select(F.substring_index("archive", "/", -1).alias("archive"), "name", "size", F.md5("bytes").alias("md5"), "problem")
 
 
@@ -113,7 +113,7 @@ def _read_by_function(spark, sf):
     tables.register(spark)
     return spark.sql(
         "SELECT substring_index(archive, '/', -1) AS archive, name, size, md5(bytes) AS md5, problem FROM archive_entries(TABLE(SELECT * FROM {ranges}))",
-        ranges=tables.archive_ranges(archives.archive_files(spark, folder).select("path", "length"), 4096),
+        ranges=tables.archive_ranges(archives.archive_files(spark, folder).select("path", "length"), 1 << 16),
     )
 
 
@@ -132,7 +132,7 @@ def _ingested(spark, sf):
     expected = there.select(
         F.col("archive").alias("path"), (F.col("size") + F.when(F.col("subject") % 7 == 3, 1).otherwise(0)).alias("size"), F.when(F.col("subject") % 11 == 5, "0").alias("sha256")
     )
-    ingest.ingest(spark, folder, out, checkpoint, subjects, expected, range_bytes=8192).awaitTermination()
+    ingest.ingest(spark, folder, out, checkpoint, subjects, expected, range_bytes=1 << 16).awaitTermination()
     file = F.substring_index("archive", "/", -1).alias("archive")
     refused = spark.read.parquet(f"{out}/refused/*").select(F.lit("refused").alias("what"), file, F.coalesce("name", F.lit("")).alias("name"), "problem", F.lit(1).cast("long").alias("rows"), F.lit(0).cast("long").alias("bytes"))
     groups = spark.read.parquet(f"{out}/groups/*").select(F.lit("group"), file, media.group_name(), F.lit(""), "rows", "bytes")
