@@ -233,7 +233,7 @@ def train_vectors(texts: DataFrame, words: dict[str, int], classes: np.ndarray,
     # a task's row is kept before the sums ask for it
     learned = cut(texts.select("text").mapInArrow(learn, schema))
     between = max(1, math.isqrt(learned.rdd.getNumPartitions()))
-    row = learned.repartition(between).mapInArrow(add, schema).coalesce(1).mapInArrow(add, schema).first()
+    row = learned.repartition(between).mapInArrow(add, schema).repartition(1).mapInArrow(add, schema).first()
     return unpacked(np.frombuffer(row["sums"]) / row["tokens"] if row else Trainer(noise).vectors())
 
 
