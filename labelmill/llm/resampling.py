@@ -34,7 +34,8 @@ GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words of each text -> (numbers, ends, dictionary): all words in a row as numbers, where each text's end, and the word of each number."""
-    lowered = pc.ascii_lower(texts.cast(pa.large_string()))
+    # lower case first: of a slice that was cast the kernel reads the wrong bytes
+    lowered = pc.ascii_lower(texts).cast(pa.large_string())
     split = pc.split_pattern_regex(lowered, pattern=GAPS)
     flat = pc.list_flatten(split)
     # a gap at either end of a text leaves an empty string

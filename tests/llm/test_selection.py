@@ -10,6 +10,7 @@ from itertools import combinations, permutations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -105,6 +106,24 @@ def test_resample_of_nothing(spark, odd, none_of):
     assert resampling.resample(odd, none_of.select("text")).count() == odd.count()
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_words_of_a_slice(kind):
+    texts = pa.array(["The House of", "DES Hauses", None, "", "x1 Straße, the END"], kind).fill_null("")
+    for first in range(len(texts)):
+        numbers, ends, dictionary = resampling.words(texts.slice(first))
+        again = resampling.words(pa.array(texts.slice(first).to_pylist(), kind))
+        assert [dictionary[n].as_py() for n in numbers] == [again[2][n].as_py() for n in again[0]] and ends.tolist() == again[1].tolist()
+
+
+def test_resample_of_many_texts(spark):
+    """More text in a batch than one piece holds."""
+    rows = [(i, " ".join(f"W{i}x{j} House" for j in range(3000))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    target = docs.filter("doc_id >= 100").select("text")
+    got = resampling.resample(docs, target, 30, 20, 1, 997, 7).select("doc.doc_id", "n_features", "weight", "score", "rank").collect()
+    assert sorted(map(tuple, got), key=repr) == plain_resample(rows, [t for i, t in rows if i >= 100], 30, 20, 1, 997, 7)
+
+
 def plain_ids(text):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     tokenizer.no_truncation()
