@@ -273,3 +273,15 @@ def test_columns_of_the_audited_tables(spark, sf):
     from labelmill.plans import audits
 
     assert {r["col"] for r in audits._columns(spark, sf).collect()} == {"fbd_path", "note", "image", "blob", "plain"}
+
+
+def test_small_archives_share_tasks(spark):
+    """As many tasks as are of use, however fine the ranges asked for; every byte is in one of them."""
+    from labelmill.sources import zips
+
+    listing = [(f"sub_{k}_io.zip", 1000 + k % 70_000) for k in range(100_000)]
+    made = zips.planned(listing, 1 << 16)
+    assert len(made) <= 2 * zips.ENOUGH_TASKS
+    assert sorted(s for r in made for s in r.spans) == sorted((path, n, 0, n) for path, n in listing)
+    large = zips.planned([("a.zip", 1 << 40)], 1 << 16)
+    assert [s[2:] for r in large for s in r.spans] == [(a, a + zips.RANGE_BYTES) for a in range(0, 1 << 40, zips.RANGE_BYTES)]
