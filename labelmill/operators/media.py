@@ -228,22 +228,22 @@ def _relation(keyed: DataFrame, kind: str, columns: list[tuple[str, str]], media
     return keyed.filter(F.col("kind") == kind).select(*extra, *narrow, content)
 
 
-def still_relation(keyed: DataFrame) -> DataFrame:
-    return _relation(keyed, "still", [("sub_id", "smallint"), ("trial", "tinyint"), ("position", "tinyint"), ("frame", "int")], "image", "png")
+def still_relation(keyed: DataFrame, subject: str = "smallint") -> DataFrame:
+    return _relation(keyed, "still", [("sub_id", subject), ("trial", "tinyint"), ("position", "tinyint"), ("frame", "int")], "image", "png")
 
 
-def command_relation(keyed: DataFrame) -> DataFrame:
+def command_relation(keyed: DataFrame, subject: str = "smallint") -> DataFrame:
     return _relation(
         keyed, "cmd",
-        [("sub_id", "smallint"), ("trial", "tinyint"), ("position", "tinyint"), ("command", "smallint"), ("frame", "int")],
+        [("sub_id", subject), ("trial", "tinyint"), ("position", "tinyint"), ("command", "smallint"), ("frame", "int")],
         "image", "png",
     )
 
 
-def audio_relation(keyed: DataFrame) -> DataFrame:
+def audio_relation(keyed: DataFrame, subject: str = "smallint") -> DataFrame:
     return _relation(
         keyed, "utterance",
-        [("sub_id", "smallint"), ("trial", "tinyint"), ("position", "tinyint"), ("command", "smallint"), ("mic", "tinyint")],
+        [("sub_id", subject), ("trial", "tinyint"), ("position", "tinyint"), ("command", "smallint"), ("mic", "tinyint")],
         "audio", "wav",
     )
 

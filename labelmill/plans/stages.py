@@ -126,7 +126,7 @@ def _checksums(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _media(spark: SparkSession, sf: str) -> DataFrame:
-    """The three media relations written by split, stream, subject and trial and read back: whole bytes by their hash."""
+    """The three media relations written by split and stream and read back: whole bytes by their hash."""
     clean = media.keyed_entries(archive_plans.small_numbers(b.entries(spark, sf))).filter(media.entry_problem().isNull())
     out = paths.scratch(spark)
     archives.write_media(clean.withColumn("split", F.lit("train")), out)

@@ -285,3 +285,20 @@ def test_small_archives_share_tasks(spark):
     assert sorted(s for r in made for s in r.spans) == sorted((path, n, 0, n) for path, n in listing)
     large = zips.planned([("a.zip", 1 << 40)], 1 << 16)
     assert [s[2:] for r in large for s in r.spans] == [(a, a + zips.RANGE_BYTES) for a in range(0, 1 << 40, zips.RANGE_BYTES)]
+
+
+def test_many_subjects_are_few_files(spark, tmp_path):
+    """Files follow the bytes, not the subjects; subject numbers beyond the narrow integer are kept."""
+    names = [f"sub_{k}_io/trial_{t}/thr_image/{k}_{t}_1_1_5_1.png" for k in (*range(40), 40_000) for t in (1, 2)]
+    keyed = media.keyed_entries(spark.createDataFrame([(n.split("/")[0] + ".zip", n, PNG) for n in names], "archive string, name string, bytes binary"))
+    archives.write_media(keyed.withColumn("split", F.lit("train")), str(tmp_path / "out"))
+    assert len(list((tmp_path / "out/still").rglob("*.parquet"))) <= 8
+    back = spark.read.parquet(str(tmp_path / "out/still")).select("sub_id", "trial", "stream").collect()
+    assert sorted(map(tuple, back)) == [(k, t, "thermal") for k in (*range(40), 40_000) for t in (1, 2)]
+
+
+def test_subjects_beyond_the_narrow_integer(spark, tmp_path):
+    raw = spark.createDataFrame([(7, "Train", 30, "F", "x", "Hat", "None"), (90_000, "Test", 31, "F", "y", "None", "Mask")], "Sub_ID int, Split string, Age int, Gender string, Ethnicity string, Acc_Trial_1 string, Acc_Trial_2 string")
+    archives.write_subjects(raw, str(tmp_path / "out"))
+    assert {r["sub_id"] for r in spark.read.parquet(str(tmp_path / "out/subjects")).collect()} == {7, 90_000}
+    assert {r["sub_id"] for r in spark.read.parquet(str(tmp_path / "out/subject_accessories")).collect()} == {7, 90_000}
