@@ -30,9 +30,11 @@ def census_rows(root: DataFrame, candidates: DataFrame, family: Column, split: C
     """Root and candidates of a split -> census rows.
 
     Only keys and kinds are shuffled, never texts. A root row without a rank1
-    candidate is kept and flagged ``missing``.
+    candidate is kept and flagged ``missing``. There is a key per row, and keys
+    in order compress so well that their file looks small enough to broadcast:
+    the hint keeps them out of the driver.
     """
-    kinds = reference_kinds(candidates)
+    kinds = reference_kinds(candidates).hint("merge")
     return root.join(kinds, F.col("key") == F.col("row_key"), "left").select(
         split.alias("split"),
         family.alias("family"),

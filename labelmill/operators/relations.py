@@ -122,11 +122,16 @@ def joined_view(root: DataFrame, candidates: DataFrame, scores: DataFrame) -> Da
     ]
     nested = slots.select("row_key", F.array_compact(F.array(*entries)).alias("candidates"))
     held = F.coalesce("candidates", F.array().cast(nested.schema["candidates"].dataType))
-    return root.join(nested, F.col("key") == F.col("row_key"), "left").select(
+    return root.join(nested.hint("merge"), F.col("key") == F.col("row_key"), "left").select(
         "key", "intent", "template_id", "seed", "traces", held.alias("candidates")
     )
 
 
+def scores_of(scores: DataFrame, root: DataFrame) -> DataFrame:
+    """The scores of the root rows, such as a split's. The keys grow with the rows, so they are never broadcast."""
+    return scores.join(root.select(F.col("key").alias("row_key")).hint("merge"), "row_key", "left_semi")
+
+
 def unscored(candidates: DataFrame, scores: DataFrame) -> DataFrame:
     """Candidates no score row names."""
     return candidates.select("row_key", "candidate").join(scores, ["row_key", "candidate"], "left_anti")

@@ -169,7 +169,7 @@ def _census_of_stage(spark: SparkSession, sf: str) -> DataFrame:
     for split in schemas.SPLIT_DIRS:
         part = rows.filter(F.col("split") == split).drop("split")
         root = relations.root_rows(part)
-        stage.commit_split(spark, out, split, "fbd", root, relations.candidate_rows(part), verdicts.join(root.select(F.col("key").alias("row_key")), "row_key", "left_semi"))
+        stage.commit_split(spark, out, split, "fbd", root, relations.candidate_rows(part), relations.scores_of(verdicts, root))
     one = stage.manifest_table(rows, rows.select("template_id").distinct(), "fbd", ["2-HIGH"], ["MOD"])
     stage.write_manifest(spark, out, one)
     held = stage.read_census_rows(spark, out)

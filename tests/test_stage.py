@@ -307,3 +307,17 @@ def test_files_beyond_one_value(spark, tmp_path, monkeypatch):
     assert sums == {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in tmp_path.iterdir()}
     entries = archives.expand(archives.archive_files(spark, str(tmp_path))).collect()
     assert {(r["name"], len(r["bytes"])) for r in entries} == {("a/b.png", 5000), ("a/c.png", 10)}
+
+
+def test_row_keys_are_not_broadcast(spark, sf):
+    """Keys grow with the rows, however small their file looks: no join of the census gathers them in the driver."""
+    from labelmill.plans import bindings as b
+
+    rows = b.order_rows(spark, sf)
+    root, candidates = relations.root_rows(rows), relations.candidate_rows(rows)
+    kept = relations.scores_of(b.order_scores(spark, sf), root.filter("seed % 10 = 0"))
+    held = census.census_rows(root.drop("intent"), candidates, F.lit("fbd"), F.lit("train"))
+    joined = relations.joined_view(root, candidates, kept)
+    for df, merged in ((kept, 1), (held, 1), (joined, 2)):  # the joined view reads the kept scores
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == merged and "BroadcastHashJoin" not in plan
