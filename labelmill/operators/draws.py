@@ -26,13 +26,15 @@ Every name maps to the list of the values it took, as text.
 from __future__ import annotations
 
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelmill.functions import text as tx
+
 VALUES = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
 
 
@@ -82,7 +84,10 @@ def draw(template: Column, seed: Column, plans: Mapping[str, Sequence[tuple]]) -
 def number(seed: Column, template: str | Column, name: str, index: Column) -> Column:
     """The number behind a drawn value, from 0 to below 2^60: the head of an MD5, as a bigint."""
     template = template if isinstance(template, Column) else F.lit(template)
-    text = F.concat_ws("/", seed.cast("string"), template, F.lit(name), index.cast("string"))
+    return _hashed(F.concat_ws("/", seed.cast("string"), template, F.lit(name), index.cast("string")))
+
+
+def _hashed(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
@@ -102,7 +107,9 @@ def one_of(n: Column, kind: str, *args) -> Column:
 
 def several(count: Column, seed: Column, template: str, name: str, start: int, *step) -> Column:
     """The values that a step draws for a name, ``count`` times on from the ``start``-th."""
-    each = F.transform(F.sequence(F.lit(0), count - 1), lambda i: one_of(number(seed, template, name, i + start), *step))
+    head = F.concat_ws("/", seed.cast("string"), F.lit(template), F.lit(name), F.lit(""))
+    at = F.sequence(F.lit(start), count - 1 + start)
+    each = tx.let(head, lambda h: F.transform(at, lambda i: one_of(_hashed(F.concat(h, i.cast("string"))), *step)))
     return F.when(count > 0, each).otherwise(F.array().cast("array<string>"))
 
 
@@ -146,6 +153,17 @@ def counted(template: Column, seed: Column, plans: Mapping[str, Sequence[tuple]]
     return result
 
 
+def apart(drawing: Callable, template: Column, seed: Column, plans: Mapping[str, Sequence[tuple]], aside: Iterable[str], values: str = "values") -> Column:
+    """What the texts are filled from: the values without those of the steps ``aside``, which only traces read.
+
+    Counted values do not hang on one another. Drawn by themselves they leave the
+    column ``values``, which holds all, undrawn where nothing reads the traces. The
+    generator draws one after the other, so there it is that column.
+    """
+    aside = set(aside)
+    return counted(template, seed, {t: [s for s in steps if s[0] not in aside] for t, steps in plans.items()}) if drawing is counted else F.col(values)
+
+
 def drawn(values: Column, name: str) -> Column:
     """The first value of a name."""
     return F.get(F.try_element_at(values, F.lit(name)), 0)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from labelmill.functions import literals as lt
 from labelmill.functions import text as tx
 from labelmill.operators.compose import PAIRS, SHARED_INPUTS, compose
-from labelmill.operators.draws import all_drawn, as_params, draw, drawn, with_params
+from labelmill.operators.draws import all_drawn, apart, as_params, draw, drawn, with_params
 from labelmill.operators.families.frames import FRAMES, pick
 
 # Trace length and tick, and the draws and texts of each template.
@@ -109,12 +109,13 @@ def _texts() -> Column:
 def rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
     """jobs(template_id, seed, …) -> controller rows, with ``values`` holding the drawn constants. ``drawing`` is a mode of ``draws``."""
     carried = [c for c in jobs.columns if c not in ("template_id", "seed")]
-    made = jobs.withColumn("values", drawing(F.col("template_id"), F.col("seed"), DRAWS))
-    v = F.col("values")
-    real = lambda name: lt.fixed_real(drawn(v, name), 9)
-    ms = drawn(v, "n").cast("int") * 125
-    style = drawn(v, "style").cast("int")
-    base = as_params(v)
+    seeded = F.col("template_id"), F.col("seed")
+    made = jobs.withColumn("values", drawing(*seeded, DRAWS)).withColumn("_told", apart(drawing, *seeded, DRAWS, ["sweep", "drops"]))
+    v, told = F.col("values"), F.col("_told")
+    real = lambda name: lt.fixed_real(drawn(told, name), 9)
+    ms = drawn(told, "n").cast("int") * 125
+    style = drawn(told, "style").cast("int")
+    base = as_params(told)
     first = _by_template(
         {
             "walk_from_stick": with_params(base, g=real("gain"), c=real("cap"), mn=F.lit("0.0")),
