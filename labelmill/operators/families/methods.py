@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from labelmill.functions import literals as lt
 from labelmill.functions import text as tx
 from labelmill.operators import expectations as ex
-from labelmill.operators.draws import all_drawn, draw, drawn
+from labelmill.operators.draws import all_drawn, apart, draw, drawn
 from labelmill.operators.families.controllers import _by_template
 
 # The method sources, their parameters and their constants' draws.
@@ -83,11 +83,12 @@ def _trace(values: Column, template: str, nth: int) -> Column:
 
 def rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
     """jobs(template_id ``udon_<method>``, seed) -> (…, intent = the method, class_name, class_source, traces, values)."""
-    made = jobs.withColumn("values", drawing(F.col("template_id"), tx.mixed_seed(F.col("seed"), F.col("template_id")), DRAWS))
-    v = F.col("values")
+    seeded = F.col("template_id"), tx.mixed_seed(F.col("seed"), F.col("template_id"))
+    made = jobs.withColumn("values", drawing(*seeded, DRAWS)).withColumn("_told", apart(drawing, *seeded, DRAWS, ["ticks"]))
+    v, told = F.col("values"), F.col("_told")
     constants = ("k", "c", "lo", "hi", "g", "w1", "w2")
-    plain = [part for n in constants for part in (F.lit(n), drawn(v, n))]
-    printed = [part for n in constants for part in (F.lit(f"{n}f"), F.concat(lt.fixed_real(drawn(v, n).try_cast("double"), 3), F.lit("f")))]
+    plain = [part for n in constants for part in (F.lit(n), drawn(told, n))]
+    printed = [part for n in constants for part in (F.lit(f"{n}f"), F.concat(lt.fixed_real(drawn(told, n).try_cast("double"), 3), F.lit("f")))]
     source = _by_template({f"udon_{name}": F.lit(text) for name, text in SOURCES.items()})
     method = tx.fill_placeholders(source, F.create_map(*plain, *printed))
     cls = tx.short_id(F.concat_ws("/", "template_id", F.col("seed").cast("string")))
@@ -102,18 +103,25 @@ def rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
 
 def returns(made: DataFrame) -> DataFrame:
     """What each method returns on each tick of its traces: (template_id, seed, trace, tick, ret)."""
-    at = F.sequence(F.lit(0), F.lit(3 * TICKS - 1))
-    ticks = made.select("template_id", "seed", "values", F.explode(at).alias("at"))
     v = F.col("values")
     typed = {"int": "int", "float": "double", "bool": "boolean"}
 
-    def ret(name: str) -> Column:
-        inputs = {p: F.get(all_drawn(v, f"in_{p}"), F.col("at")).try_cast(typed[kind]) for p, kind in PARAMETERS[name]}
+    def every(name: str) -> Column:
+        """The returns on all ticks: the constants are read once a row, the ticks' inputs side by side."""
+        steps, parameters = CONSTANTS[name], PARAMETERS[name]
         kind = {"randint": "int", "uniform": "double"}
-        constants = {step[0]: drawn(v, step[0]).try_cast(kind[step[1]]) for step in CONSTANTS[name]}
-        return ex.method_return(name, inputs, constants).cast("string")
+        held = F.struct(F.lit(0).alias("_"), *[drawn(v, s[0]).try_cast(kind[s[1]]).alias(s[0]) for s in steps])
+        inputs = F.arrays_zip(*[all_drawn(v, f"in_{p}").alias(p) for p, _ in parameters])
+
+        def ret(constants: Column, tick: Column) -> Column:
+            given = {p: tick[p].try_cast(typed[k]) for p, k in parameters}
+            return ex.method_return(name, given, {s[0]: constants[s[0]] for s in steps}).cast("string")
+
+        return tx.let(held, lambda constants: F.transform(inputs, lambda tick: ret(constants, tick)))
 
+    unknown = F.array_repeat(F.lit(None).cast("string"), 3 * TICKS)
+    every_one = _by_template({f"udon_{name}": every(name) for name in SOURCES}).otherwise(unknown)
+    ticks = made.select("template_id", "seed", F.posexplode(every_one).alias("at", "ret"))
     return ticks.select(
-        "template_id", "seed", F.floor(F.col("at") / TICKS).cast("int").alias("trace"), (F.col("at") % TICKS).alias("tick"),
-        _by_template({f"udon_{name}": ret(name) for name in SOURCES}).alias("ret"),
+        "template_id", "seed", F.floor(F.col("at") / TICKS).cast("int").alias("trace"), (F.col("at") % TICKS).alias("tick"), "ret"
     )
