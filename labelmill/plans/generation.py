@@ -114,7 +114,7 @@ def _csv_lists(spark, sf):
 def _jobs_of(spark: SparkSession, sf: str, templates: list[str]) -> DataFrame:
     key = F.col("o_orderkey")
     names = F.array(*[F.lit(t) for t in templates])
-    return b.spread(b.table(spark, sf, "orders").select(F.get(names, (F.floor(key / 10) % len(templates)).cast("int")).alias("template_id"), key.alias("seed")))
+    return b.spread_rows(b.table(spark, sf, "orders").select(F.get(names, (F.floor(key / 10) % len(templates)).cast("int")).alias("template_id"), key.alias("seed")))
 
 
 def _corpus(spark, sf):
