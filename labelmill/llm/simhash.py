@@ -224,7 +224,7 @@ def _pairs_within(rows: DataFrame, longs: int, radius: int) -> DataFrame:
                 at = at[buckets[at + shift] == buckets[at]]
 
     ordered = rows.select("bucket", "node", "fingerprint").repartition("bucket").sortWithinPartitions("bucket")
-    found = ordered.mapInArrow(run, "u binary, v binary")
+    found = ordered.mapInArrow(run, "u long, v long")
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
@@ -254,7 +254,7 @@ def _pairs_across(rows: DataFrame, longs: int, radius: int, nearest: bool) -> Da
                     if len(met):
                         yield pa.RecordBatch.from_arrays([nodes.take(pa.array(np.full(len(met), i))), nodes.take(pa.array(met))], names=["u", "v"])
 
-    found = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "u binary, v binary")
+    found = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "u long, v long")
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
@@ -270,7 +270,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_column: str, text_column: str,
                 yield pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "shingles"])
 
     texts = docs.select(row_key(id_column, text_column).alias("row"), text_of(text_column).alias("text")).join(wanted, "row").select("node", "text")
-    return texts.mapInArrow(run, "node binary, shingles array<bigint>").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    return texts.mapInArrow(run, "node long, shingles array<bigint>").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str, shingle_words: int, similarity: float) -> DataFrame:
@@ -355,8 +355,9 @@ def groups(
     distinct = read.groupBy("fingerprint").agg(
         F.min("id").alias("least"), F.min(F.struct(F.col("id").isNull().alias("last"), "id", "h")).alias("first")
     ).select("fingerprint", "least", F.struct("first.id", "first.h").alias("row"))
-    # a fingerprint is its own node where it is one long, else its digest is
-    node = F.col("fingerprint")[0] if bits == _BITS else F.unhex(F.md5(F.array_join(F.col("fingerprint").cast("array<string>"), ",")))
+    # a fingerprint is its own node where it is one long, else it gets a number, which the checkpoint fixes: nodes travel
+    # with every key, and a number takes a third of a digest's bytes and compresses where a digest does not
+    node = F.col("fingerprint")[0] if bits == _BITS else F.monotonically_increasing_id()
     nodes = cut(distinct.withColumn("node", node))
     if bits == _BITS:
         found = components(links(nodes.select("node", "fingerprint", "least"), bits, blocks, agree, radius))

@@ -376,3 +376,13 @@ def test_wide_recall_at_the_threshold():
         found.append(bool(equal and differ.sum() <= way["radius"]))
     print("recall", sum(found) / len(found))
     assert sum(found) >= 0.97 * len(found)
+
+
+def test_wide_nodes_are_numbers(spark):
+    """Nodes of wide fingerprints travel with each of their keys, so they are numbers, not digests; groups stay the same."""
+    words = [f"w{i}" for i in range(300)]
+    near = [*words[:-1], "other"]
+    texts = [" ".join(words), " ".join(near), " ".join(words), "one two three four five six", None, ""]
+    found = simhash.groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), **simhash.SIMILAR)
+    assert dict(found.dtypes)["root"] == "bigint"
+    assert {r.id: r.component_id for r in found.collect()} == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 4}
