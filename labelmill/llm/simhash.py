@@ -18,7 +18,11 @@ arrangement covers for certain. ``SIMILAR`` is the arrangement for a Jaccard
 similarity of 0.8: 1,024 bits, of which texts that similar differ in 155 on
 average, in 64 blocks; one equal block makes a pair a candidate. The distance only
 finds candidates: a link is a pair whose sets of shingles are that similar, counted
-in full. Small buckets compare all pairs. The members of a large one first meet
+in full. Blocks of 16 bits meet many strangers, so a key travels with ``CHECK``
+longs of the fingerprint, not with all of it, and a bucket of up to ``WHOLE``
+compares all its pairs on those where it lies; what is left is few and is compared
+in full. A bucket that is larger, or in which most members are near many others (a
+large group of near copies), is crowded: its members first meet
 the smallest id and the smallest of those that share one more block; members that
 are not connected to the bucket's hub by then meet all others of the bucket, in
 parts, so that a pair that shares a block is compared or already connected.
@@ -41,6 +45,10 @@ from labelmill.llm.components import components
 #: Buckets of more distinct fingerprints are linked without comparing all pairs.
 PAIRED = 64
 PAIRED_WIDE = 16
+#: Buckets of more wide fingerprints are crowded without a look at their pairs.
+WHOLE = 1024
+#: Longs of a wide fingerprint that travel with each of its keys.
+CHECK = 2
 #: Blocks that split such a bucket further where its fingerprints are wide.
 FURTHER = 1
 SEED = 42
@@ -206,26 +214,106 @@ def _flat(table: pa.Table, longs: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, longs)
 
 
-def _pairs_within(rows: DataFrame, longs: int, radius: int) -> DataFrame:
-    """(bucket, node, fingerprint) -> (u, v): all pairs of a bucket within the radius. For small buckets."""
+def _check_radius(bits: int, longs: int, radius: int) -> int:
+    """Bits that may differ in a fingerprint's check: those of a pair at the radius, and five standard deviations."""
+    if longs * _BITS >= bits:
+        return radius
+    share = radius / bits
+    return int(longs * _BITS * share + 5 * (longs * _BITS * share * (1 - share)) ** 0.5)
+
+
+def _parts_of(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Table, bool]]:
+    """Rows sorted by bucket -> tables in which no bucket is cut, and of buckets above ``most`` rows, as they come, parts that are marked."""
+    held, large = None, None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        if large is not None and now.num_rows:
+            end = int(np.searchsorted(now["bucket"].to_numpy(), large, side="right"))
+            if end:
+                yield now.slice(0, end).combine_chunks(), True
+            now = now.slice(end)
+            large = large if not now.num_rows else None
+        held = now if held is None else pa.concat_tables([held, now])
+        if not held.num_rows:
+            continue
+        buckets = held["bucket"].to_numpy()
+        start = int(np.searchsorted(buckets, buckets[-1]))
+        if start:
+            yield held.slice(0, start).combine_chunks(), False
+            held = held.slice(start).combine_chunks()
+        if held.num_rows > most:
+            large = buckets[-1]
+            yield held.combine_chunks(), True
+            held = None
+    if held is not None and held.num_rows:
+        yield held.combine_chunks(), False
+
+
+def _met(nodes: DataFrame, bits: int, blocks: int, agree: int, radius: int) -> DataFrame:
+    """(u, v, bucket) of nodes (node, fingerprint): the pairs of a bucket whose checks are near, and with v null the members of crowded buckets.
+
+    Keys are exchanged once; no pair and no fingerprint leaves its bucket before the check has been compared.
+    """
+    width, longs = bits // blocks, bits // _BITS
+    check = min(CHECK, longs)
+    limit = _check_radius(bits, check, radius)
+    keyed = []
+    for choice, chosen in enumerate(combinations(range(blocks), agree)):
+        key = F.lit(0).cast("long")
+        for b in chosen:
+            key = F.shiftleft(key, width).bitwiseOR(_block(b * width, width))
+        # the check lies apart from the bits that are equal anyway
+        at = chosen[0] * width // _BITS + longs // 2
+        own = [F.col("fingerprint")[(at + k) % longs].alias(f"c{k}") for k in range(check)]
+        keyed.append(F.struct(_bucket(choice, key, width * agree, blocks).alias("bucket"), *own))
+
+    def crowd(table: pa.Table) -> pa.RecordBatch:
+        node = table["node"].combine_chunks()
+        return pa.RecordBatch.from_arrays([node, pa.nulls(len(node), pa.int64()), table["bucket"].combine_chunks()], names=["u", "v", "bucket"])
+
+    def pairs(nodes: pa.Array, buckets: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([nodes.take(pa.array(a)), nodes.take(pa.array(b)), pa.array(buckets[a])], names=["u", "v", "bucket"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_buckets(batches):
-            buckets, prints, nodes = table["bucket"].to_numpy(), _flat(table, longs), table["node"].combine_chunks()
-            shift = 1
-            at = np.flatnonzero(buckets[1:] == buckets[:-1])
-            while len(at):
-                for some in np.array_split(at, len(at) // 50_000 + 1):
-                    near = some[np.bitwise_count(prints[some] ^ prints[some + shift]).sum(1, dtype=np.int64) <= radius]
-                    if len(near):
-                        yield pa.RecordBatch.from_arrays([nodes.take(pa.array(near)), nodes.take(pa.array(near + shift))], names=["u", "v"])
-                shift += 1
+        for table, large in _parts_of(batches, WHOLE):
+            if large:
+                yield crowd(table)
+                continue
+            buckets, nodes = table["bucket"].to_numpy(), table["node"].combine_chunks()
+            checks = [table[f"c{k}"].to_numpy().view(np.uint64) for k in range(check)]
+            edges = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1], [True]]))
+            sizes = np.diff(edges)
+            small = np.repeat(sizes <= PAIRED_WIDE, sizes)
+            at = np.flatnonzero(small)
+            for shift in range(1, PAIRED_WIDE):
                 at = at[at + shift < len(buckets)]
                 at = at[buckets[at + shift] == buckets[at]]
-
-    ordered = rows.select("bucket", "node", "fingerprint").repartition("bucket").sortWithinPartitions("bucket")
-    found = ordered.mapInArrow(run, "u long, v long")
-    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+                if not len(at):
+                    break
+                near = at[sum(np.bitwise_count(c[at] ^ c[at + shift]).astype(np.int64) for c in checks) <= limit]
+                if len(near):
+                    yield pairs(nodes, buckets, near, near + shift)
+            for k in np.flatnonzero(sizes > PAIRED_WIDE).tolist():
+                first, n = int(edges[k]), int(sizes[k])
+                if n > WHOLE:
+                    yield crowd(table.slice(first, n))
+                    continue
+                far = sum(np.bitwise_count(c[first : first + n, None] ^ c[None, first : first + n]).astype(np.int16) for c in checks)
+                a, b = np.nonzero(np.triu(far <= limit, 1))
+                if 2 * len(a) > PAIRED_WIDE * n:
+                    yield crowd(table.slice(first, n))
+                elif len(a):
+                    yield pairs(nodes, buckets, first + a, first + b)
+
+    rows = nodes.select("node", F.inline(F.array(*keyed))).repartition("bucket").sortWithinPartitions("bucket")
+    return rows.mapInArrow(run, "u long, v long, bucket long")
+
+
+def _bucket(choice: int, key: Column, width: int, blocks: int) -> Column:
+    """One number for a choice of blocks and their key: side by side where they fit, which compresses; else a hash."""
+    if width + (2 * blocks).bit_length() <= 62:
+        return F.lit(choice << width).cast("long") + key
+    return F.xxhash64(F.lit(choice), key)
 
 
 def _pairs_across(rows: DataFrame, longs: int, radius: int, nearest: bool) -> DataFrame:
@@ -289,7 +377,7 @@ def _wide_roots(
     """(node, root) over links of similar texts among the pairs that share a key; nodes without a link are left out."""
     longs, width = bits // _BITS, bits // blocks
     prints = nodes.select("node", "fingerprint")
-    shared = _shared(nodes, bits, blocks, agree)
+    met = cut(_met(nodes, bits, blocks, agree, radius))
 
     def apart(found: DataFrame, pairs: DataFrame) -> DataFrame:
         """The pairs that links found so far do not connect."""
@@ -304,30 +392,34 @@ def _wide_roots(
             added = added.unionByName(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
         return cut(components(added))
 
-    few = shared.filter(F.col("n") <= PAIRED_WIDE).select(F.xxhash64("choice", "key").alias("bucket"), "node").join(prints, "node")
-    pairs = _pairs_within(few, longs, radius)
-    many = shared.filter(F.col("n") > PAIRED_WIDE)
+    pairs = met.filter("v is not null").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    members = met.filter("v is null").select("bucket", F.col("u").alias("node"))
+    # the hub of a bucket is the fingerprint of its smallest id: of copies, that is most often what they were copied from
+    rank = F.struct(F.col("least").isNull().alias("last"), "least", "node")
+    hubs = members.join(nodes.select("node", rank.alias("rank")), "node").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rank").alias("hub"))
+    many = cut(members.join(hubs.select("bucket", "n", F.col("hub.node").alias("hub")), "bucket"))
     far = many.filter("node <> hub").select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v"))
     if agree == 1:
         # a further block splits the bucket, and its members meet each other's smallest there
+        choice = F.shiftright("bucket", width)
         more = many.join(prints, "node").select(
-            "node", "choice", "key", F.inline(F.array(*[F.struct(F.lit(b).alias("other"), _block(b * width, width).alias("value")) for b in range(blocks)]))
+            "node", "bucket", choice.alias("choice"), F.inline(F.array(*[F.struct(F.lit(b).alias("other"), _block(b * width, width).alias("value")) for b in range(blocks)]))
         ).filter(F.pmod(F.col("other") - F.col("choice"), F.lit(blocks)).between(1, FURTHER))
-        met = more.groupBy("choice", "key", "other", "value").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-        far = far.unionByName(more.join(met, ["choice", "key", "other", "value"]).filter("node <> v").select(F.col("v").alias("u"), F.col("node").alias("v")))
-    near = cut(pairs.unionByName(_near(far.distinct(), prints, longs, radius)).distinct())
+        least = more.groupBy("bucket", "other", "value").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+        far = far.unionByName(more.join(least, ["bucket", "other", "value"]).filter("node <> v").select(F.col("v").alias("u"), F.col("node").alias("v")))
+    near = cut(_near(pairs.unionByName(far).distinct(), prints, longs, radius))
 
     def across(found: DataFrame, nearest: bool) -> DataFrame:
         """Pairs within large buckets of one that is not connected to the bucket's hub and any other of another root."""
         placed = many.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        hubs = placed.filter("node = hub").select("choice", "key", F.col("root").alias("main"))
-        told = placed.join(hubs, ["choice", "key"]).withColumn("apart", F.col("root") != F.col("main"))
-        left = told.groupBy("choice", "key").agg(F.sum(F.col("apart").cast("long")).alias("left")).filter("left > 0")
-        mixed = cut(told.join(left, ["choice", "key"]).withColumn("across", F.ceil(F.col("n") / PART)).withColumn("down", F.ceil(F.col("left") / PART)))
+        hubs = placed.filter("node = hub").select("bucket", F.col("root").alias("main"))
+        told = placed.join(hubs, "bucket").withColumn("apart", F.col("root") != F.col("main"))
+        left = told.groupBy("bucket").agg(F.sum(F.col("apart").cast("long")).alias("left")).filter("left > 0")
+        mixed = cut(told.join(left, "bucket").withColumn("across", F.ceil(F.col("n") / PART)).withColumn("down", F.ceil(F.col("left") / PART)))
         own = F.xxhash64("node")
-        one = mixed.filter("apart").select("choice", "key", "node", "root", F.lit(True).alias("apart"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)).alias("x"), F.pmod(own, F.col("down")).alias("y"))
-        two = mixed.select("choice", "key", "node", "root", F.lit(False).alias("apart"), F.pmod(own, F.col("across")).alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)).alias("y"))
-        rows = one.unionByName(two).select(F.xxhash64("choice", "key", "x", "y").alias("bucket"), "node", "root", "apart").join(prints, "node").select("bucket", "node", "fingerprint", "root", "apart")
+        one = mixed.filter("apart").select("bucket", "node", "root", F.lit(True).alias("apart"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)).alias("x"), F.pmod(own, F.col("down")).alias("y"))
+        two = mixed.select("bucket", "node", "root", F.lit(False).alias("apart"), F.pmod(own, F.col("across")).alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)).alias("y"))
+        rows = one.unionByName(two).select(F.xxhash64("bucket", "x", "y").alias("bucket"), "node", "root", "apart").join(prints, "node").select("bucket", "node", "fingerprint", "root", "apart")
         return cut(_pairs_across(rows, longs, radius, nearest))
 
     # of each node one pair first; then all that this has not connected, with the nearest of each root in the large buckets; then all that are still of other roots

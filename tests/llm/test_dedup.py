@@ -386,3 +386,36 @@ def test_wide_nodes_are_numbers(spark):
     found = simhash.groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), **simhash.SIMILAR)
     assert dict(found.dtypes)["root"] == "bigint"
     assert {r.id: r.component_id for r in found.collect()} == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 4}
+
+
+def test_wide_buckets_give_near_pairs_only(spark, monkeypatch):
+    """Strangers that share a block do not leave their bucket; near ones do, as pairs or, where they are many, as members."""
+    draw = np.random.default_rng(5)
+    way = {k: simhash.SIMILAR[k] for k in ("bits", "blocks", "agree", "radius")}
+    prints = draw.integers(0, 2, (330, 1024), dtype=np.uint8)
+    for i in range(1, 60, 2):  # pairs of about the similarity sought
+        prints[i] = prints[i - 1] ^ (draw.random(1024) < 0.15)
+    for i in range(60, 90):  # a group of near copies
+        prints[i] = prints[60] ^ (draw.random(1024) < 0.02)
+    prints[90:200, 32:48] = prints[90, 32:48]  # strangers in one bucket
+    prints[210:, 512:528] = prints[210, 512:528]  # a bucket too large to be compared
+    prints[210] = prints[211] ^ (draw.random(1024) < 0.1)
+    monkeypatch.setattr(simhash, "WHOLE", 118)
+    packed = np.packbits(prints, axis=1).view(">u8").astype(np.uint64).view(np.int64)
+    nodes = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(packed)], "node long, fingerprint array<bigint>").repartition(3)
+    met = simhash._met(nodes, **way).collect()
+    pairs = {(min(r.u, r.v), max(r.u, r.v)) for r in met if r.v is not None}
+    crowded = {}
+    for r in met:
+        if r.v is None:
+            crowded.setdefault(r.bucket, set()).add(r.u)
+    blocks = np.packbits(prints, axis=1).view(">u2")
+    told = {p for ms in crowded.values() for p in ((a, b) for a in ms for b in ms if a < b)}
+    want = {
+        (a, b) for a in range(len(prints)) for b in range(a + 1, len(prints))
+        if (blocks[a] == blocks[b]).any() and (prints[a] ^ prints[b]).sum() <= way["radius"]
+    }
+    assert len([p for p in want if p[0] < 60]) > 20 and (210, 211) in want
+    assert want <= pairs | told
+    assert any(ms >= set(range(211, 330)) for ms in crowded.values()) and all(ms <= set(range(60, 90)) or ms >= set(range(211, 330)) for ms in crowded.values())
+    assert sum(90 <= a < 200 for a, _ in pairs) < 60  # of 5,995 that share the block
