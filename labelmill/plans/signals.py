@@ -89,8 +89,10 @@ def _trace_diff(spark, sf):
 
 
 def _reference_matches(spark, sf):
-    outputs = _outputs(spark, sf).filter("name <> 'state'").filter("name = 'speed' and row_key % 2 = 0 or name = 'held' and row_key % 2 = 1")
-    li = b.table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("p"), F.max("l_quantity").alias("q"))
+    point = ["l_orderkey", "l_linenumber"]
+    outputs = _outputs(spark, sf, *point).filter("name <> 'state'").filter("name = 'speed' and row_key % 2 = 0 or name = 'held' and row_key % 2 = 1")
+    li = b.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    li = b.keyed_rows(li, b.tasks_of(li), *point).groupBy(*point).agg(F.max("l_partkey").alias("p"), F.max("l_quantity").alias("q"))
     reference = li.select(
         F.col("l_orderkey").alias("row_key"), F.lit(0).alias("trace"), F.col("l_linenumber").alias("tick"),
         F.when(F.col("l_orderkey") % 2 == 1, F.when(F.col("p") % 2 == 0, "true").otherwise("false")).when(F.col("p") % 300 == 1, "oops").otherwise(F.col("q").cast("string")).alias("ret"),
