@@ -118,7 +118,8 @@ def _pick_traces(spark, sf):
 
 def _api(spark, sf):
     """Position readbacks per order: class name, vector, basis and flag, some of them wrong."""
-    o = b.spread(b.table(spark, sf, "orders").select("o_orderkey"))
+    orders = b.table(spark, sf, "orders").select("o_orderkey")
+    tasks, o = b.tasks_of(orders), b.spread(orders)
     k = F.col("o_orderkey")
     x, y, z = ((k * m % 11 - 5).cast("string") for m in (1, 3, 7))
     vector = F.concat(F.lit("Vector3("), x, F.lit(".5, "), y, F.lit(", "), F.when(k % 17 == 2, "99").otherwise(z), F.lit(")"))
@@ -136,7 +137,7 @@ def _api(spark, sf):
     wants = [(0, "text", nothing, "Node3D"), (1, "numbers", numbers(F.concat(x, F.lit(".5")), y, z), ""), (2, "from9", numbers(x, y, z), ""),
              (2, "upto9", numbers(*[F.lit(v) for v in (1, 0, 0, 0, 1, 0, 0, 0, 1)]), ""), (3, "literal", nothing, "true")]
     entries = F.array(*[F.struct(F.lit(s).alias("step"), F.lit(kd).alias("kind"), n.alias("numbers"), F.lit(t).alias("text")) for s, kd, n, t in wants])
-    return ex.api_readback(observed, o.select(key.alias("row_key"), F.inline(entries)))
+    return ex.api_readback(b.keyed_rows(observed, tasks, "row_key"), b.keyed_rows(o.select(key.alias("row_key"), F.inline(entries)), tasks, "row_key"))
 
 
 def _config(spark, sf):
