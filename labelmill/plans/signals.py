@@ -142,7 +142,8 @@ def _api(spark, sf):
 
 def _config(spark, sf):
     """Term tables read back per order: a weight, a flag, a metric list and a gain list, some of them wrong."""
-    o = b.spread(b.table(spark, sf, "orders").select("o_orderkey"))
+    orders = b.table(spark, sf, "orders").select("o_orderkey")
+    tasks, o = b.tasks_of(orders), b.spread(orders)
     k = F.col("o_orderkey")
     key = F.concat(F.lit("trainer/"), k.cast("string"))
     weight = k % 40 / F.lit(8.0)
@@ -157,7 +158,7 @@ def _config(spark, sf):
     wants = [("$.rewards.pose.weight", "close", weight.cast("string")), ("$.actions.joint_pos.use_default_offset", "equal", F.lit("true")),
              ("$.metrics", "member", F.lit("rom_clearance")), ("$.actuators.pd.stiffness", "each", weight.cast("string")), ("$.rewards", "member", F.lit("pose"))]
     entries = F.array(*[F.struct(F.lit(p).alias("path"), F.lit(kd).alias("kind"), e.alias("expected")) for p, kd, e in wants])
-    return ex.config_readback(observed, o.select(key.alias("row_key"), F.inline(entries)))
+    return ex.config_readback(b.keyed_rows(observed, tasks, "row_key"), b.keyed_rows(o.select(key.alias("row_key"), F.inline(entries)), tasks, "row_key"))
 
 
 def _method_returns(spark, sf):
