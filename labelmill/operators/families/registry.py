@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,9 @@ from labelmill.operators.families import blocks, calls, chores, controllers, met
 
 #: A template that can give more distinct programs than this is as good as endless.
 MOST_SPACE = 10**15
+#: Families made, or splits written, at a time.
+AT_A_TIME = 4
+T = TypeVar("T")
 IN_FLIGHT = ["family", "template_id", "seed", "intent", "frame_id", "blocks", "rank1", "rank3", "rank5", "traces"]
 
 
@@ -124,6 +130,17 @@ def lost(jobs_of: DataFrame, made: DataFrame, family: str) -> DataFrame:
     )
 
 
+def side_by_side(work: Callable[[str], T], names: Iterable[str]) -> list[T]:
+    """``work`` of each name, several at a time: their jobs share the cluster, so that planning one leaves no core idle.
+
+    Every one ends before the first failure, in the order of the names, is raised.
+    """
+    names = list(names)
+    with ThreadPoolExecutor(max_workers=AT_A_TIME) as pool:
+        begun = [pool.submit(inheritable_thread_target(work), name) for name in names]
+    return [b.result() for b in begun]
+
+
 def build(
     spark: SparkSession, out: str, wanted: Mapping[str, int], inputs: Mapping[str, DataFrame] | None = None, name: str = "corpus",
     holdout_templates: Iterable[str] = (), holdout_blocks: Iterable[str] = (), score: Callable[[DataFrame], DataFrame] = controls.wanted_scores,
@@ -137,19 +154,23 @@ def build(
     from labelmill.sources import paths, stage
 
     pending = paths.scratch(spark)
-    parts = {}
-    for family, count in wanted.items():
-        asked = jobs(spark, family, count, inputs)
+
+    def make(family: str) -> DataFrame:
+        asked = jobs(spark, family, wanted[family], inputs)
         rows(asked, family, inputs).write.parquet(f"{pending}/{family}")
-        parts[family] = spark.read.parquet(f"{pending}/{family}")
-        gates.require_none(lost(asked, parts[family], family), f"rows of {family}")
-    made = functools.reduce(DataFrame.unionByName, parts.values())
+        part = spark.read.parquet(f"{pending}/{family}")
+        gates.require_none(lost(asked, part, family), f"rows of {family}")
+        return part
+
+    made = functools.reduce(DataFrame.unionByName, side_by_side(make, wanted))
     as_xml = F.col("family").isin(*[f.name for f in FAMILIES.values() if f.as_xml])
     assigned = splits.assign(made, holdout_templates, holdout_blocks)
-    counts = {}
-    for split in stage.schemas.SPLIT_DIRS:
+
+    def commit(split: str) -> dict[str, int]:
         part = assigned.filter(F.col("split") == split).drop("split")
         written = stage.commit_split(spark, out, split, name, relations.root_rows(part), relations.candidate_rows(part, as_xml), score(part))
-        counts[split] = {relation: r["rows"] for relation, r in written.relations.items()}
+        return {relation: r["rows"] for relation, r in written.relations.items()}
+
+    counts = dict(zip(stage.schemas.SPLIT_DIRS, side_by_side(commit, stage.schemas.SPLIT_DIRS)))
     paths.remove(spark, pending)
     return counts

@@ -1,9 +1,11 @@
 """Tasks are bounded by rows, and rows are exchanged before much is made of them."""
 
 import re
+import threading
 
 import pytest
 
+from labelmill.operators.families import registry as family_registry
 from labelmill.plans import bindings, registry
 
 
@@ -32,3 +34,20 @@ def test_readbacks_have_bounded_tasks(spark, sf, monkeypatch, name):
     orders = bindings.table(spark, sf, "orders").count()
     exchanges = _exchanges(registry.QUERIES[name](spark, sf))
     assert exchanges and all(f", {-(-orders // 4)})" in e for e in exchanges)
+
+
+def test_families_are_made_side_by_side():
+    """Work of several names overlaps; results keep the order of the names, and a failure is raised when all have ended."""
+    both, done = threading.Barrier(2, timeout=20), []
+
+    def work(name: str) -> str:
+        both.wait()
+        if name == "b":
+            raise ValueError(name)
+        done.append(name)
+        return name.upper()
+
+    assert family_registry.side_by_side(lambda n: (both.wait(), n)[1], ["x", "y"]) == ["x", "y"]
+    with pytest.raises(ValueError, match="b"):
+        family_registry.side_by_side(work, ["b", "a"])
+    assert done == ["a"]
