@@ -3,8 +3,10 @@
 import re
 import threading
 
+import pyarrow as pa
 import pytest
 
+from labelmill.operators import compose
 from labelmill.operators.families import registry as family_registry
 from labelmill.plans import bindings, registry
 
@@ -51,3 +53,14 @@ def test_families_are_made_side_by_side():
     with pytest.raises(ValueError, match="b"):
         family_registry.side_by_side(work, ["b", "a"])
     assert done == ["a"]
+
+
+def test_prefixes_are_set_on_arrow_values():
+    """A batch larger than what is held as Python objects comes back whole and in order, nulls included."""
+    n = 2 * compose.PROGRAMS + 3
+    lines = pa.array([None if i == 5 else [f"b{i} = NOT(IN=c)", "x := b", None] for i in range(n)], pa.list_(pa.string()))
+    names = pa.array([[f"b{i}", "c"] for i in range(n)], pa.list_(pa.string()))
+    out = compose._prefixed.func(lines, names, pa.array(["a_"] * n))
+    assert isinstance(out, pa.Array)
+    assert out.to_pylist() == [None if i == 5 else [f"a_b{i} = NOT(IN=a_c)", "x := b", None] for i in range(n)]
+    assert len(compose._prefixed.func(lines[:0], names[:0], pa.array([], pa.string()))) == 0
