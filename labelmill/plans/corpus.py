@@ -81,8 +81,10 @@ def _score_rows(spark, sf):
 
 
 def _joined(spark: SparkSession, sf: str) -> DataFrame:
-    rows = b.order_rows(spark, sf)
-    return relations.joined_view(relations.root_rows(rows), relations.candidate_rows(rows), b.order_scores(spark, sf))
+    # an order becomes three programs and three scores, which are sorted before they meet: a task has a bounded number of orders
+    orders = b.spread_rows(b.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"))
+    rows = b.order_rows(spark, sf, orders)
+    return relations.joined_view(relations.root_rows(rows), relations.candidate_rows(rows), b.order_scores(spark, sf, orders))
 
 
 def _joined_view(spark, sf):

@@ -64,3 +64,11 @@ def test_prefixes_are_set_on_arrow_values():
     assert isinstance(out, pa.Array)
     assert out.to_pylist() == [None if i == 5 else [f"a_b{i} = NOT(IN=a_c)", "x := b", None] for i in range(n)]
     assert len(compose._prefixed.func(lines[:0], names[:0], pa.array([], pa.string()))) == 0
+
+
+def test_joined_view_has_bounded_tasks(spark, sf, monkeypatch):
+    """Orders are dealt out before programs are made of them."""
+    monkeypatch.setattr(bindings, "ROWS_A_TASK", 4)
+    orders = bindings.table(spark, sf, "orders").count()
+    plan = registry.QUERIES["joined_view"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert f"RoundRobinPartitioning({-(-orders // 4)})" in plan
