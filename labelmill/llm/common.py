@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -31,6 +32,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``cut``, and what it took to get there is given back: for tables that large shuffles have made.
+
+    Spark removes the files of shuffles and checkpoints that nothing refers to any more when
+    the driver collects its memory, which a driver that holds little does not do for long.
+    """
+    done = cut(df)
+    del df
+    gc.collect()
+    done.sparkSession.sparkContext._jvm.System.gc()
+    return done
+
+
 def text_of(column: str = "text") -> Column:
     """A text, null read as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.common import LOWER, cut, pieces, row_key, text_of, texts_of
+from labelmill.llm.common import LOWER, cut, pieces, row_key, settled, text_of, texts_of
 from labelmill.llm.components import components
 
 #: Buckets of more distinct fingerprints are linked without comparing all pairs.
@@ -363,9 +363,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_column: str, text_column: str,
 
 def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str, shingle_words: int, similarity: float) -> DataFrame:
     """The pairs whose sets of shingles have that Jaccard similarity, by exact counts."""
-    pairs = cut(pairs)
+    pairs = settled(pairs)
     ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    sets = cut(_sets(docs, nodes.join(ends, "node").select("row", "node"), id_column, text_column, shingle_words))
+    sets = settled(_sets(docs, nodes.join(ends, "node").select("row", "node"), id_column, text_column, shingle_words))
     met = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
     both = met.select("u", "v", F.size(F.array_intersect("a", "b")).alias("both"), (F.size("a") + F.size("b")).alias("all"))
     return both.filter(F.col("both") >= F.lit(similarity) * (F.col("all") - F.col("both"))).select("u", "v")
@@ -377,7 +377,7 @@ def _wide_roots(
     """(node, root) over links of similar texts among the pairs that share a key; nodes without a link are left out."""
     longs, width = bits // _BITS, bits // blocks
     prints = nodes.select("node", "fingerprint")
-    met = cut(_met(nodes, bits, blocks, agree, radius))
+    met = settled(_met(nodes, bits, blocks, agree, radius))
 
     def apart(found: DataFrame, pairs: DataFrame) -> DataFrame:
         """The pairs that links found so far do not connect."""
@@ -390,14 +390,14 @@ def _wide_roots(
         added = _similar(pairs, docs, nodes, id_column, text_column, shingle_words, similarity)
         if found is not None:
             added = added.unionByName(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
-        return cut(components(added))
+        return settled(components(added))
 
     pairs = met.filter("v is not null").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     members = met.filter("v is null").select("bucket", F.col("u").alias("node"))
     # the hub of a bucket is the fingerprint of its smallest id: of copies, that is most often what they were copied from
     rank = F.struct(F.col("least").isNull().alias("last"), "least", "node")
     hubs = members.join(nodes.select("node", rank.alias("rank")), "node").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rank").alias("hub"))
-    many = cut(members.join(hubs.select("bucket", "n", F.col("hub.node").alias("hub")), "bucket"))
+    many = settled(members.join(hubs.select("bucket", "n", F.col("hub.node").alias("hub")), "bucket"))
     far = many.filter("node <> hub").select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v"))
     if agree == 1:
         # a further block splits the bucket, and its members meet each other's smallest there
@@ -407,7 +407,7 @@ def _wide_roots(
         ).filter(F.pmod(F.col("other") - F.col("choice"), F.lit(blocks)).between(1, FURTHER))
         least = more.groupBy("bucket", "other", "value").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
         far = far.unionByName(more.join(least, ["bucket", "other", "value"]).filter("node <> v").select(F.col("v").alias("u"), F.col("node").alias("v")))
-    near = cut(_near(pairs.unionByName(far).distinct(), prints, longs, radius))
+    near = settled(_near(pairs.unionByName(far).distinct(), prints, longs, radius))
 
     def across(found: DataFrame, nearest: bool) -> DataFrame:
         """Pairs within large buckets of one that is not connected to the bucket's hub and any other of another root."""
@@ -415,12 +415,12 @@ def _wide_roots(
         hubs = placed.filter("node = hub").select("bucket", F.col("root").alias("main"))
         told = placed.join(hubs, "bucket").withColumn("apart", F.col("root") != F.col("main"))
         left = told.groupBy("bucket").agg(F.sum(F.col("apart").cast("long")).alias("left")).filter("left > 0")
-        mixed = cut(told.join(left, "bucket").withColumn("across", F.ceil(F.col("n") / PART)).withColumn("down", F.ceil(F.col("left") / PART)))
+        mixed = settled(told.join(left, "bucket").withColumn("across", F.ceil(F.col("n") / PART)).withColumn("down", F.ceil(F.col("left") / PART)))
         own = F.xxhash64("node")
         one = mixed.filter("apart").select("bucket", "node", "root", F.lit(True).alias("apart"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)).alias("x"), F.pmod(own, F.col("down")).alias("y"))
         two = mixed.select("bucket", "node", "root", F.lit(False).alias("apart"), F.pmod(own, F.col("across")).alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)).alias("y"))
         rows = one.unionByName(two).select(F.xxhash64("bucket", "x", "y").alias("bucket"), "node", "root", "apart").join(prints, "node").select("bucket", "node", "fingerprint", "root", "apart")
-        return cut(_pairs_across(rows, longs, radius, nearest))
+        return settled(_pairs_across(rows, longs, radius, nearest))
 
     # of each node one pair first; then all that this has not connected, with the nearest of each root in the large buckets; then all that are still of other roots
     found = grown(None, near.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -419,3 +420,24 @@ def test_wide_buckets_give_near_pairs_only(spark, monkeypatch):
     assert want <= pairs | told
     assert any(ms >= set(range(211, 330)) for ms in crowded.values()) and all(ms <= set(range(60, 90)) or ms >= set(range(211, 330)) for ms in crowded.values())
     assert sum(90 <= a < 200 for a, _ in pairs) < 60  # of 5,995 that share the block
+
+
+def test_spent_shuffles_are_given_back(spark):
+    """When the near copies are known, the files of the shuffles that led there are gone; only those of small rounds may be left."""
+    draw = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(draw.choice(words) for _ in range(80)) for _ in range(300)]
+    docs = spark.createDataFrame([(i, t + " ende" * (i % 2)) for i, t in enumerate(texts + texts)], "doc_id long, text string").repartition(4)
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def written():
+        return sum(f.length() for f in (found.apply(k) for found in [files.getAllFiles()] for k in range(found.size())) if f.getName().startswith("shuffle_"))
+
+    before = written()
+    kept = simhash.one_of_each(docs)
+    for _ in range(40):
+        if (left := written() - before) < 200_000:
+            break
+        time.sleep(0.25)
+    assert left < 200_000
+    assert kept.count() == 300
