@@ -26,6 +26,18 @@ def test_methods_by_table_function(spark):
         spark.sql("SELECT * FROM archive_entries(TABLE(SELECT 'a' AS path, 'b' AS length, 1L AS first, 2L AS last))")
 
 
+@pytest.mark.parametrize("most", [1, 2, 500])
+def test_methods_of_lines_many_to_a_row(spark, most):
+    texts = [("a.gd", SOURCE), ("b.gd", ""), ("c.gd", "no methods\n\tat all"), ("d.gd", "func only() -> bool:"), ("e.gd", None), ("f.gd", SOURCE * 3)]
+    sources = spark.createDataFrame(texts, "path string, text string")
+    tables.register(spark)
+    runs = files.line_runs(sources, most)
+    got = spark.sql("SELECT * FROM method_segments(TABLE({lines}))", lines=runs.repartition(5))
+    want = methods.segments(sources)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    assert runs.count() == sum(-(-len(t.split("\n")) // most) for _, t in texts if t is not None)
+
+
 def test_ranges_of_files(spark):
     listing = spark.createDataFrame([("a", 0), ("b", 10), ("c", 11), ("d", 25)], "path string, length bigint")
     got = sorted((r["path"], r["first"], r["last"]) for r in tables.archive_ranges(listing, 10).collect())
