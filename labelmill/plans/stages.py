@@ -118,11 +118,10 @@ def _staged_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _checksums(spark: SparkSession, sf: str) -> DataFrame:
-    """Size and hash of every staged file, hashed in pieces from the store."""
+    """Size and hash of every staged file, large ones hashed in pieces from the store."""
     folder = paths.scratch(spark)
     files.write_texts(b.staged_texts(spark, sf), folder).agg(F.sum("size")).collect()
-    found = files.sums(files.ordered_listing(spark, folder).select(F.concat(F.lit(f"{folder}/"), "path").alias("path"), F.col("length").alias("size")))
-    return found.select(F.substring("path", len(folder) + 2, 1000).alias("path"), "size", "sha256")
+    return files.checksums(spark, folder)
 
 
 def _media(spark: SparkSession, sf: str) -> DataFrame:

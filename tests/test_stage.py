@@ -321,3 +321,24 @@ def test_row_keys_are_not_broadcast(spark, sf):
     for df, merged in ((kept, 1), (held, 1), (joined, 2)):  # the joined view reads the kept scores
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("SortMergeJoin") == merged and "BroadcastHashJoin" not in plan
+
+
+def test_small_files_stay_out_of_python(spark, tmp_path, monkeypatch):
+    """Many small files and a larger one: same hashes, and Python tasks by cores, not by files."""
+    content = {f"d{i % 3}/f{i}.txt": f"text {i}\nä".encode() for i in range(40)} | {"large.bin": b"\xff\xfe" * 5000}
+    for name, data in content.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    monkeypatch.setattr(files, "PIECE", 4096)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        found = files.checksums(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() <= len(content) + 4 * spark.sparkContext.defaultParallelism - 4
+        assert {r.path: (r.size, r.sha256) for r in found.collect()} == {k: (len(v), hashlib.sha256(v).hexdigest()) for k, v in content.items()}
+        texts = files.read_texts(spark, str(tmp_path))
+        assert "Scan text" not in texts._jdf.queryExecution().toString() and "FileScan text" not in texts._jdf.queryExecution().toString()
+        got = {r.path: bytes(r.b) for r in texts.select("path", F.col("text").cast("binary").alias("b")).collect()}
+        assert got == content
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
