@@ -105,6 +105,11 @@ def spaces(spark: SparkSession, family: str, inputs: Mapping[str, DataFrame] | N
     return spark.createDataFrame([(i, t, n) for i, (t, n) in enumerate(held.items())], "ord int, template_id string, space bigint")
 
 
+def capacity(family: str, inputs: Mapping[str, DataFrame] | None = None) -> int:
+    """How many rows a family can give without repeating a program."""
+    return sum(FAMILIES[family].spaces(inputs or {}).values())
+
+
 def jobs(spark: SparkSession, family: str, rows: int, inputs: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """(template_id, seed) of so many rows; refuses what the templates cannot give without repeating a program."""
     table = spaces(spark, family, inputs)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelmill import schemas
-from labelmill.operators import audit, media, relations, splits
+from labelmill.operators import audit, media, mutations, relations, splits
 from labelmill.operators.families import registry
 from labelmill.plans import archives as archive_plans
 from labelmill.plans import bindings as b
@@ -50,27 +50,33 @@ HELD_TEMPLATES = ["write", "face_the_stick", "godot_ui_text", "udon_blend", "tra
 def _family_inputs(spark: SparkSession, sf: str, rows: int) -> dict[str, DataFrame]:
     """Programs for the families that take them: the documents' own, and a translation of every method that is asked for."""
     p = b.programs(spark, sf)
-    # a program of calls alone has nothing to mutate
-    named = p.filter(F.col("text").rlike(r" = [A-Z_]+\(")).select(F.concat(F.lit("and_"), F.col("doc_id").cast("string")).alias("name"), "text")
+    # a program of calls alone has nothing to mutate; where no block has an opposite, what only passes a value on inverts it, so that one has
+    decided = F.col("text").rlike(rf"(?m)^\w+ = ({'|'.join(mutations.OPPOSITE)})\(")
+    text = F.when(decided, F.col("text")).otherwise(F.replace("text", F.lit(" = MOVE("), F.lit(" = NOT(")))
+    named = p.filter(F.col("text").rlike(r" = [A-Z_]+\(")).select(F.concat(F.lit("and_"), F.col("doc_id").cast("string")).alias("name"), text.alias("text"))
     marked = F.replace("text", F.lit("in a : BOOL"), F.lit("in trigger : BOOL"))
     canonical = p.groupBy((F.col("doc_id") % 10).cast("int").alias("goal")).agg(F.min_by(marked, F.struct(F.length("text"), "doc_id")).alias("text"))
     text = F.concat(F.lit("program u\nr = ADD(IN1=a, IN2="), F.col("seed").cast("string"), F.lit(")\nret = r.OUT\n"))
-    translated = registry.jobs(spark, "udon", rows).select(
+    translated = registry.jobs(spark, "udon", min(rows, registry.capacity("udon"))).select(
         "template_id", "seed", text.alias("rank1"), F.replace(text, F.lit("ADD"), F.lit("SUB")).alias("rank3"), F.replace(text, F.lit("IN1=a"), F.lit("IN1=zz")).alias("rank5")
     )
     return {"base": named, "canonical": canonical, "translated": translated}
 
 
 def _family_rows(spark: SparkSession, sf: str) -> int:
-    """As many rows of each family as there are suppliers, at least one a template: one number, read by the driver."""
+    """As many rows of each family as there are suppliers, at least one a template of the fixed ones: one number, read by the driver."""
     return b.table(spark, sf, "supplier").count() + 30
 
 
 def _families(spark: SparkSession, sf: str) -> DataFrame:
-    """Eight families allocated, made, split and written as one stage, read back: rows per family, split and relation."""
+    """Eight families allocated, made, split and written as one stage, read back: rows per family, split and relation.
+
+    A family whose templates cannot give as many rows as are asked for gives all it can.
+    """
     n = _family_rows(spark, sf)
-    out = paths.scratch(spark)
-    registry.build(spark, out, dict.fromkeys(registry.FAMILIES, n), _family_inputs(spark, sf, n), holdout_templates=HELD_TEMPLATES)
+    out, inputs = paths.scratch(spark), _family_inputs(spark, sf, n)
+    wanted = {family: min(n, registry.capacity(family, inputs)) for family in registry.FAMILIES}
+    registry.build(spark, out, wanted, inputs, holdout_templates=HELD_TEMPLATES)
     parts = []
     for split, folder in schemas.SPLIT_DIRS.items():
         tables = stage.read_split(spark, out, "corpus", folder)
