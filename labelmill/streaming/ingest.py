@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from labelmill.operators import media, repair
 from labelmill.sources import archives, files, paths, zips
+from labelmill.sources.stage import CODEC
 
 #: States of an archive that are named in its subject's manifest and refuse nothing.
 EMPTY = ("empty_archive", "no_entries")
@@ -52,7 +53,7 @@ def convert(batch: DataFrame, out: str, part: str, subjects: DataFrame, expected
     spark = batch.sparkSession
     splits = subjects.select(F.col("sub_id").alias("subject"), "split")
     pending = f"{out}/_pending/{part}"
-    batch.join(splits, "subject", "left").write.mode("overwrite").parquet(pending)
+    batch.join(splits, "subject", "left").write.mode("overwrite").options(**CODEC).parquet(pending)
     keyed = spark.read.parquet(pending)
     found = keyed.groupBy(F.col("archive").alias("path")).agg(F.max("archive_size").alias("size"), F.max("subject").alias("subject"), F.max("split").alias("split"))
     checks = f"{out}/archives/{part}"
