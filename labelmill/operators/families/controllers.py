@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelmill.functions import literals as lt
 from labelmill.functions import text as tx
-from labelmill.operators.compose import PAIRS, SHARED_INPUTS, compose
+from labelmill.operators.compose import PAIRS, SHARED_INPUTS, merge
 from labelmill.operators.draws import all_drawn, apart, as_params, draw, drawn, with_params
 from labelmill.operators.families.frames import FRAMES, pick
 
@@ -62,6 +63,8 @@ TEXTS = {
         "mx = MUL(IN1=lx, IN2={g})\nsp = LIMIT(MN=0.0, IN=mx.OUT, MX={c})\nspeed = sp.OUT\n"
     ),
 }
+# What a text has in places that are lines or the words that class one, and what its refused form has there.
+SHAPES = {"decl": ("out", "in"), "tail": ("", "style = press.Q\n")}
 
 
 def _tick(lx: Column, ly: Column, btn: Column, tracker: Column) -> Column:
@@ -106,8 +109,8 @@ def _texts() -> Column:
     return _by_template({t: F.lit(text) for t, text in TEXTS.items()})
 
 
-def rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
-    """jobs(template_id, seed, …) -> controller rows, with ``values`` holding the drawn constants. ``drawing`` is a mode of ``draws``."""
+def _drawn_rows(jobs: DataFrame, drawing: Callable) -> DataFrame:
+    """jobs(template_id, seed, …) -> rows before their texts are filled: intent, frame_id, the maps ``params``, ``wrong`` and ``refused``, traces, values."""
     carried = [c for c in jobs.columns if c not in ("template_id", "seed")]
     seeded = F.col("template_id"), F.col("seed")
     made = jobs.withColumn("values", drawing(*seeded, DRAWS)).withColumn("_told", apart(drawing, *seeded, DRAWS, ["sweep", "drops"]))
@@ -121,8 +124,8 @@ def rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
             "walk_from_stick": with_params(base, g=real("gain"), c=real("cap"), mn=F.lit("0.0")),
             "face_the_stick": with_params(base, x=F.lit("lx"), z=F.lit("ly")),
             "tracker_lost_freezes": with_params(base, ms=ms, pt=F.concat(F.lit("T#"), ms.cast("string"), F.lit("ms"))),
-            "button_sequence_then_idle": with_params(base, ms=ms, k=style, tail=F.lit("")),
-            "speed_limited_run": with_params(base, g=real("gain"), c=real("cap"), decl=F.lit("out")),
+            "button_sequence_then_idle": with_params(base, ms=ms, k=style, tail=F.lit(SHAPES["tail"][0])),
+            "speed_limited_run": with_params(base, g=real("gain"), c=real("cap"), decl=F.lit(SHAPES["decl"][0])),
         }
     )
     p = F.col("params")
@@ -140,8 +143,8 @@ def rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
             "walk_from_stick": with_params(p, mn=F.lit("TRUE")),
             "face_the_stick": with_params(p, z=F.lit("lz")),
             "tracker_lost_freezes": with_params(p, pt=F.lit("TRUE")),
-            "button_sequence_then_idle": with_params(p, tail=F.lit("style = press.Q\n")),
-            "speed_limited_run": with_params(p, decl=F.lit("in")),
+            "button_sequence_then_idle": with_params(p, tail=F.lit(SHAPES["tail"][1])),
+            "speed_limited_run": with_params(p, decl=F.lit(SHAPES["decl"][1])),
         }
     )
     drops = [drop_trace(F.get(all_drawn(v, "at"), i).cast("int")) for i in range(3)]
@@ -154,24 +157,76 @@ def rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
             "speed_limited_run": F.array(*[sweep_trace(v, i) for i in range(3)]),
         }
     )
-    filled = pick(made.withColumn("params", first), FRAMES, F.col("params"))
-    return filled.select(
-        "template_id", "seed", "intent", "frame_id",
-        tx.fill_placeholders(_texts(), p).alias("rank1"),
-        tx.fill_placeholders(_texts(), wrong).alias("rank3"),
-        tx.fill_placeholders(_texts(), refused).alias("rank5"),
-        traces.alias("traces"),
-        "values",
-        *carried,
+    told = pick(made.withColumn("params", first), FRAMES, F.col("params"))
+    return told.select(
+        "template_id", "seed", "intent", "frame_id", "params", wrong.alias("wrong"), refused.alias("refused"), traces.alias("traces"), "values", *carried
     )
 
 
+def rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
+    """jobs(template_id, seed, …) -> controller rows, with ``values`` holding the drawn constants. ``drawing`` is a mode of ``draws``."""
+    carried = [c for c in jobs.columns if c not in ("template_id", "seed")]
+    ranks = {"rank1": "params", "rank3": "wrong", "rank5": "refused"}
+    return _drawn_rows(jobs, drawing).select(
+        "template_id", "seed", "intent", "frame_id", *[tx.fill_placeholders(_texts(), F.col(params)).alias(rank) for rank, params in ranks.items()],
+        "traces", "values", *carried,
+    )
+
+
+def merged_texts(spark: SparkSession) -> DataFrame:
+    """(pair, plain, refused): the texts of each pair in one program, and with b's refused form, as pieces to be filled.
+
+    They are merged once a pair, not once a row: what is filled in later, as ``a_`` or
+    ``b_`` and its name, is never a line, a line's class, or the name of a block or a local.
+    """
+    names = sorted({name for text in TEXTS.values() for name in re.findall(r"\{(\w+)\}", text)} - set(SHAPES))
+    # a place is one character that is part of no word while the texts are merged
+    marks = {(side, name): chr(0xE000 + 256 * at + i) for at, side in enumerate("ab") for i, name in enumerate(names)}
+
+    def marked(template: str, side: str, refused: bool = False) -> str:
+        text = TEXTS[template]
+        for name, forms in SHAPES.items():
+            text = text.replace(f"{{{name}}}", forms[refused])
+        return re.sub(r"\{(\w+)\}", lambda m: marks[side, m[1]], text)
+
+    def put(b: str) -> Column:
+        text = merge(F.col("a"), F.col(b), F.concat_ws("_", F.lit("compose"), "a_id", "b_id"))
+        for (side, name), mark in marks.items():
+            text = F.replace(text, F.lit(mark), F.lit(f"{{{side}_{name}}}"))
+        return tx.placeholders(text)
+
+    pairs = [(i, a, b, marked(a, "a"), marked(b, "b"), marked(b, "b", True)) for i, (a, b) in enumerate(PAIRS)]
+    table = spark.createDataFrame(pairs, "pair int, a_id string, b_id string, a string, b string, b_refused string")
+    return table.select("pair", put("b").alias("plain"), put("b_refused").alias("refused"))
+
+
 def composed_rows(jobs: DataFrame, drawing: Callable = draw) -> DataFrame:
-    """jobs(template_id ``compose_<i>``, seed) -> two controllers of one seed in one program."""
-    numbered = jobs.withColumn("pair", F.substring_index("template_id", "_", -1).cast("int"))
-    pairs = jobs.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(PAIRS)], "pair int, a_id string, b_id string")
-    asked = numbered.join(F.broadcast(pairs), "pair").select("seed", "pair", F.explode(F.array("a_id", "b_id")).alias("template_id"))
-    return compose(rows(asked, drawing).drop("values"), pairs)
+    """jobs(template_id ``compose_<i>``, seed), each once -> two controllers of one seed in one program, as ``compose`` makes them of ``rows``.
+
+    Both sides are drawn where the job is, and fill the merged texts of their pair: no row is shuffled.
+    """
+    spark = jobs.sparkSession
+    numbered = jobs.select("seed", F.substring_index("template_id", "_", -1).cast("int").alias("pair"))
+    pairs = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(PAIRS)], "pair int, a_id string, b_id string")
+    asked = numbered.join(F.broadcast(pairs), "pair")
+    a = _drawn_rows(asked.withColumnRenamed("a_id", "template_id"), drawing).drop("refused", "values")
+    of_a = {c: f"a_{c}" for c in ("intent", "frame_id", "params", "wrong", "traces")} | {"template_id": "a_id", "b_id": "template_id"}
+    b = _drawn_rows(a.withColumnsRenamed(of_a), drawing).withColumnsRenamed({"refused": "b_refused", "params": "b_params", "intent": "b_intent"})
+
+    def both(of_a: str, of_b: str) -> Column:
+        return F.map_concat(F.transform_keys(of_a, lambda name, _: F.concat(F.lit("a_"), name)), F.transform_keys(of_b, lambda name, _: F.concat(F.lit("b_"), name)))
+
+    met = b.select("pair", "seed", "a_id", F.col("template_id").alias("b_id"), *[f"a_{c}" for c in ("intent", "frame_id", "params", "wrong", "traces")], "b_intent", "b_params", "b_refused")
+    return met.join(F.broadcast(merged_texts(spark)), "pair").select(
+        F.concat_ws("_", F.lit("compose"), "a_id", "b_id").alias("template_id"),
+        "seed",
+        F.concat("a_intent", F.lit("; and "), "b_intent").alias("intent"),
+        F.col("a_frame_id").alias("frame_id"),
+        tx.filled(F.col("plain"), both("a_params", "b_params")).alias("rank1"),
+        tx.filled(F.col("plain"), both("a_wrong", "b_params")).alias("rank3"),
+        tx.filled(F.col("refused"), both("a_params", "b_refused")).alias("rank5"),
+        F.col("a_traces").alias("traces"),
+    )
 
 
 def expected_signals(ticks: DataFrame) -> DataFrame:
